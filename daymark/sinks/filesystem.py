@@ -1,0 +1,39 @@
+"""The few directory operations Spark's writers do not offer.
+
+They go through the Hadoop file system of the session, so any storage Spark
+reads will do, and touch directory entries only, never data.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+
+def _open(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern."""
+    fs, path = _open(spark, pattern)
+    return [str(s.getPath().toString()) for s in fs.globStatus(path) or []]
+
+
+def file_names(spark: SparkSession, directory: str) -> frozenset[str]:
+    """Names of the files directly in a directory; empty if there is none."""
+    fs, path = _open(spark, directory)
+    if not fs.exists(path):
+        return frozenset()
+    return frozenset(s.getPath().getName() for s in fs.listStatus(path) if s.isFile())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _open(spark, path)
+    fs.delete(hadoop_path, True)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    fs, hadoop_path = _open(spark, path)
+    fs.create(hadoop_path, True).close()
