@@ -16,7 +16,7 @@ from daymark.operators.daily_metrics import daily_user_metrics
 from daymark.operators.dedup import dedup_events
 from daymark.plans import kpi, lake
 from daymark.plans.customer360 import customer_360
-from daymark.schemas import EVENT_COLUMNS, GOLD, INGEST_FAULTS
+from daymark.schemas import EVENT_COLUMNS, GOLD
 from daymark.session import scratch_path, use_utc
 from daymark.sinks import serving
 from daymark.sources.landing import unwrap
@@ -51,14 +51,18 @@ def _rounded_gold(gold: DataFrame) -> DataFrame:
 
 
 def envelope_parse(spark, sf_dir):
+    """Every line opened, those that could not be with the fault."""
     opened = unwrap(envelope_lines(spark, sf_dir), INGEST_DATE)
-    return _numbers(opened.filter("ingest_fault IS NULL").select(*EVENT_COLUMNS, "event_date"))
+    return _numbers(opened.select(*EVENT_COLUMNS, "ingest_fault", "event_date"))
 
 
 def ingest_quarantine(spark, sf_dir):
-    opened = unwrap(envelope_lines(spark, sf_dir), INGEST_DATE)
+    """Loads the landing files in one batch and counts what bronze keeps unopened."""
+    home = lake.Lake(scratch_path(spark, "lake"))
+    lake.ingest_batch(spark, _landing(spark, sf_dir), home, "one", INGEST_DATE)
     return (
-        opened.filter(F.col("ingest_fault").isin(*INGEST_FAULTS))
+        lake.read_bronze(spark, home)
+        .filter("ingest_fault IS NOT NULL")
         .groupBy("ingest_fault")
         .agg(F.count("envelope").alias("lines"))
     )

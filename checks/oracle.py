@@ -171,7 +171,10 @@ def _union(parts: list[str]) -> str:
 
 SQL: dict[str, str] = {
     # bronze
-    "envelope_parse": _raw(f"SELECT {_EVENT}, event_date FROM dated"),
+    "envelope_parse": f"WITH {RAW_SQL}, {_BROKEN} "
+    f"SELECT {_EVENT}, NULL AS ingest_fault, event_date FROM dated UNION ALL "
+    "SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, ingest_fault, "
+    "DATE '2024-02-01' FROM broken",
     "ingest_quarantine": f"WITH {RAW_SQL}, {_BROKEN} "
     "SELECT ingest_fault, count(*) AS lines FROM broken GROUP BY ingest_fault",
     "event_date_derive": _raw("SELECT event_id, event_timestamp, event_date FROM dated"),

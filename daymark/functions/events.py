@@ -21,7 +21,8 @@ def stated_date(timestamp_text: Column) -> Column:
     plain cast takes and a date partition directory cannot hold.
     """
     prefix = F.substring(timestamp_text, 1, 10)
-    return F.when(prefix.rlike(r"^\d{4}-\d{2}-\d{2}$"), prefix.try_cast("date"))
+    is_shaped = (F.substring(prefix, 5, 1) == "-") & (F.substring(prefix, 8, 1) == "-")
+    return F.when(is_shaped, prefix.try_cast("date"))
 
 
 def event_date(timestamp_text: Column, *fallbacks: Column | dt.date | str) -> Column:

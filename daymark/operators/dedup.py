@@ -16,18 +16,19 @@ def dedup_events(events: DataFrame) -> DataFrame:
     order of arrival. `row_number() = 1` lets Spark drop all but one copy per
     identity in each task before the shuffle: an id that holds a large share of
     the rows sends one row per task. The id leads the sort because its first
-    bytes tell rows apart, which the date's do not.
+    bytes tell rows apart, which the date's do not. A row without an id gets a
+    number of its own as part of the key, which spreads such rows evenly.
 
     The date is part of the identity, so a date can be rebuilt from its own
     rows alone. `quality.dq_report` counts ids that occur on several dates.
     """
     rest = [c for c in events.columns if c not in IDENTITY and c != "event_timestamp"]
-    order = [F.col("event_timestamp").asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in rest]
-    copies = Window.partitionBy(*IDENTITY).orderBy(*order)
-    first_copies = (
-        events.filter(F.col("event_id").isNotNull())
+    order = [F.col(c).asc_nulls_last() for c in ("event_timestamp", *rest)]
+    copies = Window.partitionBy(*IDENTITY, "_own").orderBy(*order)
+    own = F.when(F.col("event_id").isNull(), F.monotonically_increasing_id())
+    return (
+        events.withColumn("_own", own)
         .withColumn("_copy", F.row_number().over(copies))
         .filter(F.col("_copy") == 1)
-        .drop("_copy")
+        .drop("_own", "_copy")
     )
-    return first_copies.unionByName(events.filter(F.col("event_id").isNull()))

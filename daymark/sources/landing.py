@@ -13,7 +13,7 @@ from daymark.schemas import EVENT_COLUMNS, EVENT_TEXT
 
 _UNREADABLE = "_unreadable"
 _ENVELOPE = T.StructType().add("Message", "string").add("Timestamp", "string").add(_UNREADABLE, "string")
-_MESSAGE = T.StructType(EVENT_TEXT.fields).add(_UNREADABLE, "string")
+_MESSAGE = T.StructType([*EVENT_TEXT.fields, T.StructField(_UNREADABLE, T.StringType())])
 _CORRUPT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _UNREADABLE}
 
 

@@ -1,0 +1,188 @@
+"""Typing, screening, deduplication."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from daymark.functions.events import event_date, stated_date, utc_timestamp
+from daymark.operators import screening
+from daymark.operators.dedup import dedup_events
+from daymark.schemas import SILVER
+from helpers import INGEST_DATE, event, events_df, rows
+
+
+def instants(spark, *texts):
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    return [r[0] for r in df.select(utc_timestamp(F.col("s"))).collect()]
+
+
+def test_timestamp_forms(spark):
+    assert instants(
+        spark,
+        "2024-01-05T10:11:12.123456+00:00",
+        "2024-01-05T10:11:12+00:00",
+        "2024-01-05T10:11:12Z",
+        "2024-01-05T23:30:00-05:00",
+        "2024-01-05",
+    ) == [
+        dt.datetime(2024, 1, 5, 10, 11, 12, 123456),
+        dt.datetime(2024, 1, 5, 10, 11, 12),
+        dt.datetime(2024, 1, 5, 10, 11, 12),
+        dt.datetime(2024, 1, 6, 4, 30),
+        dt.datetime(2024, 1, 5),
+    ]
+
+
+def test_unreadable_timestamps_are_null(spark):
+    """A bare time of day must not become today's."""
+    texts = ["", "not-a-time", "10:00", "T10:00", "2024", "2024-01", "now", "2024-13-01T00:00:00Z", None]
+    assert instants(spark, *texts) == [None] * len(texts)
+
+
+def test_stated_date(spark):
+    df = spark.createDataFrame(
+        [(t,) for t in ("2024-01-05T23:30:00-05:00", "2024-01-05Tx", "12024-01-05", "2024", None)],
+        "s string",
+    )
+    day = dt.date(2024, 1, 5)
+    assert [r[0] for r in df.select(stated_date(F.col("s"))).collect()] == [day, day, None, None, None]
+
+
+def test_event_date_falls_back_to_the_argument(spark):
+    df = spark.createDataFrame([("not-a-time",), (None,)], "s string")
+    got = {r[0] for r in df.select(event_date(F.col("s"), "2024-02-01")).collect()}
+    assert got == {dt.date(2024, 2, 1)}
+
+
+def test_silver_schema_and_features(spark):
+    silver = screening.clean(events_df(spark, event(), event(event_id="e2", event_type="error")))
+    assert [(f.name, f.dataType) for f in silver.schema] == [(f.name, f.dataType) for f in SILVER]
+    bought, failed = silver.orderBy("event_id").collect()
+    assert (bought.is_purchase_event, bought.is_error_event) == (1, 0)
+    assert (failed.is_purchase_event, failed.is_error_event) == (0, 1)
+    assert (bought.event_hour, bought.event_day_of_week) == (10, "Fri")
+
+
+def test_date_is_local_and_hour_is_utc(spark):
+    row = screening.clean(events_df(spark, event(event_timestamp="2024-01-05T23:30:00-05:00"))).first()
+    assert (row.event_date, row.event_hour, row.event_day_of_week) == (dt.date(2024, 1, 5), 4, "Sat")
+
+
+def test_absent_timestamp_is_kept(spark):
+    row = screening.clean(events_df(spark, event(event_timestamp=None))).first()
+    assert row.event_timestamp_ts is None and row.event_hour is None
+    assert row.event_date == dt.date(2024, 2, 1)
+
+
+@pytest.mark.parametrize(
+    "changes, reason",
+    [
+        ({"user_id": None}, "bad_user_id"),
+        ({"user_id": "7x"}, "bad_user_id"),
+        ({"event_type": None}, "bad_event_type"),
+        ({"event_type": "Login"}, "bad_event_type"),
+        ({"event_type": " login"}, "bad_event_type"),
+        ({"page": None}, "bad_page"),
+        ({"page": "/Home"}, "bad_page"),
+        ({"event_timestamp": "garbage"}, "bad_event_timestamp"),
+        ({"user_id": "x", "page": "/x"}, "bad_user_id"),
+    ],
+)
+def test_first_broken_rule_is_the_reason(spark, changes, reason):
+    events = events_df(spark, event(**changes))
+    assert screening.clean(events).isEmpty()
+    assert screening.quarantine(events).first().reason == reason
+
+
+def test_screen_is_clean_plus_quarantine(spark):
+    events = events_df(spark, event(), event(event_id="e2", user_id="x"), event(event_id="e3", page="/x"))
+    both = screening.screen(events)
+    accepted = both.filter("verdict = 'accepted'").select(*SILVER.fieldNames())
+    assert rows(accepted) == rows(screening.clean(events))
+    rejected = both.filter("verdict = 'rejected'").select("reason", "event_date")
+    assert rows(rejected) == rows(screening.quarantine(events).select("reason", "event_date"))
+
+
+def test_summary_counts_reasons(spark):
+    events = events_df(spark, event(user_id="x"), event(user_id=None), event(page="/x"))
+    summary = screening.quarantine_summary(screening.quarantine(events))
+    assert rows(summary) == [("bad_page", 1), ("bad_user_id", 2)]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_result_does_not_depend_on_ansi_mode(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        events = events_df(
+            spark,
+            event(),
+            event(event_id="e2", user_id="x"),
+            event(event_id="e3", amount="x"),
+            event(event_id="e4", event_timestamp="x"),
+            event(event_id="e5", product_id="1.5x"),
+        )
+        silver = screening.clean(events).orderBy("event_id").collect()
+        assert [(r.event_id, r.amount, r.product_id) for r in silver] == [
+            ("e1", 12.5, 1001),
+            ("e3", None, 1001),
+            ("e5", 12.5, None),
+        ]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_other_session_zones_are_refused(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            screening.clean(events_df(spark, event()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+# --- deduplication ----------------------------------------------------------
+
+
+def test_identical_copies_collapse(spark):
+    assert dedup_events(events_df(spark, event(), event(), event(event_id="e2"))).count() == 2
+
+
+def test_differing_copies_give_the_same_choice_in_any_order(spark):
+    copies = [
+        event(amount="2.0"),
+        event(amount="1.0"),
+        event(amount=None),
+        event(event_timestamp="2024-01-05T09:00:00+00:00", amount="9.0"),
+    ]
+    for order in (copies, copies[::-1], copies[2:] + copies[:2]):
+        df = events_df(spark, *order).repartition(3)
+        assert [r.amount for r in dedup_events(df).collect()] == ["9.0"]
+
+
+def test_rows_without_an_id_are_all_kept(spark):
+    bare = event(event_id=None)
+    assert dedup_events(events_df(spark, bare, bare, bare, event(), event())).count() == 4
+
+
+def test_same_id_on_two_dates_is_two_events(spark):
+    other = event(event_timestamp="2024-01-06T00:00:00Z")
+    assert dedup_events(events_df(spark, event(), other)).count() == 2
+
+
+def test_copies_are_dropped_before_the_shuffle(spark):
+    """One shuffle, and the limit of one row per identity on its near side."""
+    df = dedup_events(spark.createDataFrame(events_df(spark, event()).collect(), events_df(spark, event()).schema))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    partial, final = plan.index("Partial"), plan.index("Final")
+    assert final < plan.index("Exchange hashpartitioning") < partial
+
+
+def test_one_id_on_a_third_of_the_rows(spark):
+    hot = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("event_id"),
+        *[F.lit(event()[c]).cast("string").alias(c) for c in event() if c != "event_id"],
+    ).withColumn("event_date", event_date(F.col("event_timestamp"), INGEST_DATE))
+    assert dedup_events(hot).count() == 20_001
