@@ -1,13 +1,26 @@
 """The few directory operations Spark's writers do not offer.
 
 They go through the Hadoop file system of the session, so any storage Spark
-reads will do, and touch directory entries only, never data.
+reads will do, and touch directory entries only, never data. Their number
+follows the dates at hand; `each` overlaps the waiting on remote storage.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
+
 from pyspark.sql import SparkSession
 
+A, B = TypeVar("A"), TypeVar("B")
+
+
+def each(call: Callable[[A], B], items: Iterable[A]) -> list[B]:
+    """`call` for each item, several at a time, results in order."""
+    with ThreadPoolExecutor(max_workers=32) as pool:
+        return list(pool.map(call, items))
+
 
 def _open(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -20,12 +33,14 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return [str(s.getPath().toString()) for s in fs.globStatus(path) or []]
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = _open(spark, path)
+    return fs.exists(hadoop_path)
+
+
 def file_names(spark: SparkSession, directory: str) -> frozenset[str]:
-    """Names of the files directly in a directory; empty if there is none."""
-    fs, path = _open(spark, directory)
-    if not fs.exists(path):
-        return frozenset()
-    return frozenset(s.getPath().getName() for s in fs.listStatus(path) if s.isFile())
+    """Names of what is directly in a directory; empty if there is none."""
+    return frozenset(p.rsplit("/", 1)[-1] for p in matching(spark, f"{directory}/*"))
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -43,16 +43,15 @@ def ntile_within(
             F.sum("_rows").over(Window.partitionBy(group)).alias("_all"),
         )
     )
-    rank = F.col("_before") + F.col("_place") - F.col("_first")
-    # As in SQL: the first `_all % buckets` buckets hold one row more.
-    small = F.expr(f"_all div {buckets}")
-    large_rows = (F.col("_all") % buckets) * (small + 1)
-    bucket = F.when(rank < large_rows, F.floor(rank / (small + 1))).otherwise(
-        F.col("_all") % buckets + F.floor((rank - large_rows) / F.greatest(small, F.lit(1)))
+    # As in SQL: the first `_all % buckets` buckets hold one row more than the others.
+    bucket = F.expr(
+        f"""CASE WHEN _rank < (_all % {buckets}) * (_all div {buckets} + 1)
+                 THEN _rank div (_all div {buckets} + 1)
+                 ELSE (_rank - _all % {buckets}) div (_all div {buckets}) END"""
     )
     return (
         placed.withColumn("_task", task)
         .join(F.broadcast(sizes), [group, "_task"])
-        .withColumn(name, (bucket + 1).cast("int"))
-        .select(*df.columns, name)
+        .withColumn("_rank", F.col("_before") + F.col("_place") - F.col("_first"))
+        .select(*df.columns, (bucket + 1).cast("int").alias(name))
     )

@@ -14,18 +14,18 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daymark.operators.daily_metrics import daily_user_metrics
 from daymark.operators.dedup import dedup_events
 from daymark.operators.screening import ACCEPTED, REJECTED, screen
 from daymark.schemas import BRONZE, EVENT_COLUMNS, EVENT_TEXT, GOLD, QUARANTINE, SILVER
 from daymark.session import use_utc
-from daymark.sinks import filesystem as files
+from daymark import filesystem as files
 from daymark.sinks.tables import replace_partitions
 from daymark.sources.landing import read_landing, unwrap
 from daymark.sources.tables import read_table, table_dates
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -94,16 +94,20 @@ def ingest_batch(
 
 
 def _load_dates(spark: SparkSession, lake: Lake, load_id: str) -> list[dt.date]:
-    found = files.matching(spark, f"{lake.bronze}/event_date=*/load_id={load_id}")
-    return sorted(dt.date.fromisoformat(re.search(r"event_date=([^/]+)", p)[1]) for p in found)
+    dates = table_dates(spark, lake.bronze)
+    loaded = files.each(
+        lambda d: files.exists(spark, f"{lake.bronze}/event_date={d.isoformat()}/load_id={load_id}"),
+        dates,
+    )
+    return [d for d, is_loaded in zip(dates, loaded) if is_loaded]
 
 
 def _note_pending(spark: SparkSession, lake: Lake, dates: Iterable[dt.date]) -> None:
-    for date in dates:
-        files.touch(spark, f"{lake.pending}/event_date={date.isoformat()}/{uuid.uuid4().hex}")
+    notes = [f"{lake.pending}/event_date={d.isoformat()}/{uuid.uuid4().hex}" for d in dates]
+    files.each(lambda note: files.touch(spark, note), notes)
 
 
-# --- silver and gold --------------------------------------------------------
+# --- reading --------------------------------------------------------
 
 
 def read_bronze(spark: SparkSession, lake: Lake, dates: Iterable[dt.date] | None = None) -> DataFrame:
@@ -134,6 +138,19 @@ def read_gold(spark: SparkSession, lake: Lake, dates: Iterable[dt.date] | None =
     return read_table(spark, lake.gold, GOLD, dates)
 
 
+def create_views(spark: SparkSession, lake: Lake) -> None:
+    """Make the tables known to SQL as app_events_bronze, app_events,
+    app_events_quarantine and daily_user_metrics."""
+    use_utc(spark)
+    read_bronze(spark, lake).createOrReplaceTempView("app_events_bronze")
+    read_silver(spark, lake).createOrReplaceTempView("app_events")
+    read_quarantine(spark, lake).createOrReplaceTempView("app_events_quarantine")
+    read_gold(spark, lake).createOrReplaceTempView("daily_user_metrics")
+
+
+# --- silver and gold --------------------------------------------------------
+
+
 def rebuild_silver(spark: SparkSession, lake: Lake, dates: Iterable[dt.date]) -> None:
     """Deduplicate and screen the given dates anew from bronze.
 
@@ -185,9 +202,9 @@ def refresh(
     rebuild_silver(spark, lake, dates)
     rebuild_gold(spark, lake, dates)
     done = {f"event_date={d.isoformat()}" for d in dates}
-    for note in notes:
-        if note.rsplit("/", 2)[-2] in done:
-            files.delete(spark, note)
+    files.each(
+        lambda note: files.delete(spark, note), [n for n in notes if n.rsplit("/", 2)[-2] in done]
+    )
     return dates
 
 

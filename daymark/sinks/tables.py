@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 
-from daymark.sinks import filesystem as files
+from daymark import filesystem as files
 
 
 def replace_partitions(
@@ -28,8 +28,12 @@ def replace_partitions(
     files follows the data and not tasks x partitions; adaptive execution
     splits a partition that is too large for one task.
     """
-    spark = df.sparkSession
-    before = {p: files.file_names(spark, f"{path}/{p}") for p in owned}
+    spark, owned = df.sparkSession, list(owned)
+
+    def contents() -> list[frozenset[str]]:
+        return files.each(lambda p: files.file_names(spark, f"{path}/{p}"), owned)
+
+    before = contents()
     if gather:
         df = df.hint("rebalance", *keys)
     (
@@ -38,7 +42,7 @@ def replace_partitions(
         .partitionBy(*keys)
         .parquet(path)
     )
-    stale = [p for p, names in before.items() if names and files.file_names(spark, f"{path}/{p}") == names]
-    for partition in stale:
-        files.delete(spark, f"{path}/{partition}")
+    # Every write names its files anew, so an unchanged partition was not written.
+    stale = [p for p, old, new in zip(owned, before, contents()) if old and old == new]
+    files.each(lambda p: files.delete(spark, f"{path}/{p}"), stale)
     return stale

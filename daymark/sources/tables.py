@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from daymark.sinks import filesystem as files
+from daymark import filesystem as files
 
 
 def read_table(

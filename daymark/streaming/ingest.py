@@ -22,9 +22,13 @@ def start_ingest(
     max_files: int | None = None,
     max_bytes: str | None = None,
     archive: str | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Load everything now in the landing directory into bronze, then stop.
 
+    With `every`, such as "5 minutes", keep looking for more at that interval
+    until stopped; `plans.lake.refresh` can run beside it at its own pace.
+
     Each micro-batch is one bronze load named after the checkpoint's own id and
     the batch number. A batch that is repeated after a crash replaces itself,
     and a new checkpoint can never overwrite the loads of an old one. A message
@@ -46,7 +50,7 @@ def start_ingest(
         read_landing_stream(spark, landing, max_files, max_bytes, archive)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**({"processingTime": every} if every else {"availableNow": True}))
         .start()
     )
 

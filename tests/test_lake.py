@@ -121,6 +121,18 @@ def test_a_failed_refresh_stays_pending(spark, home, monkeypatch):
     assert lake.refresh(spark, home) == [D5]
 
 
+def test_views_can_be_queried(spark, home):
+    load(spark, home, "a", event(), event(event_id="e2", page="/x"))
+    lake.refresh(spark, home)
+    lake.create_views(spark, home)
+    got = spark.sql(
+        "SELECT (SELECT count(*) FROM app_events_bronze), (SELECT count(*) FROM app_events_quarantine), "
+        "sum(events_count) FROM daily_user_metrics WHERE event_date = DATE'2024-01-05'"
+    )
+    assert tuple(got.first()) == (2, 1, 1)
+    assert spark.table("app_events").count() == 1
+
+
 def test_load_names_are_checked(spark, home):
     with pytest.raises(ValueError, match="load_id"):
         load(spark, home, "a/b", event())

@@ -76,6 +76,20 @@ def test_start_ingest_leaves_the_dates_pending(spark, tmp_path, home):
     assert len(lake.refresh(spark, home)) == 4
 
 
+def test_interval_ingest_keeps_looking(spark, tmp_path, home):
+    landing = tmp_path / "landing"
+    write_lines(landing, "1.txt", *batch_of(4))
+    query = start_ingest(spark, str(landing), home, str(tmp_path / "cp"), INGEST_DATE, every="0 seconds")
+    try:
+        query.processAllAvailable()
+        write_lines(landing, "2.txt", *batch_of(4, 4))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    lake.refresh(spark, home)
+    assert lake.read_silver(spark, home).count() == 8
+
+
 @pytest.mark.parametrize("spread", [None, "file_name"])
 def test_stream_dedup_holds_across_runs(spark, tmp_path, spread):
     source, out, cp = (str(tmp_path / n) for n in ("source", "out", "cp"))
