@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 IDENTITY = ("event_id", "event_date")
 
 
-def dedup_events(events: DataFrame) -> DataFrame:
-    """Keep one copy of each (event_id, event_date); keep every row without an id.
+def dedup_events(events: DataFrame, identity: Sequence[str] = IDENTITY) -> DataFrame:
+    """Keep one copy of each `identity`; keep every row without an event_id.
 
     Rows that differ under one identity are ordered by timestamp text, absent
     ones last, then by all other columns, so the choice does not depend on the
@@ -20,11 +22,12 @@ def dedup_events(events: DataFrame) -> DataFrame:
     number of its own as part of the key, which spreads such rows evenly.
 
     The date is part of the identity, so a date can be rebuilt from its own
-    rows alone. `quality.dq_report` counts ids that occur on several dates.
+    rows alone. `quality.dq_report` counts ids that occur on several dates; over
+    a whole history, `identity=("event_id",)` keeps the earliest of those too.
     """
-    rest = [c for c in events.columns if c not in IDENTITY and c != "event_timestamp"]
+    rest = [c for c in events.columns if c not in identity and c != "event_timestamp"]
     order = [F.col(c).asc_nulls_last() for c in ("event_timestamp", *rest)]
-    copies = Window.partitionBy(*IDENTITY, "_own").orderBy(*order)
+    copies = Window.partitionBy(*identity, "_own").orderBy(*order)
     own = F.when(F.col("event_id").isNull(), F.monotonically_increasing_id())
     return (
         events.withColumn("_own", own)

@@ -53,12 +53,19 @@ def unwrap(lines: DataFrame, ingest_date: dt.date | str) -> DataFrame:
     `ingest_date`. The wall clock is never read.
     """
     outer = F.from_json("value", _ENVELOPE, _CORRUPT)
-    opened = lines.select("value", outer.alias("outer"))
+    # from_json stops at the end of the first object, so a second one on the
+    # line would be lost without a trace.
+    objects = F.json_array_length(F.concat(F.lit("["), F.col("value"), F.lit("]")))
+    opened = lines.select("value", outer.alias("outer"), objects.alias("objects"))
     opened = opened.select(
         "value",
         F.col("outer.Message").alias("message"),
         F.col("outer.Timestamp").alias("published"),
-        (F.col("outer").isNull() | F.col(f"outer.{_UNREADABLE}").isNotNull()).alias("bad_outer"),
+        (
+            F.col("outer").isNull()
+            | F.col(f"outer.{_UNREADABLE}").isNotNull()
+            | (F.coalesce(F.col("objects"), F.lit(0)) != 1)
+        ).alias("bad_outer"),
         F.from_json("outer.Message", _MESSAGE, _CORRUPT).alias("event"),
     )
     fault = (

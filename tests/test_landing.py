@@ -31,6 +31,9 @@ def test_good_message(spark):
         ("[1, 2]", "bad_envelope"),
         ('"text"', "bad_envelope"),
         ('{"Message":"{}"', "bad_envelope"),
+        ('{"Message":"{}"}{"Message":"{}"}', "bad_envelope"),
+        ('{"Message":"{}"},{"Message":"{}"}', "bad_envelope"),
+        ('{"Message":"{}"} trailing', "bad_envelope"),
         ('{"Message":"nope"}', "bad_message"),
         ('{"Message":"{\\"user_id\\": 1"}', "bad_message"),
         ('{"Message":"null"}', "bad_message"),

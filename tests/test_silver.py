@@ -171,6 +171,14 @@ def test_same_id_on_two_dates_is_two_events(spark):
     assert dedup_events(events_df(spark, event(), other)).count() == 2
 
 
+def test_identity_may_be_the_id_alone(spark):
+    events = [event(event_timestamp=f"2024-01-0{n}T00:00:00Z") for n in (6, 5, 7)]
+    bare = event(event_id=None)
+    kept = dedup_events(events_df(spark, *events, bare, bare), ("event_id",)).collect()
+    assert sorted(str(r.event_date) for r in kept if r.event_id) == ["2024-01-05"]
+    assert len(kept) == 3
+
+
 def test_copies_are_dropped_before_the_shuffle(spark):
     """One shuffle, and the limit of one row per identity on its near side."""
     df = dedup_events(spark.createDataFrame(events_df(spark, event()).collect(), events_df(spark, event()).schema))
