@@ -162,6 +162,14 @@ def gold_rebuild(spark, sf_dir):
     return _rounded_gold(lake.read_gold(spark, home))
 
 
+def reconciliation(spark, sf_dir):
+    """Counts of the stored tables against each other."""
+    home = _loaded_lake(spark, sf_dir)
+    lake.refresh(spark, home)
+    read = (lake.read_bronze, lake.read_silver, lake.read_quarantine, lake.read_gold)
+    return contracts.reconciliation(*(r(spark, home) for r in read))
+
+
 def publish_replace(spark, sf_dir):
     """Publishes gold twice; the second publish replaces the dates of the first."""
     home = _loaded_lake(spark, sf_dir)
@@ -239,6 +247,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_daily_user_metrics": lambda s, d: _rounded_gold(_gold(s, d)),
     "gold_rebuild": gold_rebuild,
     "gold_invariants": lambda s, d: contracts.metric_invariants(_gold(s, d)),
+    "dq_reconciliation": reconciliation,
     "schema_contract": lambda s, d: contracts.column_profile(_gold(s, d), GOLD),
     "serving_projection": lambda s, d: _rounded_gold(serving.serving_projection(_gold(s, d))),
     "affected_dates": lambda s, d: serving.affected_dates(_gold(s, d)),

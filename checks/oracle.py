@@ -239,6 +239,12 @@ SQL: dict[str, str] = {
         "SELECT event_id, event_date, count(*) AS copies FROM dated "
         "GROUP BY event_id, event_date HAVING count(*) > 1"
     ),
+    "dq_reconciliation": _gold(
+        "SELECT 'silver_and_quarantine_hold_every_event' AS \"check\", "
+        "(SELECT count(*) FROM typed) AS expected, (SELECT count(*) FROM judged) AS actual UNION ALL "
+        "SELECT 'gold_counts_every_silver_row', (SELECT count(*) FROM silver), "
+        "(SELECT CAST(sum(events_count) AS BIGINT) FROM gold)"
+    ),
     "dq_report": _raw(
         _union(
             [

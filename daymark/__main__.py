@@ -8,6 +8,7 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from daymark.plans import lake
+from daymark.plans.audit import audit
 from daymark.session import build_session
 from daymark.sinks import serving
 from daymark.streaming.ingest import drain
@@ -43,6 +44,7 @@ def parser() -> argparse.ArgumentParser:
         ("gold", "rebuild daily user metrics from silver"),
         ("refresh", "rebuild silver and gold; without dates, those with new loads"),
         ("publish", "replace dates in the serving table"),
+        ("audit", "report on the raw events and check the tables; fails if a table is wrong"),
     ):
         sub = stage(name, text)
         sub.add_argument("--dates", nargs="+", type=day, help="dates to work on, YYYY-MM-DD")
@@ -83,6 +85,15 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[dt.date]:
             return serving.publish_jdbc(
                 gold, args.jdbc_url, args.table, args.staging, args.dates, properties
             )
+        case "audit":
+            # A few dozen rows, one per check.
+            report = audit(spark, home, args.dates).orderBy("scope", "check").collect()
+            for row in report:
+                print(f"{row.scope:6} {row.check:45} {row.failing}")
+            wrong = [row.check for row in report if row.scope == "table" and row.failing]
+            if wrong:
+                raise SystemExit(f"Tables break these checks: {wrong}")
+            return args.dates or lake.table_dates(spark, home.bronze)
     raise ValueError(args.stage)
 
 

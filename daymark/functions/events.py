@@ -31,10 +31,14 @@ def event_date(timestamp_text: Column, *fallbacks: Column | dt.date | str) -> Co
     Where the text is absent or unreadable the first fallback that has a value
     counts, so that no row falls into an ever-growing null partition.
     """
-    others = [f if isinstance(f, Column) else F.lit(str(f)).cast("date") for f in fallbacks]
+    others = [f if isinstance(f, Column) else _date_literal(f) for f in fallbacks]
     return F.coalesce(stated_date(timestamp_text), *others)
 
 
+def _date_literal(day: dt.date | str) -> Column:
+    return F.lit(day if isinstance(day, dt.date) else dt.date.fromisoformat(day))
+
+
 def utc_timestamp(timestamp_text: Column) -> Column:
     """UTC wall-clock time of an ISO-8601 text, else null.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from daymark.functions.events import count_where
+from daymark.operators.dedup import IDENTITY
 from daymark.schemas import GOLD_KEY, GOLD_NOT_NULL
 
 
@@ -79,6 +80,35 @@ def metric_invariants(gold: DataFrame) -> DataFrame:
     return counts.unpivot(["gold_rows"], list(broken), "invariant", "violations")
 
 
+def reconciliation(
+    bronze: DataFrame, silver: DataFrame, rejected: DataFrame, gold: DataFrame
+) -> DataFrame:
+    """Row counts that must agree between the stages: expected equals actual if sound."""
+    once = F.when(F.col("event_id").isNull(), F.col("copies")).otherwise(1)
+    events = (
+        bronze.groupBy(*IDENTITY)
+        .agg(F.count("*").alias("copies"))
+        .agg(F.coalesce(F.sum(once), F.lit(0)).alias("rows"))
+    )
+    judged = silver.select("event_date").unionAll(rejected.select("event_date"))
+    in_gold = gold.agg(F.coalesce(F.sum("events_count"), F.lit(0)).alias("rows"))
+
+    def check(name: str, expected: DataFrame, actual: DataFrame) -> DataFrame:
+        # One row each.
+        pair = expected.select(F.col("rows").alias("expected"), F.lit(None).cast("bigint").alias("actual"))
+        pair = pair.unionAll(actual.select(F.lit(None).cast("bigint"), F.col("rows")))
+        return pair.agg(F.max("expected").alias("expected"), F.max("actual").alias("actual")).select(
+            F.lit(name).alias("check"), "expected", "actual"
+        )
+
+    def rows(df: DataFrame) -> DataFrame:
+        return df.agg(F.count("*").alias("rows"))
+
+    return check("silver_and_quarantine_hold_every_event", events, rows(judged)).unionAll(
+        check("gold_counts_every_silver_row", rows(silver), in_gold)
+    )
+
+
 def require_sound(gold: DataFrame) -> None:
     """Raise ValueError if the table breaks its NOT NULL or key constraints."""
     nulls = [r.column_name for r in null_violations(gold).filter("null_rows > 0").collect()]

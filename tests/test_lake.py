@@ -10,6 +10,7 @@ from daymark.operators.daily_metrics import daily_user_metrics
 from daymark.operators import screening
 from daymark.operators.dedup import dedup_events
 from daymark.plans import lake
+from daymark.plans.audit import audit
 from daymark.sources.tables import read_table, table_dates
 from daymark.schemas import BRONZE
 from helpers import INGEST_DATE, envelope, event, events_df, rows, write_lines
@@ -169,6 +170,19 @@ def test_one_file_per_partition_however_many_tasks(spark, home):
         assert len(files(table)) == 5
 
 
+def test_audit_passes_a_sound_lake_and_finds_a_wrong_table(spark, home):
+    load(spark, home, "a", event(), event(), event(event_id=None), event(event_id="e2", user_id="x"))
+    lake.refresh(spark, home)
+    args = parser().parse_args(["audit", "--lake", home.root])
+    assert run(spark, args) == [D5]
+    failing = {(r.scope, r.check): r.failing for r in audit(spark, home).collect()}
+    assert failing["raw", "event_id_unique"] == 1 and failing["raw", "user_id_is_integer"] == 1
+    assert not any(n for (scope, _), n in failing.items() if scope == "table")
+    lake.read_gold(spark, home).drop("event_date").write.parquet(f"{home.gold}/event_date=2024-01-06")
+    with pytest.raises(SystemExit, match="gold_counts_every_silver_row"):
+        run(spark, args)
+
+
 def test_command_line(spark, tmp_path):
     landing, home = tmp_path / "landing", str(tmp_path / "lake")
     write_lines(landing, "1.txt", envelope(event()), envelope(event(event_id="e2", event_timestamp=ON_6)), "x")
