@@ -15,7 +15,7 @@ from daymark.operators import contracts, quality, screening
 from daymark.operators.daily_metrics import daily_user_metrics
 from daymark.operators.dedup import dedup_events
 from daymark.plans import kpi, lake
-from daymark.plans.customer360 import customer_360
+from daymark.plans.customer_view import customer_view
 from daymark.schemas import EVENT_COLUMNS, GOLD
 from daymark.session import scratch_path, use_utc
 from daymark.sinks import serving
@@ -225,7 +225,7 @@ def order_revenue(spark, sf_dir):
 
 
 def full_customer_view(spark, sf_dir):
-    view = customer_360(
+    view = customer_view(
         table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders"), _gold(spark, sf_dir)
     )
     return _rounded(view, 2, "orders_total", "activity_amount")

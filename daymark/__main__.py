@@ -36,7 +36,9 @@ def parser() -> argparse.ArgumentParser:
         else:
             sub.add_argument("--checkpoint", required=True)
             sub.add_argument("--max-files", type=int, help="files per micro-batch")
-            sub.add_argument("--max-bytes", help="bytes per micro-batch, such as 500g")
+            sub.add_argument(
+                "--max-bytes", type=int, help="bytes per micro-batch; 1 TB without --max-files"
+            )
             sub.add_argument("--archive", help="folder consumed files are moved to")
 
     for name, text in (
@@ -66,6 +68,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[dt.date]:
             return lake.ingest_batch(spark, args.landing, home, args.load_id, args.ingest_date)
         case "drain":
             limits = {k: getattr(args, k) for k in ("max_files", "max_bytes", "archive")}
+            if args.max_files is None and args.max_bytes is None:
+                limits["max_bytes"] = 2**40
             return drain(spark, args.landing, home, args.checkpoint, args.ingest_date, **limits)
         case "silver":
             dates = args.dates or lake.table_dates(spark, home.bronze)

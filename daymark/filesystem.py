@@ -43,6 +43,12 @@ def file_names(spark: SparkSession, directory: str) -> frozenset[str]:
     return frozenset(p.rsplit("/", 1)[-1] for p in matching(spark, f"{directory}/*"))
 
 
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below a directory; 0 if there is none."""
+    fs, hadoop_path = _open(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength() if fs.exists(hadoop_path) else 0
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _open(spark, path)
     fs.delete(hadoop_path, True)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def customer_360(customers: DataFrame, orders: DataFrame, gold: DataFrame) -> DataFrame:
+def customer_view(customers: DataFrame, orders: DataFrame, gold: DataFrame) -> DataFrame:
     """Customer attributes with order and activity totals; every customer is kept.
 
     Both fact tables are summed to one row per customer first, so no join

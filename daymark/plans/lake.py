@@ -21,12 +21,15 @@ from daymark.operators.daily_metrics import daily_user_metrics
 from daymark.operators.dedup import dedup_events
 from daymark.operators.screening import ACCEPTED, REJECTED, screen
 from daymark.schemas import BRONZE, EVENT_COLUMNS, EVENT_TEXT, GOLD, QUARANTINE, SILVER
-from daymark.session import use_utc
+from daymark.session import shuffles_for, use_utc
 from daymark import filesystem as files
 from daymark.sinks.tables import replace_partitions
 from daymark.sources.landing import read_landing, unwrap
 from daymark.sources.tables import read_table, table_dates
 
+# Parquet bytes rebuilt in one go.
+GROUP_BYTES = 2**40
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -158,33 +161,54 @@ def rebuild_silver(spark: SparkSession, lake: Lake, dates: Iterable[dt.date]) ->
     A single date needs no gathering: the shuffle of the deduplication already
     leaves tasks of a good size.
     """
-    dates = sorted(set(dates))
-    if not dates:
-        return
     use_utc(spark)
-    events = read_bronze(spark, lake, dates).drop("load_id")
-    replace_partitions(
-        screen(dedup_events(events)),
-        lake.screened,
-        ("verdict", "event_date"),
-        [f"verdict={v}/event_date={d.isoformat()}" for v in (ACCEPTED, REJECTED) for d in dates],
-        gather=len(dates) > 1,
-    )
+    for group, size in _groups(spark, lake.bronze, dates):
+        events = read_bronze(spark, lake, group).drop("load_id")
+        with shuffles_for(spark, size):
+            replace_partitions(
+                screen(dedup_events(events)),
+                lake.screened,
+                ("verdict", "event_date"),
+                [f"verdict={v}/event_date={d.isoformat()}" for v in (ACCEPTED, REJECTED) for d in group],
+                gather=len(group) > 1,
+            )
 
 
 def rebuild_gold(spark: SparkSession, lake: Lake, dates: Iterable[dt.date]) -> None:
     """Aggregate the given dates anew from silver."""
-    dates = sorted(set(dates))
-    if not dates:
-        return
     use_utc(spark)
-    replace_partitions(
-        daily_user_metrics(read_silver(spark, lake, dates)),
-        lake.gold,
-        ("event_date",),
-        [f"event_date={d.isoformat()}" for d in dates],
-        gather=len(dates) > 1,
+    for group, size in _groups(spark, lake.silver, dates):
+        with shuffles_for(spark, size):
+            replace_partitions(
+                daily_user_metrics(read_silver(spark, lake, group)),
+                lake.gold,
+                ("event_date",),
+                [f"event_date={d.isoformat()}" for d in group],
+                gather=len(group) > 1,
+            )
+
+
+def _groups(
+    spark: SparkSession, table: str, dates: Iterable[dt.date], most_bytes: int = GROUP_BYTES
+) -> list[tuple[list[dt.date], int]]:
+    """Dates in order, in runs of at most `most_bytes` of `table`, with each run's size.
+
+    Dates do not depend on each other, so a long history is rebuilt run by run:
+    the shuffle of one run at a time is on the cluster's disks, and a failure
+    costs one run. A date larger than that is a run of its own.
+    """
+    dates = sorted(set(dates))
+    sizes = files.each(
+        lambda d: files.total_bytes(spark, f"{table}/event_date={d.isoformat()}"), dates
     )
+    groups: list[tuple[list[dt.date], int]] = []
+    for date, size in zip(dates, sizes):
+        if groups and groups[-1][1] + size <= most_bytes:
+            group, total = groups.pop()
+            groups.append(([*group, date], total + size))
+        else:
+            groups.append(([date], size))
+    return groups
 
 
 def refresh(
@@ -192,19 +216,22 @@ def refresh(
 ) -> list[dt.date]:
     """Rebuild silver and gold for `dates`, or for all pending ones; return the dates.
 
-    A pending note is removed only after both tables are rebuilt, and only if
-    it was there at the start: a load that comes in meanwhile stays pending.
+    A pending note is removed once both tables are rebuilt for its date, and
+    only if it was there at the start: a load that comes in meanwhile stays
+    pending, and so do the dates a failure leaves undone.
     """
+    use_utc(spark)
     notes = files.matching(spark, f"{lake.pending}/event_date=*/*")
     if dates is None:
         dates = {dt.date.fromisoformat(n.rsplit("event_date=", 1)[-1][:10]) for n in notes}
     dates = sorted(set(dates))
-    rebuild_silver(spark, lake, dates)
-    rebuild_gold(spark, lake, dates)
-    done = {f"event_date={d.isoformat()}" for d in dates}
-    files.each(
-        lambda note: files.delete(spark, note), [n for n in notes if n.rsplit("/", 2)[-2] in done]
-    )
+    for group, _ in _groups(spark, lake.bronze, dates):
+        rebuild_silver(spark, lake, group)
+        rebuild_gold(spark, lake, group)
+        done = {f"event_date={d.isoformat()}" for d in group}
+        files.each(
+            lambda note: files.delete(spark, note), [n for n in notes if n.rsplit("/", 2)[-2] in done]
+        )
     return dates
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +34,30 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}")
 
 
+# Parquet bytes per shuffle partition: about four times as much once decoded.
+_SHARE = 32 * 2**20
+# Beyond this, bookkeeping per map task outweighs smaller partitions; sorts spill.
+_MOST_PARTITIONS = 50_000
+
+
+@contextmanager
+def shuffles_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Enough shuffle partitions for a job over `input_bytes` of Parquet.
+
+    Adaptive execution merges partitions that turn out small, but does not
+    split those of an aggregate or window that are too large. The session's own
+    number is the least.
+    """
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    needed = min(math.ceil(input_bytes / _SHARE), _MOST_PARTITIONS)
+    spark.conf.set(setting, str(max(int(before), needed)))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder name in the shared folder the cluster names for checkpoints."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")

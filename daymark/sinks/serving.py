@@ -7,9 +7,10 @@ import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from daymark.operators.contracts import require_columns, require_sound
-from daymark.schemas import GOLD
+from daymark.schemas import GOLD, GOLD_KEY
 from daymark.session import use_utc
 from daymark.sinks.tables import replace_partitions
 
@@ -50,22 +51,21 @@ def publish_parquet(
     return dates
 
 
-CREATE_TABLE = """CREATE TABLE IF NOT EXISTS {table} (
-    event_date date NOT NULL,
-    user_id bigint NOT NULL,
-    events_count bigint NOT NULL,
-    page_view_count bigint NOT NULL,
-    login_count bigint NOT NULL,
-    add_to_cart_count bigint NOT NULL,
-    checkout_count bigint NOT NULL,
-    error_count bigint NOT NULL,
-    purchase_events bigint NOT NULL,
-    error_events bigint NOT NULL,
-    total_amount double precision,
-    first_event_ts timestamp with time zone,
-    last_event_ts timestamp with time zone,
-    PRIMARY KEY (event_date, user_id)
-)"""
+_SQL_TYPES = {
+    T.DateType(): "date",
+    T.LongType(): "bigint",
+    T.DoubleType(): "double precision",
+    T.TimestampNTZType(): "timestamp with time zone",
+}
+
+
+def create_statement(table: str) -> str:
+    """SQL that creates the serving table where it does not exist."""
+    columns = [
+        f"{f.name} {_SQL_TYPES[f.dataType]}{'' if f.nullable else ' NOT NULL'}" for f in GOLD.fields
+    ]
+    key = f"PRIMARY KEY ({', '.join(GOLD_KEY)})"
+    return f"CREATE TABLE IF NOT EXISTS {table} ({', '.join([*columns, key])})"
 
 
 def replace_statements(table: str, staging: str, dates: Iterable[dt.date]) -> list[str]:
@@ -80,7 +80,7 @@ def replace_statements(table: str, staging: str, dates: Iterable[dt.date]) -> li
     columns = ", ".join(GOLD.fieldNames())
     days = ", ".join(f"DATE '{d.isoformat()}'" for d in dates)
     return [
-        CREATE_TABLE.format(table=table),
+        create_statement(table),
         f"DELETE FROM {table} WHERE event_date IN ({days})",
         f"INSERT INTO {table} ({columns}) SELECT DISTINCT {columns} FROM {staging}",
     ]

@@ -26,7 +26,7 @@ def read_landing_stream(
     spark: SparkSession,
     path: str,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     archive: str | None = None,
 ) -> DataFrame:
     """Envelope lines as a stream, bounded per micro-batch by files or bytes.

@@ -20,7 +20,7 @@ def start_ingest(
     checkpoint: str,
     ingest_date: dt.date | str,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     archive: str | None = None,
     every: str | None = None,
 ) -> StreamingQuery:

@@ -10,7 +10,7 @@ from daymark.operators import screening
 from daymark.operators.daily_metrics import daily_user_metrics
 from daymark.operators.ranking import ntile_within
 from daymark.plans import kpi
-from daymark.plans.customer360 import customer_360
+from daymark.plans.customer_view import customer_view
 from helpers import event, events_df, rows
 
 
@@ -64,7 +64,7 @@ def test_order_revenue_keeps_orders_without_lines(spark):
     assert rows(kpi.order_revenue_daily(orders, lines)) == [(d(1), 2, 15.0, 10.0)]
 
 
-def test_customer_360_keeps_every_customer_once(spark, silver):
+def test_customer_view_keeps_every_customer_once(spark, silver):
     customers = spark.createDataFrame(
         [(7, "x", 1, 0.0, "A"), (99, "y", 2, 1.0, "B")],
         "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
@@ -73,7 +73,7 @@ def test_customer_360_keeps_every_customer_once(spark, silver):
         [(1, 7, 3.0, dt.datetime(2024, 1, 1)), (2, 7, 4.0, dt.datetime(2024, 1, 2))],
         "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz",
     )
-    active, idle = customer_360(customers, orders, daily_user_metrics(silver)).orderBy("c_custkey").collect()
+    active, idle = customer_view(customers, orders, daily_user_metrics(silver)).orderBy("c_custkey").collect()
     assert (active.orders_count, active.orders_total, active.events_count, active.active_days) == (2, 7.0, 3, 2)
     assert (idle.orders_count, idle.orders_total, idle.events_count, idle.last_event_ts) == (0, None, 0, None)
 

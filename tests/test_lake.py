@@ -13,6 +13,7 @@ from daymark.plans import lake
 from daymark.plans.audit import audit
 from daymark.sources.tables import read_table, table_dates
 from daymark.schemas import BRONZE
+from daymark.session import shuffles_for
 from helpers import INGEST_DATE, envelope, event, events_df, rows, write_lines
 
 D5, D6 = dt.date(2024, 1, 5), dt.date(2024, 1, 6)
@@ -162,6 +163,42 @@ def test_incremental_equals_full(spark, home):
     assert rows(lake.read_gold(spark, home)) == rows(daily_user_metrics(whole))
 
 
+def test_a_long_history_is_rebuilt_in_runs(spark, home, monkeypatch):
+    days = [f"2024-01-0{n}T00:00:00Z" for n in range(1, 6)]
+    load(spark, home, "a", *[event(event_id=f"e{d}", event_timestamp=d) for d in days])
+    one = lake.files.total_bytes(spark, f"{home.bronze}/event_date=2024-01-01")
+    dates = table_dates(spark, home.bronze)
+    runs = lambda limit: [len(g) for g, _ in lake._groups(spark, home.bronze, dates, limit)]
+    assert runs(10 * one) == [5]
+    assert runs(2 * one + one // 2) == [2, 2, 1]
+    assert runs(1) == [1] * 5
+
+    monkeypatch.setattr(lake._groups, "__defaults__", (2 * one + one // 2,))
+    rebuild_gold, calls = lake.rebuild_gold, []
+
+    def fail_on_second(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        rebuild_gold(*args)
+
+    monkeypatch.setattr(lake, "rebuild_gold", fail_on_second)
+    with pytest.raises(RuntimeError):
+        lake.refresh(spark, home)
+    monkeypatch.setattr(lake, "rebuild_gold", rebuild_gold)
+    assert lake.refresh(spark, home) == dates[2:]
+    assert lake.read_gold(spark, home).count() == 5
+
+
+def test_shuffles_follow_the_input(spark):
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    for size, expected in ((0, before), (2**30, "32"), (2**40, "32768"), (2**50, "50000")):
+        with shuffles_for(spark, size):
+            assert spark.conf.get(setting) == expected
+        assert spark.conf.get(setting) == before
+
+
 def test_one_file_per_partition_however_many_tasks(spark, home):
     events = [event(event_id=f"e{i}", event_timestamp=f"2024-01-0{1 + i % 5}T00:00:00Z") for i in range(50)]
     lake.write_load(events_df(spark, *events).repartition(8), home, "a")

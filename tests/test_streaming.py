@@ -17,13 +17,13 @@ def batch_of(n, start=0):
     ]
 
 
-@pytest.mark.parametrize("max_files", [1, 2, None])
-def test_stream_equals_batch(spark, tmp_path, max_files):
+@pytest.mark.parametrize("limit", [{"max_files": 1}, {"max_files": 2}, {"max_bytes": 10}, {}])
+def test_stream_equals_batch(spark, tmp_path, limit):
     landing = tmp_path / "landing"
     for n in range(3):
         write_lines(landing, f"{n}.txt", *batch_of(10, 7 * n), "broken", '{"Message":""}')
     streamed, batched = Lake(str(tmp_path / "s")), Lake(str(tmp_path / "b"))
-    dates = drain(spark, str(landing), streamed, str(tmp_path / "cp"), INGEST_DATE, max_files=max_files)
+    dates = drain(spark, str(landing), streamed, str(tmp_path / "cp"), INGEST_DATE, **limit)
     lake.ingest_batch(spark, str(landing), batched, "all", INGEST_DATE)
     assert lake.refresh(spark, batched) == dates
     for read in (lake.read_silver, lake.read_gold):
@@ -76,6 +76,19 @@ def test_start_ingest_leaves_the_dates_pending(spark, tmp_path, home):
     assert len(lake.refresh(spark, home)) == 4
 
 
+def test_consumed_files_are_archived_after_their_batch(spark, tmp_path, home):
+    """The clean-up of a batch runs with the next one."""
+    landing, archive, cp = tmp_path / "landing", tmp_path / "archive", str(tmp_path / "cp")
+    for n in range(2):
+        write_lines(landing, f"{n}.txt", *batch_of(4, 4 * n))
+        drain(spark, str(landing), home, cp, INGEST_DATE, archive=str(archive))
+    write_lines(landing, "2.txt", *batch_of(1, 8))
+    drain(spark, str(landing), home, cp, INGEST_DATE, archive=str(archive))
+    assert lake.read_silver(spark, home).count() == 9
+    archived = {p.name for p in archive.rglob("*.txt")}
+    assert archived and archived | {p.name for p in landing.glob("*.txt")} == {"0.txt", "1.txt", "2.txt"}
+
+
 def test_interval_ingest_keeps_looking(spark, tmp_path, home):
     landing = tmp_path / "landing"
     write_lines(landing, "1.txt", *batch_of(4))
