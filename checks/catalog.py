@@ -253,7 +253,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "affected_dates": lambda s, d: serving.affected_dates(_gold(s, d)),
     "publish_replace": publish_replace,
     "dq_not_null": lambda s, d: contracts.null_violations(_gold(s, d)),
-    "dq_unique_key": lambda s, d: contracts.duplicate_keys(_gold(s, d)),
+    "dq_unique_key": lambda s, d: contracts.key_summary(_gold(s, d)),
     "dq_duplicate_events": lambda s, d: contracts.duplicate_keys(
         dated_events(s, d), ("event_id", "event_date")
     ),

@@ -232,8 +232,8 @@ SQL: dict[str, str] = {
         )
     ),
     "dq_unique_key": _gold(
-        "SELECT event_date, user_id, count(*) AS copies FROM gold "
-        "GROUP BY event_date, user_id HAVING count(*) > 1"
+        "SELECT count(*) AS distinct_keys, count(*) FILTER (copies > 1) AS duplicate_keys "
+        "FROM (SELECT count(*) AS copies FROM gold GROUP BY event_date, user_id)"
     ),
     "dq_duplicate_events": _raw(
         "SELECT event_id, event_date, count(*) AS copies FROM dated "

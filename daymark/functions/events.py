@@ -48,6 +48,15 @@ def utc_timestamp(timestamp_text: Column) -> Column:
     return F.when(stated_date(timestamp_text).isNotNull(), instant)
 
 
+def whole_number(text: Column) -> Column:
+    """The bigint a text holds, else null; `7.0` counts, as senders whose column
+    has gaps write whole numbers that way."""
+    decimal = text.try_cast("decimal(38,18)")
+    return F.coalesce(
+        text.try_cast("bigint"), F.when(decimal == F.floor(decimal), decimal.try_cast("bigint"))
+    )
+
+
 def one_of(value: Column, allowed: tuple[str, ...]) -> Column:
     """Exact membership; null is not a member."""
     return F.coalesce(value.isin(*allowed), F.lit(False))

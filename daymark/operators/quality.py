@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymark.functions.events import count_where, one_of, utc_timestamp
+from daymark.functions.events import count_where, one_of, utc_timestamp, whole_number
 from daymark.schemas import AMOUNT_RANGE, ERROR_CODES, EVENT_TYPES, PAGES, PRODUCT_ID_RANGE
 from daymark.session import require_utc
 
@@ -14,7 +14,7 @@ def _row_rules() -> dict[str, Column]:
     """Rule name -> condition under which a row fails it. Null counts as no failure."""
     c = F.col
     has_item = c("event_type").isin("add_to_cart", "checkout")
-    user_id, product_id = c("user_id").try_cast("bigint"), c("product_id").try_cast("bigint")
+    user_id, product_id = whole_number(c("user_id")), whole_number(c("product_id"))
     amount = c("amount").try_cast("double")
     is_finite = ~F.isnan(amount) & (F.abs(amount) < float("inf"))
     return {

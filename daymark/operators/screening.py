@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.functions.events import flag, row_fault, utc_timestamp
+from daymark.functions.events import flag, row_fault, utc_timestamp, whole_number
 from daymark.schemas import EVENT_COLUMNS, SILVER
 from daymark.session import require_utc
 
@@ -17,8 +17,8 @@ def enforce_types(events: DataFrame) -> DataFrame:
     require_utc(events.sparkSession)
     return events.withColumns(
         {
-            "typed_user_id": F.col("user_id").try_cast("bigint"),
-            "typed_product_id": F.col("product_id").try_cast("bigint"),
+            "typed_user_id": whole_number(F.col("user_id")),
+            "typed_product_id": whole_number(F.col("product_id")),
             "typed_amount": F.col("amount").try_cast("double"),
             "event_timestamp_ts": utc_timestamp(F.col("event_timestamp")),
         }

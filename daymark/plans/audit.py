@@ -31,7 +31,7 @@ def audit(spark: SparkSession, lake: Lake, dates: Iterable[dt.date] | None = Non
     nulls = contracts.null_violations(gold).select(
         F.concat("column_name", F.lit("_not_null")), "null_rows"
     )
-    keys = contracts.duplicate_keys(gold).agg(F.count("*")).select(F.lit("gold_key_unique"), "*")
+    keys = contracts.key_summary(gold).select(F.lit("gold_key_unique"), "duplicate_keys")
     rules = contracts.metric_invariants(gold).select("invariant", "violations")
     sums = contracts.reconciliation(bronze, silver, rejected, gold).select(
         "check", F.abs(F.col("expected") - F.col("actual"))

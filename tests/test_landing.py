@@ -70,12 +70,14 @@ def test_whole_and_fractional_amounts_mix(spark):
 
 
 def test_user_id_forms(spark):
-    forms = [7, "7", "abc", {"x": 1}, None, 12345678901234567890]
+    forms = [7, "7", 7.0, "7.00", " 7 ", 9007199254740993, "abc", 7.5, {"x": 1}, True, None, 12345678901234567890, "1e30", "NaN"]
     opened = unwrap(lines_df(spark, *(envelope(event(user_id=u)) for u in forms)), INGEST_DATE)
-    assert [r.user_id for r in screening.clean(opened).collect()] == [7, 7]
+    assert [r.user_id for r in screening.clean(opened).collect()] == [7] * 5 + [9007199254740993]
     rejected = screening.quarantine(opened).collect()
-    assert [r.reason for r in rejected] == ["bad_user_id"] * 4
-    assert {r.user_id for r in rejected} == {"abc", '{"x":1}', None, "12345678901234567890"}
+    assert [r.reason for r in rejected] == ["bad_user_id"] * 8
+    assert {r.user_id for r in rejected} == {
+        "abc", "7.5", '{"x":1}', "true", None, "12345678901234567890", "1e30", "NaN",
+    }
 
 
 def test_unknown_keys_are_ignored(spark):

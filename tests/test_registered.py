@@ -48,3 +48,26 @@ def test_golden_counts(spark):
         "bad_event_timestamp": 22,
     }
     assert silver.filter("event_date <> date(event_timestamp_ts)").count() == 3
+
+
+STORED = {
+    "bronze_ingest", "ingest_quarantine", "silver_rebuild", "silver_scan", "gold_rebuild",
+    "publish_replace", "dq_reconciliation", "stream_equals_batch", "stream_dedup",
+}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STORED))
+def test_plan_shape(spark, name):
+    """No cross or nested-loop join, no Python in the plan, no window over a whole table."""
+    broadcast = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(broadcast)
+    spark.conf.set(broadcast, "-1")
+    try:
+        plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(broadcast, before)
+    for unwanted in ("CartesianProduct", "NestedLoop", "Python", "Pandas", "SortAggregate", "ObjectHash"):
+        assert unwanted not in plan
+    if "SinglePartition" in plan:
+        # Only for aggregates of everything, after a partial step.
+        assert plan.count("SinglePartition") == plan.count("keys=[], functions=[partial") + plan.count("keys=[], functions=[merge")
