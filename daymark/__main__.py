@@ -4,16 +4,53 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from daymark.plans import lake
+from daymark.plans import kpi, lake
 from daymark.plans.audit import audit
+from daymark.plans.customer_view import customer_view
 from daymark.session import build_session
 from daymark.sinks import serving
 from daymark.streaming.ingest import drain
 
 
+class _Inputs:
+    """Tables and arguments of a KPI, read or checked when asked for."""
+
+    def __init__(self, spark: SparkSession, home: lake.Lake, args: argparse.Namespace) -> None:
+        self.spark, self.home, self.args = spark, home, args
+
+    @property
+    def silver(self) -> DataFrame:
+        return lake.read_silver(self.spark, self.home)
+
+    @property
+    def gold(self) -> DataFrame:
+        return lake.read_gold(self.spark, self.home)
+
+    def need(self, name: str):
+        value = getattr(self.args, name)
+        if value is None:
+            raise SystemExit(f"kpi {self.args.name} needs --{name.replace('_', '-')}")
+        return value
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(self.need(name))
+
+
+KPIS: dict[str, Callable[[_Inputs], DataFrame]] = {
+    "event_revenue_daily": lambda i: kpi.event_revenue_daily(i.silver),
+    "order_revenue_daily": lambda i: kpi.order_revenue_daily(i.table("orders"), i.table("lineitem")),
+    "retention": lambda i: kpi.retention(i.gold),
+    "churn_proxy": lambda i: kpi.churn_proxy(i.gold, i.table("customers"), i.need("as_of")),
+    "rfm_segments": lambda i: kpi.rfm_segments(i.table("orders")),
+    "daily_summary": lambda i: kpi.daily_summary(i.silver),
+    "customer_view": lambda i: customer_view(i.table("customers"), i.table("orders"), i.gold),
+}
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="daymark", description=__doc__)
     stages = top.add_subparsers(dest="stage", required=True)
@@ -41,6 +78,13 @@ def parser() -> argparse.ArgumentParser:
             )
             sub.add_argument("--archive", help="folder consumed files are moved to")
 
+    sub = stage("kpi", "compute a KPI table and write it as Parquet")
+    sub.add_argument("name", choices=sorted(KPIS))
+    sub.add_argument("--out", required=True, help="folder the table is written to, replacing it")
+    sub.add_argument("--as-of", type=day, help="day churn is judged on")
+    for table in ("customers", "orders", "lineitem"):
+        sub.add_argument(f"--{table}", help=f"Parquet folder of {table}, where the KPI needs it")
+
     for name, text in (
         ("silver", "rebuild silver and quarantine from bronze"),
         ("gold", "rebuild daily user metrics from silver"),
@@ -89,6 +133,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[dt.date]:
             return serving.publish_jdbc(
                 gold, args.jdbc_url, args.table, args.staging, args.dates, properties
             )
+        case "kpi":
+            KPIS[args.name](_Inputs(spark, home, args)).write.mode("overwrite").parquet(args.out)
+            return []
         case "audit":
             # A few dozen rows, one per check.
             report = audit(spark, home, args.dates).orderBy("scope", "check").collect()

@@ -19,7 +19,8 @@ def dedup_events(events: DataFrame, identity: Sequence[str] = IDENTITY) -> DataF
     identity in each task before the shuffle: an id that holds a large share of
     the rows sends one row per task. The id leads the sort because its first
     bytes tell rows apart, which the date's do not. A row without an id gets a
-    number of its own as part of the key, which spreads such rows evenly.
+    number of its own as part of the key, which spreads such rows evenly; the
+    numbers follow the order of reading, which for files a re-run repeats.
 
     The date is part of the identity, so a date can be rebuilt from its own
     rows alone. `quality.dq_report` counts ids that occur on several dates; over

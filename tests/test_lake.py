@@ -238,3 +238,19 @@ def test_command_line(spark, tmp_path):
     write_lines(landing, "2.txt", envelope(event(event_id="e3")))
     assert go("drain", "--landing", str(landing), "--ingest-date", INGEST_DATE, "--checkpoint", str(tmp_path / "cp")) == days
     assert {r.events_count for r in lake.read_gold(spark, lake.Lake(home)).filter("event_date = '2024-01-05'").collect()} == {2}
+
+
+def test_kpi_stage(spark, tmp_path, home):
+    load(spark, home, "a", event(), event(event_id="e2", user_id="8"))
+    lake.refresh(spark, home)
+    out = str(tmp_path / "kpi")
+
+    def go(*args):
+        return run(spark, parser().parse_args(["kpi", *args, "--lake", home.root, "--out", out]))
+
+    go("daily_summary")
+    assert spark.read.parquet(out).first().active_users == 2
+    go("retention")
+    assert spark.read.parquet(out).first().cohort_size == 2
+    with pytest.raises(SystemExit, match="--customers"):
+        go("churn_proxy")
