@@ -72,18 +72,27 @@ def event_date_derive(spark, sf_dir):
     return dated_events(spark, sf_dir).select("event_id", "event_timestamp", "event_date")
 
 
-def _landing(spark: SparkSession, sf_dir: str, files: int = 6) -> str:
+def _landing(spark: SparkSession, sf_dir: str) -> str:
+    """Landing files, as many as the cluster has cores."""
     path = scratch_path(spark, "landing")
-    envelope_lines(spark, sf_dir).repartition(files).write.text(path)
+    envelope_lines(spark, sf_dir).repartition(_cores(spark)).write.text(path)
     return path
 
 
+def _cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
+def _some_files(spark: SparkSession) -> int:
+    """Files per micro-batch, so that the landing files take about three."""
+    return -(-_cores(spark) // 3)
+
+
 def bronze_ingest(spark, sf_dir):
-    """Streams the landing files into bronze, two per micro-batch, and reads bronze."""
-    home = lake.Lake(scratch_path(spark, "lake"))
-    start_ingest(
-        spark, _landing(spark, sf_dir), home, scratch_path(spark, "checkpoint"), INGEST_DATE, max_files=2
-    ).awaitTermination()
+    """Streams the landing files into bronze in several micro-batches and reads bronze."""
+    home, landing = lake.Lake(scratch_path(spark, "lake")), _landing(spark, sf_dir)
+    checkpoint, limit = scratch_path(spark, "checkpoint"), _some_files(spark)
+    start_ingest(spark, landing, home, checkpoint, INGEST_DATE, max_files=limit).awaitTermination()
     return (
         lake.read_bronze(spark, home)
         .groupBy("event_date")
@@ -188,7 +197,8 @@ def stream_equals_batch(spark, sf_dir):
     """Gold by way of the stream, checked against the same SQL as the batch gold."""
     home = lake.Lake(scratch_path(spark, "lake"))
     landing = _landing(spark, sf_dir)
-    drain(spark, landing, home, scratch_path(spark, "checkpoint"), INGEST_DATE, max_files=2)
+    checkpoint, limit = scratch_path(spark, "checkpoint"), _some_files(spark)
+    drain(spark, landing, home, checkpoint, INGEST_DATE, max_files=limit)
     return _rounded_gold(lake.read_gold(spark, home))
 
 
@@ -196,10 +206,10 @@ def stream_dedup(spark, sf_dir):
     """Copies dropped within the stream, thinned out by landing file first."""
     landing, out = scratch_path(spark, "landing"), scratch_path(spark, "stream")
     events = dated_events(spark, sf_dir)
-    events.repartition(4).write.parquet(landing)
+    events.repartition(_cores(spark)).write.parquet(landing)
     files = (
         spark.readStream.schema(events.schema)
-        .option("maxFilesPerTrigger", 2)
+        .option("maxFilesPerTrigger", _some_files(spark))
         .parquet(landing)
         .select("*", "_metadata.file_name", "_metadata.file_modification_time")
     )

@@ -110,7 +110,7 @@ def _note_pending(spark: SparkSession, lake: Lake, dates: Iterable[dt.date]) ->
     files.each(lambda note: files.touch(spark, note), notes)
 
 
-# --- reading --------------------------------------------------------
+# --- reading ----------------------------------------------------------------
 
 
 def read_bronze(spark: SparkSession, lake: Lake, dates: Iterable[dt.date] | None = None) -> DataFrame:
