@@ -63,12 +63,14 @@ def parser() -> argparse.ArgumentParser:
     day = dt.date.fromisoformat
     for name, text in (
         ("ingest", "load a landing folder into bronze in one batch"),
+        ("import", "load a Parquet table of events made elsewhere into bronze"),
         ("drain", "stream what has landed into bronze, then refresh the touched dates"),
     ):
         sub = stage(name, text)
-        sub.add_argument("--landing", required=True, help="folder of envelope lines")
+        source = "Parquet table" if name == "import" else "folder of envelope lines"
+        sub.add_argument("--landing", required=True, help=source)
         sub.add_argument("--ingest-date", required=True, type=day, help="date of undated events")
-        if name == "ingest":
+        if name in ("ingest", "import"):
             sub.add_argument("--load-id", required=True, help="name of the load; repeating it replaces it")
         else:
             sub.add_argument("--checkpoint", required=True)
@@ -110,6 +112,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[dt.date]:
     match args.stage:
         case "ingest":
             return lake.ingest_batch(spark, args.landing, home, args.load_id, args.ingest_date)
+        case "import":
+            return lake.import_table(spark, args.landing, home, args.load_id, args.ingest_date)
         case "drain":
             limits = {k: getattr(args, k) for k in ("max_files", "max_bytes", "archive")}
             if args.max_files is None and args.max_bytes is None:

@@ -25,7 +25,7 @@ from daymark.session import shuffles_for, use_utc
 from daymark import filesystem as files
 from daymark.sinks.tables import replace_partitions
 from daymark.sources.landing import read_landing, unwrap
-from daymark.sources.tables import read_table, table_dates
+from daymark.sources.tables import as_text_events, read_table, table_dates
 
 # Parquet bytes rebuilt in one go.
 GROUP_BYTES = 2**40
@@ -96,6 +96,14 @@ def ingest_batch(
     return write_load(unwrap(read_landing(spark, landing), ingest_date), lake, load_id)
 
 
+def import_table(
+    spark: SparkSession, path: str, lake: Lake, load_id: str, ingest_date: dt.date | str
+) -> list[dt.date]:
+    """Load a Parquet table of events made elsewhere; return the dates it touches."""
+    use_utc(spark)
+    return write_load(as_text_events(spark.read.parquet(path), ingest_date), lake, load_id)
+
+
 def _load_dates(spark: SparkSession, lake: Lake, load_id: str) -> list[dt.date]:
     dates = table_dates(spark, lake.bronze)
     loaded = files.each(

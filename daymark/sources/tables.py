@@ -6,9 +6,12 @@ import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from daymark import filesystem as files
+from daymark.functions.events import event_date
+from daymark.schemas import EVENT_COLUMNS
 
 
 def read_table(
@@ -39,6 +42,24 @@ def read_table(
     )
 
 
+def as_text_events(events: DataFrame, ingest_date: dt.date | str) -> DataFrame:
+    """Events of any column types, with or without all columns, as unwrapped ones.
+
+    For tables that were loaded elsewhere, with inferred types. A date they
+    carry themselves stands in where the event states none.
+    """
+    none = F.lit(None).cast("string")
+    text = {c: F.col(c).cast("string") if c in events.columns else none for c in EVENT_COLUMNS}
+    text["event_timestamp"] = F.nullif(text["event_timestamp"], F.lit(""))
+    carried = [F.col("event_date").try_cast("date")] if "event_date" in events.columns else []
+    return events.select(
+        *[text[c].alias(c) for c in EVENT_COLUMNS],
+        none.alias("ingest_fault"),
+        none.alias("envelope"),
+        event_date(text["event_timestamp"], *carried, ingest_date).alias("event_date"),
+    )
+
+
 def table_dates(spark: SparkSession, path: str) -> list[dt.date]:
     """Dates a table has a directory for, in order; no data is read."""
     names = [p.rsplit("event_date=", 1)[-1] for p in files.matching(spark, f"{path}/event_date=*")]

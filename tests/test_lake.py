@@ -254,3 +254,24 @@ def test_kpi_stage(spark, tmp_path, home):
     assert spark.read.parquet(out).first().cohort_size == 2
     with pytest.raises(SystemExit, match="--customers"):
         go("churn_proxy")
+
+
+def test_a_typed_table_made_elsewhere_can_be_imported(spark, tmp_path, home):
+    old = str(tmp_path / "old")
+    spark.createDataFrame(
+        [
+            ("e1", 7, "checkout", "2024-01-05T10:00:00+00:00", "/", 1001.0, 12.5, "2024-01-05"),
+            ("e1", 7, "checkout", "2024-01-05T10:00:00+00:00", "/", 1001.0, 12.5, "2024-01-05"),
+            ("e2", 8, "login", None, "/", None, None, "2024-01-06"),
+        ],
+        "event_id string, user_id bigint, event_type string, event_timestamp string, page string, "
+        "product_id double, amount double, event_date string",
+    ).write.partitionBy("event_date").parquet(old)
+    args = ["import", "--lake", home.root, "--landing", old, "--load-id", "old", "--ingest-date", INGEST_DATE]
+    assert run(spark, parser().parse_args(args)) == [D5, D6]
+    lake.refresh(spark, home)
+    silver = lake.read_silver(spark, home).orderBy("event_id").collect()
+    assert [(r.event_id, r.user_id, r.product_id, r.amount, r.event_date) for r in silver] == [
+        ("e1", 7, 1001, 12.5, D5),
+        ("e2", 8, None, None, D6),
+    ]

@@ -61,7 +61,7 @@ def model(events):
 
 @settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(an_event, max_size=12))
-def test_pipeline_follows_the_model(spark, events):
+def test_tables_follow_the_model(spark, events):
     once = dedup_events(events_df(spark, *events).repartition(3))
     silver, reasons, gold = model(events)
     ours = screening.clean(once)

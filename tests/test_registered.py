@@ -35,6 +35,20 @@ def test_query_equals_sql(spark, con, name):
     assert equal, note
 
 
+@pytest.mark.parametrize("name", ["envelope_parse", "gold_daily_user_metrics", "dq_report"])
+def test_query_pins_its_zone_and_does_not_need_ansi(spark, con, name):
+    other = {"spark.sql.session.timeZone": "America/New_York", "spark.sql.ansi.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in other}
+    try:
+        for k, v in other.items():
+            spark.conf.set(k, v)
+        equal, _, note = compare(spark, con, name, SF)
+        assert equal, note
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_golden_counts(spark):
     dated = raw_events.dated_events(spark, SF)
     assert dated.count() == 1040
