@@ -80,11 +80,14 @@ def envelope_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     envelope = F.to_json(F.struct(F.lit("Notification").alias("Type"), message.alias("Message")))
     empty = F.lit('{"Type":"Notification","Message":""}')
     half_message = F.substring(message, 1, 20)
-    n = F.col("event_id").cast("bigint")
-    broken = (
-        F.when(n % 97 == 5, F.substring(envelope, 1, 40))
-        .when(n % 97 == 11, empty)
-        .when(n % 97 == 17, F.to_json(F.struct(half_message.alias("Message"))))
+    kind = F.col("event_id").cast("bigint") % 97
+    variants = F.when(kind.isin(5, 11, 17), F.array(F.lit(True), F.lit(False))).otherwise(
+        F.array(F.lit(True))
     )
-    lines = F.array_compact(F.array(envelope, broken))
-    return raw.select(F.explode(lines).alias("value"))
+    line = (
+        F.when(F.col("is_whole"), envelope)
+        .when(kind == 5, F.substring(envelope, 1, 40))
+        .when(kind == 11, empty)
+        .otherwise(F.to_json(F.struct(half_message.alias("Message"))))
+    )
+    return raw.select("*", F.explode(variants).alias("is_whole")).select(line.alias("value"))

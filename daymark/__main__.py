@@ -67,8 +67,10 @@ def parser() -> argparse.ArgumentParser:
         ("drain", "stream what has landed into bronze, then refresh the touched dates"),
     ):
         sub = stage(name, text)
-        source = "Parquet table" if name == "import" else "folder of envelope lines"
-        sub.add_argument("--landing", required=True, help=source)
+        if name == "import":
+            sub.add_argument("--table", required=True, help="Parquet folder of the events")
+        else:
+            sub.add_argument("--landing", required=True, help="folder of envelope lines")
         sub.add_argument("--ingest-date", required=True, type=day, help="date of undated events")
         if name in ("ingest", "import"):
             sub.add_argument("--load-id", required=True, help="name of the load; repeating it replaces it")
@@ -113,7 +115,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[dt.date]:
         case "ingest":
             return lake.ingest_batch(spark, args.landing, home, args.load_id, args.ingest_date)
         case "import":
-            return lake.import_table(spark, args.landing, home, args.load_id, args.ingest_date)
+            return lake.import_table(spark, args.table, home, args.load_id, args.ingest_date)
         case "drain":
             limits = {k: getattr(args, k) for k in ("max_files", "max_bytes", "archive")}
             if args.max_files is None and args.max_bytes is None:

@@ -267,7 +267,7 @@ def test_a_typed_table_made_elsewhere_can_be_imported(spark, tmp_path, home):
         "event_id string, user_id bigint, event_type string, event_timestamp string, page string, "
         "product_id double, amount double, event_date string",
     ).write.partitionBy("event_date").parquet(old)
-    args = ["import", "--lake", home.root, "--landing", old, "--load-id", "old", "--ingest-date", INGEST_DATE]
+    args = ["import", "--lake", home.root, "--table", old, "--load-id", "old", "--ingest-date", INGEST_DATE]
     assert run(spark, parser().parse_args(args)) == [D5, D6]
     lake.refresh(spark, home)
     silver = lake.read_silver(spark, home).orderBy("event_id").collect()
