@@ -1,4 +1,4 @@
-"""Command line: spark-submit daymark/__main__.py <stage> ..., or python -m daymark <stage> ..."""
+"""Stages of the lake: spark-submit run.py <stage> ..., or python -m daymark <stage> ..."""
 
 from __future__ import annotations
 

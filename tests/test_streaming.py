@@ -55,6 +55,19 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path, home):
     assert rows(lake.read_bronze(spark, home)) == before
 
 
+def test_a_batch_repeated_on_another_day_leaves_no_copy(spark, tmp_path, home):
+    """Undated events take the new ingest date; the first attempt's partition goes."""
+    landing, cp = tmp_path / "landing", tmp_path / "cp"
+    write_lines(landing, "1.txt", envelope(event(event_timestamp=None)), *batch_of(2))
+    drain(spark, str(landing), home, str(cp), "2024-02-01")
+    (cp / "commits" / "0").unlink()
+    (cp / "commits" / ".0.crc").unlink(missing_ok=True)
+    drain(spark, str(landing), home, str(cp), "2024-02-02")
+    dates = [str(r.event_date) for r in lake.read_gold(spark, home).orderBy("event_date").collect()]
+    assert dates == ["2024-01-01", "2024-01-02", "2024-02-02"]
+    assert lake.read_bronze(spark, home).count() == 3
+
+
 def test_a_new_checkpoint_keeps_the_old_loads(spark, tmp_path, home):
     landing = tmp_path / "landing"
     write_lines(landing, "1.txt", *batch_of(3))
