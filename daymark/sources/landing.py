@@ -17,9 +17,13 @@ _MESSAGE = T.StructType([*EVENT_TEXT.fields, T.StructField(_UNREADABLE, T.String
 _CORRUPT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _UNREADABLE}
 
 
+# Without it, files in folders below the directory would be passed over in silence.
+_BELOW = "recursiveFileLookup"
+
+
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    """Envelope lines of a directory, as one `value` column."""
-    return spark.read.text(path)
+    """Envelope lines of a directory and those below it, as one `value` column."""
+    return spark.read.option(_BELOW, True).text(path)
 
 
 def read_landing_stream(
@@ -34,7 +38,7 @@ def read_landing_stream(
     With `archive`, consumed files move there, but only after the batch that
     read them is committed; this also keeps the directory listing short.
     """
-    reader = spark.readStream.format("text")
+    reader = spark.readStream.format("text").option(_BELOW, True)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:

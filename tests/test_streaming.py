@@ -77,6 +77,17 @@ def test_a_new_checkpoint_keeps_the_old_loads(spark, tmp_path, home):
     assert lake.read_silver(spark, home).count() == 6
 
 
+def test_files_in_folders_below_are_read(spark, tmp_path, home):
+    landing = tmp_path / "landing"
+    write_lines(landing, "1.txt", *batch_of(2))
+    write_lines(landing / "2024" / "02", "2.txt", *batch_of(2, 2))
+    write_lines(landing / "hour=03", "3.txt", *batch_of(2, 4))
+    drain(spark, str(landing), home, str(tmp_path / "cp"), INGEST_DATE)
+    assert lake.read_silver(spark, home).count() == 6
+    lake.ingest_batch(spark, str(landing), home, "batch", INGEST_DATE)
+    assert lake.read_bronze(spark, home).count() == 12
+
+
 def test_empty_landing(spark, tmp_path, home):
     (tmp_path / "landing").mkdir()
     assert drain(spark, str(tmp_path / "landing"), home, str(tmp_path / "cp"), INGEST_DATE) == []
