@@ -44,6 +44,8 @@ def read_landing_stream(
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     if archive is not None:
+        if f"{archive.rstrip('/')}/".startswith(f"{path.rstrip('/')}/"):
+            raise ValueError("The archive must lie outside the landing directory, or it is read again")
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.load(path)
 

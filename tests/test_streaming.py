@@ -113,6 +113,11 @@ def test_consumed_files_are_archived_after_their_batch(spark, tmp_path, home):
     assert archived and archived | {p.name for p in landing.glob("*.txt")} == {"0.txt", "1.txt", "2.txt"}
 
 
+def test_archive_must_lie_outside_the_landing_directory(spark, tmp_path, home):
+    with pytest.raises(ValueError, match="archive"):
+        drain(spark, str(tmp_path / "in"), home, str(tmp_path / "cp"), INGEST_DATE, archive=str(tmp_path / "in" / "old"))
+
+
 def test_interval_ingest_keeps_looking(spark, tmp_path, home):
     landing = tmp_path / "landing"
     write_lines(landing, "1.txt", *batch_of(4))
