@@ -8,10 +8,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from daymark import filesystem as files
 from daymark.plans import kpi, lake
 from daymark.plans.audit import audit
 from daymark.plans.customer_view import customer_view
-from daymark.session import build_session
+from daymark.session import build_session, shuffles_for
 from daymark.sinks import serving
 from daymark.streaming.ingest import drain
 
@@ -134,17 +135,22 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[dt.date]:
         case "publish":
             gold = lake.read_gold(spark, home, args.dates)
             if args.target:
-                return serving.publish_parquet(gold, args.target, args.dates)
+                with shuffles_for(spark, files.total_bytes(spark, home.gold)):
+                    return serving.publish_parquet(gold, args.target, args.dates)
             properties = dict(p.split("=", 1) for p in args.property)
             return serving.publish_jdbc(
                 gold, args.jdbc_url, args.table, args.staging, args.dates, properties
             )
         case "kpi":
-            KPIS[args.name](_Inputs(spark, home, args)).write.mode("overwrite").parquet(args.out)
+            inputs = filter(None, (home.silver, args.orders, args.lineitem, args.customers))
+            size = sum(files.total_bytes(spark, path) for path in inputs)
+            with shuffles_for(spark, size):
+                KPIS[args.name](_Inputs(spark, home, args)).write.mode("overwrite").parquet(args.out)
             return []
         case "audit":
             # A few dozen rows, one per check.
-            report = audit(spark, home, args.dates).orderBy("scope", "check").collect()
+            with shuffles_for(spark, files.total_bytes(spark, home.bronze)):
+                report = audit(spark, home, args.dates).orderBy("scope", "check").collect()
             for row in report:
                 print(f"{row.scope:6} {row.check:45} {row.failing}")
             wrong = [row.check for row in report if row.scope == "table" and row.failing]
