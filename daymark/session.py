@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -59,12 +58,18 @@ def shuffles_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder name in the shared folder the cluster names for checkpoints."""
+    """A new folder name in the shared folder the cluster names for checkpoints.
+
+    Where `spark.checkpoint.dir` is unset, /tmp of the session's default file
+    system serves; on a cluster that must be a file system all executors share.
+    """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        home = hadoop.FileSystem.get(spark._jsc.hadoopConfiguration())
+        if home.getScheme() == "file" and not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.gettempdir()
+        root = home.makeQualified(hadoop.Path("/tmp")).toString()
     return f"{root.rstrip('/')}/daymark/{label}-{uuid.uuid4().hex}"
 
 
