@@ -33,11 +33,12 @@ from daymark.session import stage
 # Domains of the labelled table and their shares of the mixture.
 TARGETS = {"sound": 0.92, "poor": 0.06, "toxic": 0.02}
 SAMPLE = 8_000  # labelled documents the classifier learns from, at most about so many
-BINS = 512
-ROUNDS, CLOSE = 40, 1e-4
+BINS, COLUMNS = 2**15, 500  # hashed words, and how many of the bins the classifier looks at
+ROUNDS, CLOSE = 40, 1e-3
 SEED = 1
 # Sizes of the classifier's other features.
 _LOOKS = ("length", "distinct", "repeated", "upper", "digits", "marks", "lines")
+WIDTH = COLUMNS + len(_LOOKS) + 1
 
 
 def domain_of(quality: Column, toxic: Column) -> Column:
@@ -48,23 +49,28 @@ def tokens(text: str | None) -> list[bytes]:
     return plain_words(text.encode("utf-8", "replace")) if text else []
 
 
-def look(text: str | None) -> tuple[int, np.ndarray]:
-    """Number of tokens, and the features: hashed words (root of their shares) and how the text looks."""
+def bins_of(words: list[bytes]) -> np.ndarray:
+    """The distinct hash bins of the words."""
+    return np.unique(np.fromiter((xxhash.xxh3_64_intdigest(w) % BINS for w in set(words)), np.int64))
+
+
+def look(text: str | None, column: np.ndarray) -> tuple[int, np.ndarray]:
+    """Number of tokens, and the features: which chosen bins the words meet, and how the text looks.
+
+    `column` has the feature of each bin, -1 for those not chosen.
+    """
     words = tokens(text)
-    x = np.zeros(BINS + len(_LOOKS) + 1, np.float32)
+    x = np.zeros(WIDTH, np.float32)
     x[-1] = 1.0
     if not words:
         return 0, x
-    counts: dict[bytes, int] = {}
-    for w in words:
-        counts[w] = counts.get(w, 0) + 1
-    places = np.fromiter((xxhash.xxh3_64_intdigest(w) % BINS for w in counts), np.int64, len(counts))
-    x[:BINS] = np.sqrt(np.bincount(places, np.fromiter(counts.values(), np.float64, len(counts)), BINS) / len(words))
+    met = column[bins_of(words)]
+    x[met[met >= 0]] = 1.0
     n, size = len(words), len(text)
     repeated = sum(a == b for a, b in zip(words, words[1:]))
-    x[BINS:-1] = (
+    x[COLUMNS:-1] = (
         np.log(n) / 10,
-        len(counts) / n,
+        len(set(words)) / n,
         repeated / n,
         sum(map(str.isupper, text)) / size,
         sum(map(str.isdigit, text)) / size,
@@ -74,11 +80,24 @@ def look(text: str | None) -> tuple[int, np.ndarray]:
     return n, x
 
 
+def choose_columns(found: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The COLUMNS bins that tell most about the domain (G squared), from documents per bin and domain."""
+    rate = found.sum(axis=1, keepdims=True) / max(sizes.sum(), 1)
+    gain = np.zeros(len(found))
+    for n, share in ((found, rate), (sizes - found, 1 - rate)):
+        expected = np.maximum(share * sizes, 1e-9)
+        gain += np.where(n > 0, n * np.log(np.maximum(n, 1e-9) / expected), 0.0).sum(axis=1)
+    column = np.full(len(found), -1, np.int32)
+    best = np.argsort(-gain, kind="stable")[:COLUMNS]
+    column[best[gain[best] > 0]] = np.arange((gain[best] > 0).sum())
+    return column
+
+
 class Classifier:
     """Softmax over the features of `look`."""
 
-    def __init__(self, domains: list[str], weights: np.ndarray):
-        self.domains, self.weights = domains, weights
+    def __init__(self, column: np.ndarray, weights: np.ndarray):
+        self.column, self.weights = column, weights
 
     def posteriors(self, x: np.ndarray) -> np.ndarray:
         z = x @ self.weights
@@ -90,25 +109,38 @@ def learn_domains(docs: DataFrame, labelled: DataFrame, domains: list[str], samp
     """From `labelled` (doc_id, domain), held-out ids left out; even odds without usable labels."""
     known = labelled.where(~held_out() & F.col("domain").isin(domains)).groupBy("doc_id").agg(F.min("domain").alias("domain"))
     chosen = F.broadcast(bounded(known, sample, "doc_id"))  # bounded above
-    taught = docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "domain")
+    taught = stage(docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "domain"), "sample")
+    place = {d: k for k, d in enumerate(domains)}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros((BINS + 1, len(domains)), np.int64)  # the last line counts documents
+        for batch in batches:
+            for text, domain in zip(batch.column(0), batch.column(1).to_pylist()):
+                found[bins_of(tokens(text.as_py())), place[domain]] += 1
+                found[BINS, place[domain]] += 1
+        bins, kinds = np.nonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(bins), pa.array(kinds), pa.array(found[bins, kinds])], ["bin", "k", "n"])
+
+    found = np.zeros((BINS + 1, len(domains)))
+    for r in taught.mapInArrow(count, "bin long, k long, n long").groupBy("bin", "k").agg(F.sum("n").alias("n")).toLocalIterator():
+        found[r.bin, r.k] = r.n
+    column = choose_columns(found[:BINS], found[BINS])
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [look(t.as_py())[1].tobytes() for t in batch.column(0)]
+            rows = [look(t.as_py(), column)[1].tobytes() for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.binary())], ["domain", "x"])
 
     rows = taught.mapInArrow(features, "domain string, x binary").collect()  # the bounded sample: 2 KB a row
-    width = BINS + len(_LOOKS) + 1
-    weights = np.zeros((width, len(domains)))
+    weights = np.zeros((WIDTH, len(domains)))
     if rows:
-        x = np.frombuffer(b"".join(r.x for r in rows), np.float32).reshape(-1, width)
-        y = np.eye(len(domains), dtype=np.float32)[[domains.index(r.domain) for r in rows]]
-        order = np.lexsort(x.T[:4])  # sums do not depend on the order rows arrive in
-        weights = _softmax_fit(x[order], y[order])
-    return Classifier(domains, weights.astype(np.float32))
+        x = np.frombuffer(b"".join(r.x for r in rows), np.float32).reshape(-1, WIDTH)
+        y = np.eye(len(domains), dtype=np.float32)[[place[r.domain] for r in rows]]
+        weights = _softmax_fit(x, y)
+    return Classifier(column, weights.astype(np.float32))
 
 
-def _softmax_fit(x: np.ndarray, y: np.ndarray, rounds: int = 150, rate: float = 0.1, decay: float = 1e-4) -> np.ndarray:
+def _softmax_fit(x: np.ndarray, y: np.ndarray, rounds: int = 150, rate: float = 0.1, decay: float = 1e-3) -> np.ndarray:
     """Adam on the whole sample."""
     w = np.zeros((x.shape[1], y.shape[1]), np.float32)
     first, second = np.zeros_like(w), np.zeros_like(w)
@@ -199,7 +231,7 @@ def mix(
         classifier = model.value
 
         def compute(rows: pa.StructArray):
-            seen = [look(t.as_py()) for t in rows.field("text")]
+            seen = [look(t.as_py(), classifier.column) for t in rows.field("text")]
             p = classifier.posteriors(np.array([x for _, x in seen])) if seen else np.zeros((0, len(domains)))
             draws = [
                 xxhash.xxh3_64_intdigest(f"{seed} {i} {t}".encode("utf-8", "replace")) / 2**64
