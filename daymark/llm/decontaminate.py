@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daymark.llm.batches import extend
-from daymark.llm.words import plain_words, word_places
+from daymark.llm.words import plain_word_numbers, word_places
 
 WINDOW = 10
 SHARD_WORDS = 2**19
@@ -134,10 +134,12 @@ class Phrases:
     """The windows of some benchmark items, as numbers."""
 
     def __init__(self, items: Iterable[tuple[object, bytes]], window: int):
-        self.number: dict[bytes, int] = {}
+        texts = [(item, plain_word_numbers(text)) for item, text in items]
+        # Words in the order of their numbers are the symbols from 2 on.
+        self.known = np.unique(np.concatenate([n for _, n in texts] or [np.empty(0, np.uint64)]))
         owners: dict[tuple[int, ...], set] = defaultdict(set)
-        for item, text in items:
-            words = [self.number.setdefault(w, len(self.number) + 2) for w in plain_words(text)]
+        for item, numbers in texts:
+            words = self.symbols(numbers).tolist()
             for at in range(max(1, len(words) - window + 1) if words else 0):
                 owners[tuple(words[at : at + window])].add(item)
         self.groups = []
@@ -146,9 +148,11 @@ class Phrases:
             self.groups.append((np.array(group, np.int64), [owners[w] for w in group]))
         self.longest = max((g.shape[1] for g, _ in self.groups), default=1)
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        number = self.number.get
-        return np.fromiter((number(w, _OTHER) for w in words), np.int64, len(words))
+    def symbols(self, numbers: np.ndarray) -> np.ndarray:
+        if not len(self.known):
+            return np.full(len(numbers), _OTHER, np.int64)
+        place = np.minimum(np.searchsorted(self.known, numbers), len(self.known) - 1)
+        return np.where(self.known[place] == numbers, place + 2, _OTHER)
 
     def find(self, texts: list[np.ndarray]) -> list[tuple[np.ndarray | None, set]]:
         """For each text: which of its words are hit (None: none), and the items found."""
@@ -170,7 +174,7 @@ class Phrases:
 
     def _find(self, shard, texts, found) -> None:
         apart = np.array([_OTHER])
-        index = FMIndex(np.concatenate([x for _, _, p in shard for x in (p, apart)]), len(self.number) + 2)
+        index = FMIndex(np.concatenate([x for _, _, p in shard for x in (p, apart)]), len(self.known) + 2)
         starts = np.cumsum([0, *(len(p) + 1 for _, _, p in shard)])
         for patterns, owners in self.groups:
             which, low, high = index.search(patterns)
@@ -242,7 +246,7 @@ def find_contamination(
             phrases = Phrases(shared.value, window)
 
             def compute(rows: pa.StructArray):
-                texts = [phrases.numbers(plain_words(t)) for t in rows.field("text").cast(pa.binary()).to_pylist()]
+                texts = [phrases.symbols(plain_word_numbers(t)) for t in rows.field("text").cast(pa.binary()).to_pylist()]
                 found = phrases.find(texts)
                 spans = [spans_of(hit) if hit is not None else [] for hit, _ in found]
                 items = [sorted(str(i) for i in items if i is not None) for _, items in found]

@@ -1,10 +1,11 @@
 """MinHash near-deduplication by a signature-coordinate inverted join.
 
 Texts with the same shingle set form a class and go on as one. A signature has
-`COORDINATES` minima; two classes are candidates if they agree in at least
-`MATCHES` of them. Two signatures that do so agree within any COORDINATES -
-MATCHES + 1 coordinates (the prefix), so classes are posted under the
-coordinate-value pairs of the prefix only, and pairs with one posting are skipped.
+`COORDINATES` minima; two classes are candidates if they collide in at least
+`MATCHES` of them. Classes are posted under the coordinate-value pairs of a prefix of
+`PREFIX` coordinates; two texts at the bar share none of these with a probability of
+0.25 ** PREFIX, 6e-8, and pairs with one posting are skipped. For counting collisions
+eight bits of each coordinate do.
 
 A posting list is never expanded into its pairs. Instead, in three rounds:
 
@@ -33,59 +34,50 @@ from pyspark.sql import functions as F
 
 from daymark.llm.batches import extend
 from daymark.llm.components import components
-from daymark.llm.words import spaced_words
+from daymark.llm.words import spaced_word_numbers
 from daymark.session import stage
 
 SHINGLE = 5
 SIMILARITY = 75  # per cent
 COORDINATES = 64
 MATCHES = 32
-PREFIX = COORDINATES - MATCHES + 1
-# Members one task holds in memory while others stream past, and rows that stream past.
-_HELD, _STREAMED = 256, 4096
+PREFIX = 12
+# What one task holds in memory while others stream past: texts, their shingles (in the last
+# round), signatures; and rows that stream past.
+_HELD_TEXTS, _HELD_SHINGLES, _HELD_SIGNS, _STREAMED = 256, 2**22, 2048, 4096
 
 _RANDOM = np.random.default_rng(7)
 _STEPS = _RANDOM.integers(1, 2**63, SHINGLE, np.uint64) | np.uint64(1)
 _FACTORS = _RANDOM.integers(1, 2**63, COORDINATES, np.uint64) | np.uint64(1)
 
 
-class _Numbers(dict):
-    """64-bit numbers of words, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 2**19:
-            self.clear()
-        self[word] = number = xxhash.xxh3_64_intdigest(word)
-        return number
-
-
 def _mixed(h: np.ndarray) -> np.ndarray:
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
         h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
     return h ^ (h >> np.uint64(31))
 
 
-def shingle_set(text: bytes | None, number: dict) -> np.ndarray:
+def shingle_set(text: bytes | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's shingles; short texts are one shingle."""
-    words = spaced_words(text)
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter((number[w] for w in words), np.uint64, len(words))
-    if len(words) < SHINGLE:
+    h = spaced_word_numbers(text)
+    if not len(h):
+        return h
+    if len(h) < SHINGLE:
         return _mixed((h * _STEPS[: len(h)]).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(h)))
     n = len(h) - SHINGLE + 1
     total = h[:n] * _STEPS[0]
     for k in range(1, SHINGLE):
         total += h[k : k + n] * _STEPS[k]
-    return np.unique(_mixed(total))
+    total = np.sort(_mixed(total))
+    return total[np.append(True, total[1:] != total[:-1])]
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
     """The upper 32 bits of the least product of each factor with the shingles."""
     least = np.full(COORDINATES, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), 4096):
-        np.minimum(least, (shingles[None, at : at + 4096] * _FACTORS[:, None]).min(axis=1), out=least)
-    return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    for at in range(0, len(shingles), 512):
+        np.minimum(least, (shingles[None, at : at + 512] * _FACTORS[:, None]).min(axis=1), out=least)
+    return (least >> np.uint64(32)).astype(np.uint32)
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -100,61 +92,70 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, the 128-bit digest (`high`, `low`) of the shingle set and its signature."""
+    """doc_id, n_shingles, the 128-bit digest (`high`, `low`) of the shingle set, and its
+    signature: the `prefix` in full and the low byte of all coordinates (`marks`)."""
 
     def start() -> Callable:
-        number = _Numbers()
-
         def compute(rows: pa.StructArray):
-            sizes, high, low, signs = [], [], [], []
+            sizes, high, low, prefixes, marks = [], [], [], [], []
             for text in rows.field("text").cast(pa.binary()):
-                found = shingle_set(text.as_py(), number)
+                found = shingle_set(text.as_py())
                 sizes.append(len(found))
                 digest = np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), np.int64)
                 high.append(int(digest[0]) if len(found) else None)
                 low.append(int(digest[1]) if len(found) else None)
-                signs.append(signature(found) if len(found) else None)
+                sign = signature(found)
+                prefixes.append(sign[:PREFIX].view(np.int32) if len(found) else None)
+                marks.append(sign.astype(np.uint8).tobytes() if len(found) else None)
             return [
                 pa.array(sizes, pa.int64()),
                 pa.array(high, pa.int64()),
                 pa.array(low, pa.int64()),
-                pa.array(signs, pa.list_(pa.int32())),
+                pa.array(prefixes, pa.list_(pa.int32())),
+                pa.array(marks, pa.binary()),
             ]
 
         return compute
 
-    fields = "n_shingles long, high long, low long, signature array<int>"
-    return extend(docs.select("doc_id", "text"), start, fields, ["doc_id"]).select("row.doc_id", *fields_of(fields))
+    fields = "n_shingles long, high long, low long, prefix array<int>, marks binary"
+    found = extend(docs.select("doc_id", "text"), start, fields, ["doc_id"])
+    return found.select("row.doc_id", "n_shingles", "high", "low", "prefix", "marks")
 
 
-def fields_of(ddl: str) -> list[str]:
-    return [f.split()[0] for f in ddl.split(", ")]
-
-
-def _collisions(a, b):
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+def _marks(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COORDINATES)
 
 
 def _matching(pairs: DataFrame, signs: DataFrame) -> DataFrame:
-    """The pairs (x, y) whose signatures agree in MATCHES coordinates and whose sizes allow the bar."""
+    """The pairs (x, y) that collide in MATCHES coordinates and whose sizes allow the bar."""
     for c in "xy":
-        sign = signs.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("signature").alias(f"s{c}"))
+        sign = signs.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("marks").alias(f"m{c}"))
         pairs = pairs.join(sign, c)
-    fits = 100 * F.least("nx", "ny") >= SIMILARITY * F.greatest("nx", "ny")
-    return pairs.where(fits & (_collisions("sx", "sy") >= MATCHES)).select("x", "y")
+    fits = pairs.where(100 * F.least("nx", "ny") >= SIMILARITY * F.greatest("nx", "ny"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            enough = (_marks(batch.column(2)) == _marks(batch.column(3))).sum(axis=1) >= MATCHES
+            yield batch.select([0, 1]).filter(pa.array(enough))
 
+    return fits.select("x", "y", "mx", "my").mapInArrow(count, "x long, y long")
 
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The distinct `pairs` (x, y) that are similar on their full shingle sets.
 
-    The xs are dealt into blocks of about `_HELD`. A text y is sent once to each block
-    that holds an x of its, with the list of those; a block with many ys is split and
-    its xs are copied to each part. A task holds one block's sets while ys stream by.
+def _listed(pairs: DataFrame) -> DataFrame:
+    """Distinct pairs (x, y) as lists (y, block, xs), the xs dealt into blocks of about `_HELD_TEXTS`."""
+    blocks = max(1, -(-pairs.select("x").distinct().count() // _HELD_TEXTS))
+    dealt = pairs.withColumn("block", F.pmod(F.xxhash64("x"), F.lit(blocks)).cast("int"))
+    return dealt.groupBy("y", "block").agg(F.collect_set("x").alias("xs"))
+
+
+def _confirmed(lists: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (x, y) of `lists` (y, block, xs) that are similar on their full shingle sets.
+
+    A text y is sent once to each block that holds an x of its; a block with many ys is
+    split and its xs are copied to each part. A task holds one block's sets while ys stream by.
     """
-    spark = pairs.sparkSession
-    blocks = max(1, -(-pairs.select("x").distinct().count() // _HELD))
-    pairs = pairs.withColumn("block", F.pmod(F.xxhash64("x"), F.lit(blocks)))
-    lists = pairs.groupBy("y", "block").agg(F.collect_list("x").alias("xs"))
+    spark = lists.sparkSession
+    lists = stage(lists, "lists")
     parts = lists.groupBy("block").agg(F.ceil(F.count("*") / _STREAMED).alias("parts"))
     streamed = lists.join(parts, "block").select(
         "block",
@@ -164,7 +165,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         "xs",
     )
     held = (
-        pairs.select("block", F.col("x").alias("id")).distinct().join(parts, "block")
+        lists.select("block", F.explode("xs").alias("id")).distinct().join(parts, "block")
         .select(
             "block",
             F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
@@ -178,14 +179,14 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     rows = rows.repartition(max(tasks, 1), "block", "part").sortWithinPartitions("block", "part", "kind")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, at, sets = _Numbers(), None, {}
+        at, sets = None, {}
         for batch in batches:
             xs_found, ys_found = [], []
             block, part, kind, ids, lists = (batch.column(i).to_pylist() for i in range(5))
             for i, text in enumerate(batch.column(5).cast(pa.binary())):
                 if (block[i], part[i]) != at:
                     at, sets = (block[i], part[i]), {}
-                own = shingle_set(text.as_py(), number)
+                own = shingle_set(text.as_py())
                 if kind[i] == 0:
                     sets.setdefault(ids[i], []).append(own)
                     continue
@@ -199,10 +200,11 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _remaining(lists: DataFrame, signs: DataFrame) -> DataFrame:
-    """Candidates (x, y) of different components, from posting lists (key, id, comp).
+    """Candidates of different components, from posting lists (key, id, comp), as lists (y, block, xs).
 
-    In each list, the ids outside its largest component are held in blocks, and all
-    its ids stream past each block in parts.
+    In each posting list, the ids outside its largest component are held in slices, and all
+    its ids stream past each slice in parts. Slices and the blocks the xs are dealt into follow
+    the same order of hashes, so a slice meets few blocks.
     """
     spark = lists.sparkSession
     sizes = lists.groupBy("key", "comp").agg(F.count("*").alias("ids"))
@@ -212,49 +214,58 @@ def _remaining(lists: DataFrame, signs: DataFrame) -> DataFrame:
         (F.sum("ids") - F.max("ids")).alias("outside"),
     )
     spread = lists.join(largest, "key").withColumns(
-        {"blocks": F.ceil(F.col("outside") / _HELD), "parts": F.ceil(F.col("ids") / _STREAMED)}
+        {
+            "slices": F.ceil(F.col("outside") / _HELD_SIGNS),
+            "parts": F.ceil(F.col("ids") / _STREAMED),
+            "spot": F.pmod(F.xxhash64("id"), F.lit(2**31)) / F.lit(2.0**31),
+        }
     )
+    outside = spread.where("comp <> main")
+    shingles = outside.select("id").distinct().join(signs.select("id", "n"), "id").agg(F.sum("n")).first()[0] or 0
+    blocks = max(1, -(-shingles // _HELD_SHINGLES))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    held = (
-        spread.where("comp <> main")
-        .withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
-        .select("key", "block", every("parts").alias("part"), F.lit(0).alias("kind"), "id", "comp", "main")
-    )
+    held = outside.select(
+        "key", F.floor(F.col("spot") * F.col("slices")).alias("slice"), every("parts").alias("part"),
+        F.lit(0).alias("kind"), "id", "comp", "main", (F.col("spot") * blocks).cast("int").alias("block"),
+    )
     streamed = spread.withColumn("part", F.pmod(F.xxhash64("id"), "parts")).select(
-        "key", every("blocks").alias("block"), "part", F.lit(1).alias("kind"), "id", "comp", "main"
+        "key", every("slices").alias("slice"), "part", F.lit(1).alias("kind"), "id", "comp", "main", F.lit(0).alias("block")
     )
-    rows = held.union(streamed).join(signs.select("id", "n", "signature"), "id")
-    rows = rows.select("key", "block", "part", "kind", "id", "comp", "main", "n", "signature")
+    rows = held.union(streamed).join(signs, "id")
+    rows = rows.select("key", "slice", "part", "kind", "id", "comp", "main", "block", "n", "marks", "prefix")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(tasks, "key", "block", "part").sortWithinPartitions("key", "block", "part", "kind")
+    rows = rows.repartition(tasks, "key", "slice", "part").sortWithinPartitions("key", "slice", "part", "kind")
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held, block = None, [], None
         for batch in batches:
-            xs, ys = [], []
-            *place, kind, ids, comps, main, sizes = (batch.column(i).to_pylist() for i in range(8))
-            signs = np.asarray(batch.column(8).values).reshape(-1, COORDINATES)
+            found = []
+            *place, kind, ids, comps, main, blocks, sizes = (batch.column(i).to_pylist() for i in range(9))
+            marks = _marks(batch.column(9))
+            prefix = np.asarray(batch.column(10).values).reshape(-1, PREFIX)
             for i, spot in enumerate(zip(*place)):
                 if spot != at:
                     at, held, block = spot, [], None
                 if kind[i] == 0:
-                    held.append((ids[i], comps[i], sizes[i], signs[i].copy()))
+                    held.append((ids[i], comps[i], sizes[i], blocks[i], marks[i].copy(), prefix[i].copy()))
                     continue
                 if block is None:
-                    block = [np.array([h[k] for h in held]) for k in range(4)]
-                same = block[3] == signs[i]
-                first = same.argmax(axis=1) == spot[0] >> 32
+                    block = [np.array([h[k] for h in held]) for k in range(6)]
                 n = sizes[i]
-                fits = 100 * np.minimum(block[2], n) >= SIMILARITY * np.maximum(block[2], n)
-                found = first & fits & (block[1] != comps[i]) & (same.sum(axis=1) >= MATCHES)
+                fits = (100 * np.minimum(block[2], n) >= SIMILARITY * np.maximum(block[2], n)) & (block[1] != comps[i])
                 if comps[i] != main[i]:  # both are held: once is enough
-                    found &= block[0] < ids[i]
-                for x in block[0][found].tolist():
-                    xs.append(x)
-                    ys.append(ids[i])
-            yield pa.RecordBatch.from_arrays([pa.array(xs, pa.int64()), pa.array(ys, pa.int64())], ["x", "y"])
+                    fits &= block[0] < ids[i]
+                fits = np.flatnonzero(fits)
+                fits = fits[(block[4][fits] == marks[i]).sum(axis=1) >= MATCHES]
+                fits = fits[(block[5][fits] == prefix[i]).argmax(axis=1) == spot[0] >> 32]
+                for b in np.unique(block[3][fits]).tolist():
+                    found.append((ids[i], b, block[0][fits[block[3][fits] == b]]))
+            columns = [[f[k] for f in found] for k in range(3)]
+            kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["y", "block", "xs"])
 
-    return rows.mapInArrow(pairs, "x long, y long")
+    found = rows.mapInArrow(candidates, "y long, block int, xs array<long>")
+    return found.groupBy("y", "block").agg(F.flatten(F.collect_list("xs")).alias("xs"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -270,13 +281,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     linked = marked.where("high IS NOT NULL AND doc_id IS NOT NULL")
     classes = stage(
         linked.groupBy("high", "low").agg(
-            F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")
+            F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("marks").alias("marks"), F.first("prefix").alias("prefix")
         ),
         "classes",
     )
-    signs = classes.select("id", "n", "signature")
+    signs = classes.select("id", "n", "marks", "prefix")
     value = F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
-    posted = signs.select("id", F.posexplode(F.slice("signature", 1, PREFIX)).alias("at", "value")).select(
+    posted = signs.select("id", F.posexplode("prefix").alias("at", "value")).select(
         F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(value).alias("key"), "id"
     )
     crowds = posted.groupBy("key").agg(F.count("*").alias("ids"), F.min("id").alias("lead")).where("ids > 1")
@@ -289,7 +300,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # 1: the smallest class of each list.
     led = lists.where("lead <> id").select(F.col("lead").alias("x"), F.col("id").alias("y")).distinct()
     tried = stage(_matching(led, signs), "pairs")
-    links = stage(_confirmed(tried, texts), "links")
+    links = stage(_confirmed(_listed(tried), texts), "links")
     comps = components(links)
 
     def mixed_lists() -> DataFrame:
@@ -299,24 +310,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         mixed = own.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key")
         return stage(own.join(mixed, "key"), "lists")
 
-    def untried(pairs: DataFrame) -> DataFrame:
-        both = tried.union(tried.select("y", "x"))
-        return pairs.join(both, ["x", "y"], "left_anti")
-
     # 2: a random class of each list, where that is in another component.
     own = mixed_lists()
     mask = F.xxhash64("key")
     picked = own.groupBy("key").agg(F.min(F.col("id").bitwiseXOR(mask)).alias("least")).select("key", F.col("least").bitwiseXOR(mask).alias("x"))
     met = own.join(picked.join(own.select("key", F.col("id").alias("x"), F.col("comp").alias("other")), ["key", "x"]), "key")
     met = met.where("comp <> other").select("x", F.col("id").alias("y")).distinct()
-    second = stage(_matching(untried(met), signs), "pairs")
-    links = links.union(stage(_confirmed(second, texts), "links"))
-    tried = tried.union(second)
+    untried = met.join(tried.union(tried.select("y", "x")), ["x", "y"], "left_anti")
+    second = stage(_matching(untried, signs), "pairs")
+    links = links.union(stage(_confirmed(_listed(second), texts), "links"))
     comps = components(links)
 
     # 3: all others.
-    left = stage(untried(_remaining(mixed_lists(), signs)), "pairs")
-    links = links.union(stage(_confirmed(left, texts), "links"))
+    links = links.union(stage(_confirmed(_remaining(mixed_lists(), signs), texts), "links"))
     comps = components(links)
 
     member = classes.select("high", "low", "id").join(comps, F.col("id") == F.col("node"), "left")
