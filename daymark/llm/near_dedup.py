@@ -44,7 +44,7 @@ MATCHES = 32
 PREFIX = 12
 # What one task holds in memory while others stream past: texts, their shingles (in the last
 # round), signatures; and rows that stream past.
-_HELD_TEXTS, _HELD_SHINGLES, _HELD_SIGNS, _STREAMED = 256, 2**22, 2048, 4096
+_HELD_TEXTS, _HELD_SHINGLES, _HELD_SIGNS, _STREAMED = 1024, 2**22, 2048, 4096
 
 _RANDOM = np.random.default_rng(7)
 _STEPS = _RANDOM.integers(1, 2**63, SHINGLE, np.uint64) | np.uint64(1)
@@ -127,7 +127,8 @@ def _marks(column: pa.Array) -> np.ndarray:
 
 
 def _matching(pairs: DataFrame, signs: DataFrame) -> DataFrame:
-    """The pairs (x, y) that collide in MATCHES coordinates and whose sizes allow the bar."""
+    """The rows with a pair (x, y) that collides in MATCHES coordinates and whose sizes allow the bar."""
+    columns = pairs.columns
     for c in "xy":
         sign = signs.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("marks").alias(f"m{c}"))
         pairs = pairs.join(sign, c)
@@ -135,27 +136,33 @@ def _matching(pairs: DataFrame, signs: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            enough = (_marks(batch.column(2)) == _marks(batch.column(3))).sum(axis=1) >= MATCHES
-            yield batch.select([0, 1]).filter(pa.array(enough))
+            enough = (_marks(batch.column("mx")) == _marks(batch.column("my"))).sum(axis=1) >= MATCHES
+            yield batch.select(columns).filter(pa.array(enough))
 
-    return fits.select("x", "y", "mx", "my").mapInArrow(count, "x long, y long")
+    return fits.select(*columns, "mx", "my").mapInArrow(count, ", ".join(f"{c} long" for c in columns))
 
 
-def _listed(pairs: DataFrame) -> DataFrame:
-    """Distinct pairs (x, y) as lists (y, block, xs), the xs dealt into blocks of about `_HELD_TEXTS`."""
-    blocks = max(1, -(-pairs.select("x").distinct().count() // _HELD_TEXTS))
-    dealt = pairs.withColumn("block", F.pmod(F.xxhash64("x"), F.lit(blocks)).cast("int"))
-    return dealt.groupBy("y", "block").agg(F.collect_set("x").alias("xs"))
+def _listed(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs (x, y, home) as xs to hold (block, id) and lists (y, block, xs).
+
+    A home is a block; one with more than `_HELD_TEXTS` xs is cut into several.
+    """
+    pairs = stage(pairs, "pairs")
+    cuts = pairs.select("home", "x").distinct().groupBy("home").agg(F.ceil(F.count("*") / _HELD_TEXTS).alias("cuts"))
+    block = F.xxhash64("home", F.pmod(F.xxhash64("x"), "cuts"))
+    dealt = pairs.join(cuts, "home").select("x", "y", block.alias("block"))
+    held = dealt.select("block", F.col("x").alias("id")).distinct()
+    return held, dealt.groupBy("y", "block").agg(F.collect_set("x").alias("xs"))
 
 
-def _confirmed(lists: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (x, y) of `lists` (y, block, xs) that are similar on their full shingle sets.
+def _confirmed(dealt: tuple[DataFrame, DataFrame], texts: DataFrame) -> DataFrame:
+    """The pairs (x, y) that are similar on their full shingle sets, of held xs and lists (y, block, xs).
 
     A text y is sent once to each block that holds an x of its; a block with many ys is
     split and its xs are copied to each part. A task holds one block's sets while ys stream by.
     """
+    held, lists = (stage(d, "dealt") for d in dealt)
     spark = lists.sparkSession
-    lists = stage(lists, "lists")
     parts = lists.groupBy("block").agg(F.ceil(F.count("*") / _STREAMED).alias("parts"))
     streamed = lists.join(parts, "block").select(
         "block",
@@ -164,17 +171,15 @@ def _confirmed(lists: DataFrame, texts: DataFrame) -> DataFrame:
         F.col("y").alias("id"),
         "xs",
     )
-    held = (
-        lists.select("block", F.explode("xs").alias("id")).distinct().join(parts, "block")
-        .select(
-            "block",
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
-            F.lit(0).alias("kind"),
-            "id",
-            F.lit(None).cast("array<long>").alias("xs"),
-        )
+    held = held.join(parts, "block").select(
+        "block",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+        F.lit(0).alias("kind"),
+        "id",
+        F.lit(None).cast("array<long>").alias("xs"),
     )
-    rows = held.union(streamed).join(texts, "id").select("block", "part", "kind", "id", "xs", "text")
+    # Both sides grow with the corpus: a merge join at every size.
+    rows = held.union(streamed).join(texts.hint("merge"), "id").select("block", "part", "kind", "id", "xs", "text")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(max(tasks, 1), "block", "part").sortWithinPartitions("block", "part", "kind")
 
@@ -199,8 +204,8 @@ def _confirmed(lists: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(compare, "x long, y long")
 
 
-def _remaining(lists: DataFrame, signs: DataFrame) -> DataFrame:
-    """Candidates of different components, from posting lists (key, id, comp), as lists (y, block, xs).
+def _remaining(lists: DataFrame, signs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Candidates of different components, from posting lists (key, id, comp), dealt as by `_listed`.
 
     In each posting list, the ids outside its largest component are held in slices, and all
     its ids stream past each slice in parts. Slices and the blocks the xs are dealt into follow
@@ -237,20 +242,32 @@ def _remaining(lists: DataFrame, signs: DataFrame) -> DataFrame:
     rows = rows.repartition(tasks, "key", "slice", "part").sortWithinPartitions("key", "slice", "part", "kind")
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, block = None, [], None
+        at, held, block, used, found = None, [], None, None, []
+
+        def part() -> pa.RecordBatch:
+            columns = [[f[k] for f in found] for k in range(3)]
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["id", "block", "xs"])
+
+        def close() -> None:
+            if block is not None:
+                for k in np.flatnonzero(used).tolist():
+                    found.append((int(block[0][k]), int(block[3][k]), None))
+
         for batch in batches:
-            found = []
             *place, kind, ids, comps, main, blocks, sizes = (batch.column(i).to_pylist() for i in range(9))
             marks = _marks(batch.column(9))
             prefix = np.asarray(batch.column(10).values).reshape(-1, PREFIX)
             for i, spot in enumerate(zip(*place)):
                 if spot != at:
+                    close()
                     at, held, block = spot, [], None
                 if kind[i] == 0:
                     held.append((ids[i], comps[i], sizes[i], blocks[i], marks[i].copy(), prefix[i].copy()))
                     continue
                 if block is None:
                     block = [np.array([h[k] for h in held]) for k in range(6)]
+                    used = np.zeros(len(held), bool)
                 n = sizes[i]
                 fits = (100 * np.minimum(block[2], n) >= SIMILARITY * np.maximum(block[2], n)) & (block[1] != comps[i])
                 if comps[i] != main[i]:  # both are held: once is enough
@@ -258,14 +275,23 @@ def _remaining(lists: DataFrame, signs: DataFrame) -> DataFrame:
                 fits = np.flatnonzero(fits)
                 fits = fits[(block[4][fits] == marks[i]).sum(axis=1) >= MATCHES]
                 fits = fits[(block[5][fits] == prefix[i]).argmax(axis=1) == spot[0] >> 32]
+                used[fits] = True
                 for b in np.unique(block[3][fits]).tolist():
                     found.append((ids[i], b, block[0][fits[block[3][fits] == b]]))
-            columns = [[f[k] for f in found] for k in range(3)]
-            kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["y", "block", "xs"])
+            yield part()
+            found.clear()
+        close()
+        yield part()
+
+    found = stage(rows.mapInArrow(candidates, "id long, block long, xs array<long>"), "candidates")
+    xs = found.where("xs IS NULL").select("block", "id").distinct()
+    ys = found.where("xs IS NOT NULL").groupBy(F.col("id").alias("y"), "block")
+    return xs, ys.agg(F.flatten(F.collect_list("xs")).alias("xs"))
 
-    found = rows.mapInArrow(candidates, "y long, block int, xs array<long>")
-    return found.groupBy("y", "block").agg(F.flatten(F.collect_list("xs")).alias("xs"))
+
+def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """Links that have the components so far and the further links in them."""
+    return comps.select(F.col("node").alias("x"), F.col("component").alias("y")).union(links)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -293,15 +319,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     crowds = posted.groupBy("key").agg(F.count("*").alias("ids"), F.min("id").alias("lead")).where("ids > 1")
     lists = stage(posted.join(crowds, "key").select("key", "id", "lead"), "postings")
     crowd = lists.select("id").distinct()
-    texts = stage(
-        docs.select(F.col("doc_id").alias("id"), "text").join(crowd, "id", "left_semi").distinct(), "texts"
-    )
+    # The crowd grows with the corpus: a merge join at every size, never a broadcast of it.
+    own = docs.select(F.col("doc_id").alias("id"), "text").join(crowd.hint("merge"), "id", "left_semi")
+    texts = stage(own.distinct(), "texts")
 
-    # 1: the smallest class of each list.
+    # 1: the smallest class of each list. What meets one leader is at home with the least of its leaders.
     led = lists.where("lead <> id").select(F.col("lead").alias("x"), F.col("id").alias("y")).distinct()
     tried = stage(_matching(led, signs), "pairs")
-    links = stage(_confirmed(_listed(tried), texts), "links")
-    comps = components(links)
+    homes = tried.groupBy("y").agg(F.min("x").alias("home"))
+    comps = components(stage(_confirmed(_listed(tried.join(homes, "y")), texts), "links"))
 
     def mixed_lists() -> DataFrame:
         """Posting lists that hold several components."""
@@ -315,15 +341,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     mask = F.xxhash64("key")
     picked = own.groupBy("key").agg(F.min(F.col("id").bitwiseXOR(mask)).alias("least")).select("key", F.col("least").bitwiseXOR(mask).alias("x"))
     met = own.join(picked.join(own.select("key", F.col("id").alias("x"), F.col("comp").alias("other")), ["key", "x"]), "key")
-    met = met.where("comp <> other").select("x", F.col("id").alias("y")).distinct()
+    met = met.where("comp <> other").select("x", F.col("id").alias("y"), F.least("comp", "other").alias("home"))
+    met = met.groupBy("x", "y").agg(F.min("home").alias("home"))
     untried = met.join(tried.union(tried.select("y", "x")), ["x", "y"], "left_anti")
-    second = stage(_matching(untried, signs), "pairs")
-    links = links.union(stage(_confirmed(_listed(second), texts), "links"))
-    comps = components(links)
+    second = _matching(untried, signs)
+    comps = components(_joined(comps, stage(_confirmed(_listed(second), texts), "links")))
 
     # 3: all others.
-    links = links.union(stage(_confirmed(_remaining(mixed_lists(), signs), texts), "links"))
-    comps = components(links)
+    links = stage(_confirmed(_remaining(mixed_lists(), signs), texts), "links")
+    comps = components(_joined(comps, links))
 
     member = classes.select("high", "low", "id").join(comps, F.col("id") == F.col("node"), "left")
     member = member.select("high", "low", F.coalesce("component", "id").alias("component"))
