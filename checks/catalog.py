@@ -211,11 +211,11 @@ def stream_dedup(spark, sf_dir):
         spark.readStream.schema(events.schema)
         .option("maxFilesPerTrigger", _some_files(spark))
         .parquet(landing)
-        .select("*", "_metadata.file_name", "_metadata.file_modification_time")
+        .select("*", "_metadata.file_name")
     )
     query = (
-        dedup_stream(files, "file_modification_time", "2 days", "file_name")
-        .drop("file_name", "file_modification_time")
+        dedup_stream(files, "2 days", "file_name")
+        .drop("file_name")
         .writeStream.format("parquet")
         .option("path", out)
         .option("checkpointLocation", scratch_path(spark, "checkpoint"))
@@ -275,7 +275,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "kpi_order_revenue_daily": order_revenue,
     "kpi_retention": lambda s, d: kpi.retention(_gold(s, d)),
-    "kpi_churn_proxy": lambda s, d: kpi.churn_proxy(_gold(s, d), table(s, d, "customer"), INGEST_DATE),
+    "kpi_churn_proxy": lambda s, d: kpi.churn_proxy(_gold(s, d), table(s, d, "customer"), "2024-01-20"),
     "kpi_rfm_segments": lambda s, d: kpi.rfm_segments(table(s, d, "orders")),
     "kpi_daily_summary": lambda s, d: _rounded(kpi.daily_summary(_silver(s, d)), 2, "revenue"),
     "customer_360": full_customer_view,

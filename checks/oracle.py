@@ -284,12 +284,15 @@ FROM orders LEFT JOIN lines ON o_orderkey = l_orderkey GROUP BY 1
         "FROM days JOIN firsts USING (user_id) JOIN sizes USING (cohort_date) GROUP BY 1, 2"
     ),
     "kpi_churn_proxy": _silver(
-        ", lasts AS (SELECT user_id, max(event_date) AS last_event_date FROM silver GROUP BY user_id) "
-        "SELECT c_custkey, c_mktsegment, last_event_date, "
-        "CAST(DATE '2024-02-01' - last_event_date AS INTEGER) AS days_inactive, "
+        ", seen AS (SELECT user_id FROM silver WHERE event_date <= DATE '2024-01-20' "
+        "UNION SELECT c_custkey FROM customer), "
+        "lasts AS (SELECT user_id, (SELECT max(event_date) FROM silver "
+        "WHERE silver.user_id = seen.user_id AND event_date <= DATE '2024-01-20') AS last_event_date FROM seen) "
+        "SELECT user_id, c_mktsegment, last_event_date, "
+        "CAST(DATE '2024-01-20' - last_event_date AS INTEGER) AS days_inactive, "
         "CASE WHEN last_event_date IS NULL THEN 'never_active' "
-        "WHEN last_event_date < DATE '2024-02-01' - 14 THEN 'churned' ELSE 'active' END AS activity_state "
-        "FROM customer LEFT JOIN lasts ON c_custkey = user_id"
+        "WHEN last_event_date < DATE '2024-01-20' - 14 THEN 'churned' ELSE 'active' END AS activity_state "
+        "FROM lasts LEFT JOIN customer ON c_custkey = user_id"
     ),
     "kpi_rfm_segments": _RFM,
     "kpi_daily_summary": _silver(

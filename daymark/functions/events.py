@@ -22,7 +22,12 @@ def stated_date(timestamp_text: Column) -> Column:
     """
     prefix = F.substring(timestamp_text, 1, 10)
     is_shaped = (F.substring(prefix, 5, 1) == "-") & (F.substring(prefix, 8, 1) == "-")
-    return F.when(is_shaped, prefix.try_cast("date"))
+    return F.when(is_shaped, storable(prefix.try_cast("date")))
+
+
+def storable(day: Column) -> Column:
+    """The date if its year is 1 to 9999, else null: others cannot be read back from a directory's name."""
+    return F.when(F.year(day).between(1, 9999), day)
 
 
 def event_date(timestamp_text: Column, *fallbacks: Column | dt.date | str) -> Column:

@@ -20,8 +20,7 @@ def ntile_within(
 
     A window would pull each group into one task. Here the rows are range-sorted
     over all tasks, a row's rank is the number of rows in earlier tasks plus its
-    place in its own, and the only thing broadcast is one count per task and
-    group. `order` should be unique within a group, which also lets the range
+    place in its own; what is joined to them is one count per task and group. `order` should be unique within a group, which also lets the range
     sort cut through a value that very many rows share.
 
     The sorted rows are written out once, so that counts and places come from
@@ -51,7 +50,7 @@ def ntile_within(
     )
     return (
         placed.withColumn("_task", task)
-        .join(F.broadcast(sizes), [group, "_task"])
+        .join(sizes, [group, "_task"])
         .withColumn("_rank", F.col("_before") + F.col("_place") - F.col("_first"))
         .select(*df.columns, (bucket + 1).cast("int").alias(name))
     )

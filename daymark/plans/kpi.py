@@ -70,20 +70,21 @@ def retention(gold: DataFrame) -> DataFrame:
 def churn_proxy(
     gold: DataFrame, customers: DataFrame, as_of: dt.date | str, idle_days: int = 14
 ) -> DataFrame:
-    """Activity state of each customer on `as_of`: active, churned or never_active.
+    """Activity state of each user on `as_of`: active, churned or never_active.
 
-    Churned means the last event is more than `idle_days` days before.
+    Users are the customers and whoever has events up to that day. Churned means the
+    last event is more than `idle_days` days before; later events do not count.
     """
     day = F.lit(str(as_of)).cast("date")
-    last = gold.groupBy("user_id").agg(F.max("event_date").alias("last_event_date"))
+    last = gold.where(F.col("event_date") <= day).groupBy("user_id").agg(F.max("event_date").alias("last_event_date"))
     idle = F.date_diff(day, "last_event_date")
     state = (
         F.when(F.col("last_event_date").isNull(), "never_active")
         .when(idle > idle_days, "churned")
         .otherwise("active")
     )
-    return customers.join(last, F.col("c_custkey") == F.col("user_id"), "left").select(
-        "c_custkey",
+    return customers.join(last, F.col("c_custkey") == F.col("user_id"), "full").select(
+        F.coalesce("c_custkey", "user_id").alias("user_id"),
         "c_mktsegment",
         "last_event_date",
         idle.alias("days_inactive"),

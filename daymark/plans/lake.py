@@ -61,6 +61,10 @@ class Lake:
     def pending(self) -> str:
         return f"{self.root}/pending_dates"
 
+    @property
+    def open_loads(self) -> str:
+        return f"{self.root}/open_loads"
+
 
 # --- bronze -----------------------------------------------------------------
 
@@ -70,11 +74,13 @@ def write_load(events: DataFrame, lake: Lake, load_id: str) -> list[dt.date]:
 
     A load has its own directory within each date. Writing the same load again
     replaces it. The dates are noted as pending before anything is removed and
-    after anything is added, so a rebuild cannot miss one.
+    after anything is added. Between, the load is noted as open, and `refresh` looks
+    up the dates of open loads, so a rebuild cannot miss one when a load fails.
     """
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", load_id):
         raise ValueError(f"load_id may hold letters, digits, '_', '.' and '-' only: {load_id!r}")
     spark = events.sparkSession
+    files.touch(spark, f"{lake.open_loads}/{load_id}")
     earlier = _load_dates(spark, lake, load_id)
     _note_pending(spark, lake, earlier)
     replace_partitions(
@@ -85,6 +91,7 @@ def write_load(events: DataFrame, lake: Lake, load_id: str) -> list[dt.date]:
     )
     written = _load_dates(spark, lake, load_id)
     _note_pending(spark, lake, written)
+    files.delete(spark, f"{lake.open_loads}/{load_id}")
     return sorted(set(earlier) | set(written))
 
 
@@ -166,8 +173,6 @@ def rebuild_silver(spark: SparkSession, lake: Lake, dates: Iterable[dt.date]) ->
     """Deduplicate and screen the given dates anew from bronze.
 
     Silver and quarantine are the two halves of one table, written in one pass.
-    A single date needs no gathering: the shuffle of the deduplication already
-    leaves tasks of a good size.
     """
     use_utc(spark)
     for group, size in _groups(spark, lake.bronze, dates):
@@ -178,7 +183,6 @@ def rebuild_silver(spark: SparkSession, lake: Lake, dates: Iterable[dt.date]) ->
                 lake.screened,
                 ("verdict", "event_date"),
                 [f"verdict={v}/event_date={d.isoformat()}" for v in (ACCEPTED, REJECTED) for d in group],
-                gather=len(group) > 1,
             )
 
 
@@ -192,7 +196,6 @@ def rebuild_gold(spark: SparkSession, lake: Lake, dates: Iterable[dt.date]) -> N
                 lake.gold,
                 ("event_date",),
                 [f"event_date={d.isoformat()}" for d in group],
-                gather=len(group) > 1,
             )
 
 
@@ -229,6 +232,9 @@ def refresh(
     pending, and so do the dates a failure leaves undone.
     """
     use_utc(spark)
+    for load_id in sorted(files.file_names(spark, lake.open_loads)):
+        _note_pending(spark, lake, _load_dates(spark, lake, load_id))
+        files.delete(spark, f"{lake.open_loads}/{load_id}")
     notes = files.matching(spark, f"{lake.pending}/event_date=*/*")
     if dates is None:
         dates = {dt.date.fromisoformat(n.rsplit("event_date=", 1)[-1][:10]) for n in notes}

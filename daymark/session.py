@@ -35,8 +35,6 @@ def require_utc(spark: SparkSession) -> None:
 
 # Parquet bytes per shuffle partition: about four times as much once decoded.
 _SHARE = 32 * 2**20
-# Beyond this, bookkeeping per map task outweighs smaller partitions; sorts spill.
-_MOST_PARTITIONS = 50_000
 
 
 @contextmanager
@@ -49,7 +47,7 @@ def shuffles_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
     """
     setting = "spark.sql.shuffle.partitions"
     before = spark.conf.get(setting)
-    needed = min(math.ceil(input_bytes / _SHARE), _MOST_PARTITIONS)
+    needed = math.ceil(input_bytes / _SHARE)
     spark.conf.set(setting, str(max(int(before), needed)))
     try:
         yield

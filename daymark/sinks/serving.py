@@ -7,6 +7,7 @@ import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymark.operators.contracts import require_columns, require_sound
@@ -32,18 +33,25 @@ def _dates(gold: DataFrame) -> list[dt.date]:
     return sorted(r.event_date for r in affected_dates(gold).collect())
 
 
+def _of_dates(rows: DataFrame, dates: Iterable[dt.date] | None) -> tuple[DataFrame, list[dt.date]]:
+    """The rows of these dates, and the dates in order; None: all there are."""
+    if dates is None:
+        return rows, _dates(rows)
+    dates = sorted(set(dates))
+    return rows.where(F.col("event_date").isin(dates)), dates
+
+
 def publish_parquet(
     gold: DataFrame, target: str, dates: Iterable[dt.date] | None = None
 ) -> list[dt.date]:
     """Replace the dates of `gold` in a Parquet serving table; return those dates.
 
-    `dates` names what `gold` stands for: one without rows is removed from the
-    target. Without it, only dates that have rows are touched. A frame that
+    `dates` names what to replace: rows of other dates stay out, and a date without
+    rows is removed from the target. Without it, the dates that have rows are replaced. A frame that
     breaks the table's constraints is refused before anything is written.
     """
-    rows = serving_projection(gold)
+    rows, dates = _of_dates(serving_projection(gold), dates)
     require_sound(rows)
-    dates = _dates(rows) if dates is None else sorted(set(dates))
     if dates:
         replace_partitions(
             rows, target, ("event_date",), [f"event_date={d.isoformat()}" for d in dates]
@@ -119,14 +127,13 @@ def publish_jdbc(
     instants.
     """
     use_utc(gold.sparkSession)
-    rows = serving_projection(gold)
-    dates = _dates(rows) if dates is None else sorted(set(dates))
+    rows, dates = _of_dates(serving_projection(gold), dates)
     if not dates:
         return []
     statements = replace_statements(table, staging, dates)
     properties = dict(properties or {})
     instants = {c: rows[c].cast("timestamp") for c in ("first_event_ts", "last_event_ts")}
-    rows.withColumns(instants).coalesce(connections).write.jdbc(
+    rows.withColumns(instants).repartition(connections).write.jdbc(
         url, staging, mode="overwrite", properties=properties
     )
     run_in_transaction(_connect(gold.sparkSession, url, properties), statements)

@@ -14,7 +14,6 @@ def replace_partitions(
     path: str,
     keys: Sequence[str],
     owned: Iterable[str],
-    gather: bool = True,
 ) -> list[str]:
     """Write `df`, replacing each partition it has rows for, and drop the rest of `owned`.
 
@@ -24,7 +23,7 @@ def replace_partitions(
     deleted. Running the same write twice leaves the same table. Returns what
     was deleted.
 
-    `gather` brings the rows of a partition together, so that the number of
+    The rows of a partition are brought together, so that the number of
     files follows the data and not tasks x partitions; adaptive execution
     splits a partition that is too large for one task.
     """
@@ -34,10 +33,9 @@ def replace_partitions(
         return files.each(lambda p: files.file_names(spark, f"{path}/{p}"), owned)
 
     before = contents()
-    if gather:
-        df = df.hint("rebalance", *keys)
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *keys)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .parquet(path)

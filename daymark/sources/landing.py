@@ -11,10 +11,21 @@ from pyspark.sql import types as T
 from daymark.functions.events import event_date, stated_date
 from daymark.schemas import EVENT_COLUMNS, EVENT_TEXT
 
-_UNREADABLE = "_unreadable"
-_ENVELOPE = T.StructType().add("Message", "string").add("Timestamp", "string").add(_UNREADABLE, "string")
-_MESSAGE = T.StructType([*EVENT_TEXT.fields, T.StructField(_UNREADABLE, T.StringType())])
-_CORRUPT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _UNREADABLE}
+_ENVELOPE = T.StructType().add("Message", "string").add("Timestamp", "string")
+# By default a stream passes over files a week older than the newest, which is what a
+# backfill that keeps file times brings. The list of files seen grows instead; `archive`
+# keeps the directory itself short.
+_ANY_AGE = "36500d"
+
+
+def _only_object(text, kind: T.StructType):
+    """The one JSON object a text holds; null for anything else.
+
+    Read as an array of objects: `from_json` of a single one stops at its end, and
+    what follows would be lost without a trace.
+    """
+    parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(kind))
+    return F.when(F.size(parsed) == 1, F.get(parsed, F.lit(0)))
 
 
 # Without it, files in folders below the directory would be passed over in silence.
@@ -38,7 +49,7 @@ def read_landing_stream(
     With `archive`, consumed files move there, but only after the batch that
     read them is committed; this also keeps the directory listing short.
     """
-    reader = spark.readStream.format("text").option(_BELOW, True)
+    reader = spark.readStream.format("text").option(_BELOW, True).option("maxFileAge", _ANY_AGE)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:
@@ -58,26 +69,18 @@ def unwrap(lines: DataFrame, ingest_date: dt.date | str) -> DataFrame:
     it the envelope's publish time counts, which a redelivery repeats, and then
     `ingest_date`. The wall clock is never read.
     """
-    outer = F.from_json("value", _ENVELOPE, _CORRUPT)
-    # from_json stops at the end of the first object, so a second one on the
-    # line would be lost without a trace.
-    objects = F.json_array_length(F.concat(F.lit("["), F.col("value"), F.lit("]")))
-    opened = lines.select("value", outer.alias("outer"), objects.alias("objects"))
+    opened = lines.select("value", _only_object(F.col("value"), _ENVELOPE).alias("outer"))
     opened = opened.select(
         "value",
         F.col("outer.Message").alias("message"),
         F.col("outer.Timestamp").alias("published"),
-        (
-            F.col("outer").isNull()
-            | F.col(f"outer.{_UNREADABLE}").isNotNull()
-            | (F.coalesce(F.col("objects"), F.lit(0)) != 1)
-        ).alias("bad_outer"),
-        F.from_json("outer.Message", _MESSAGE, _CORRUPT).alias("event"),
+        F.col("outer").isNull().alias("bad_outer"),
+        _only_object(F.col("outer.Message"), EVENT_TEXT).alias("event"),
     )
     fault = (
         F.when(F.col("bad_outer"), "bad_envelope")
         .when(F.coalesce(F.col("message"), F.lit("")) == "", "empty_message")
-        .when(F.col("event").isNull() | F.col(f"event.{_UNREADABLE}").isNotNull(), "bad_message")
+        .when(F.col("event").isNull(), "bad_message")
     )
     # An empty timestamp counts as absent. Bare NaN and out-of-range numbers
     # come back from the JSON reader as quoted words.

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from daymark import filesystem as files
-from daymark.functions.events import event_date
+from daymark.functions.events import event_date, storable
 from daymark.schemas import EVENT_COLUMNS
 
 
@@ -51,7 +51,7 @@ def as_text_events(events: DataFrame, ingest_date: dt.date | str) -> DataFrame:
     none = F.lit(None).cast("string")
     text = {c: F.col(c).cast("string") if c in events.columns else none for c in EVENT_COLUMNS}
     text["event_timestamp"] = F.nullif(text["event_timestamp"], F.lit(""))
-    carried = [F.col("event_date").try_cast("date")] if "event_date" in events.columns else []
+    carried = [storable(F.col("event_date").try_cast("date"))] if "event_date" in events.columns else []
     return events.select(
         *[text[c].alias(c) for c in EVENT_COLUMNS],
         none.alias("ingest_fault"),

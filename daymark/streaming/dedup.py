@@ -9,15 +9,15 @@ from daymark.operators.dedup import IDENTITY
 
 
 def dedup_stream(
-    events: DataFrame, arrival: str, horizon: str, spread: str | None = None
+    events: DataFrame, horizon: str, spread: str | None = None
 ) -> DataFrame:
-    """First copy of each event among those arriving within `horizon` of each other.
+    """First copy of each event among those processed within `horizon` of each other.
 
     For consumers that need events at once; the tables come from the date
-    rebuild, which has no horizon. `arrival` is a TIMESTAMP column, such as the
-    landing file's modification time. It bounds the state instead of the time
-    stated in the event, which a faulty sender may put years ahead, making
-    every sound event after it late. Rows without an id all pass.
+    rebuild, which has no horizon. `horizon` is processing time: an event arrives
+    with the micro-batch that reads it, so no row is ever late, however old its file
+    or the time it states, and only how long a copy is recognised is limited.
+    Rows without an id all pass.
 
     All copies of one identity meet in one state partition. `spread` names a
     column, such as the landing file, by which copies are thinned out first, so
@@ -25,8 +25,9 @@ def dedup_stream(
     """
     # Rows without an id must not count as copies of each other.
     key = F.coalesce(F.col("event_id"), F.concat(F.lit("\u0000"), F.expr("uuid()")))
-    keyed = events.withColumn("_key", key).withWatermark(arrival, horizon)
+    keyed = events.withColumn("_key", key).withColumn("_arrival", F.current_timestamp())
+    keyed = keyed.withWatermark("_arrival", horizon)
     identity = ["_key", *(c for c in IDENTITY if c != "event_id")]
     if spread is not None:
         keyed = keyed.dropDuplicatesWithinWatermark([*identity, spread])
-    return keyed.dropDuplicatesWithinWatermark(identity).drop("_key")
+    return keyed.dropDuplicatesWithinWatermark(identity).drop("_key", "_arrival")

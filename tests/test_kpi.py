@@ -44,10 +44,17 @@ def test_retention(silver):
     ]
 
 
+def test_churn_proxy_does_not_look_past_the_day(spark, silver):
+    customers = spark.createDataFrame([(8, "B")], "c_custkey bigint, c_mktsegment string")
+    got = rows(kpi.churn_proxy(daily_user_metrics(silver), customers, "2024-01-02"))
+    assert all(r[2] is None or r[2] <= d(2) for r in got)
+    assert all(r[3] is None or r[3] >= 0 for r in got)
+
+
 def test_churn_proxy_boundary(spark, silver):
     customers = spark.createDataFrame([(7, "A"), (8, "B"), (1, "C")], "c_custkey bigint, c_mktsegment string")
     got = rows(kpi.churn_proxy(daily_user_metrics(silver), customers, "2024-01-17"))
-    assert got == [(1, "C", None, None, "never_active"), (7, "A", d(2), 15, "churned"), (8, "B", d(3), 14, "active")]
+    assert got == [(1, "C", None, None, "never_active"), (7, "A", d(2), 15, "churned"), (8, "B", d(3), 14, "active"), (9, None, d(3), 14, "active")]
 
 
 def test_daily_summary(silver):

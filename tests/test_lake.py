@@ -193,7 +193,7 @@ def test_a_long_history_is_rebuilt_in_runs(spark, home, monkeypatch):
 def test_shuffles_follow_the_input(spark):
     setting = "spark.sql.shuffle.partitions"
     before = spark.conf.get(setting)
-    for size, expected in ((0, before), (2**30, "32"), (2**40, "32768"), (2**50, "50000")):
+    for size, expected in ((0, before), (2**30, "32"), (2**40, "32768"), (2**50, "33554432")):
         with shuffles_for(spark, size):
             assert spark.conf.get(setting) == expected
         assert spark.conf.get(setting) == before
@@ -275,3 +275,13 @@ def test_a_typed_table_made_elsewhere_can_be_imported(spark, tmp_path, home):
         ("e1", 7, 1001, 12.5, D5),
         ("e2", 8, None, None, D6),
     ]
+
+
+def test_a_load_that_failed_is_still_rebuilt(spark, home, monkeypatch):
+    note = lake._note_pending
+    monkeypatch.setattr(lake, "_note_pending", lambda s, h, dates: None if dates == [] else 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        lake.write_load(events_df(spark, event(event_timestamp="2024-01-05T00:00:00Z")), home, "a")
+    monkeypatch.setattr(lake, "_note_pending", note)
+    assert [str(d) for d in lake.refresh(spark, home)] == ["2024-01-05"]
+    assert lake.read_gold(spark, home).count() == 1

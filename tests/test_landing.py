@@ -37,6 +37,10 @@ def test_good_message(spark):
         ('{"Message":"nope"}', "bad_message"),
         ('{"Message":"{\\"user_id\\": 1"}', "bad_message"),
         ('{"Message":"null"}', "bad_message"),
+        ('{"Message":"{}{}"}', "bad_message"),
+        ('{"Message":"{},{}"}', "bad_message"),
+        ('{"Message":"{} trailing"}', "bad_message"),
+        ('{"Message":"42"}', "bad_message"),
         ('{"Message":"[]"}', "bad_message"),
         ('{"Message":"42"}', "bad_message"),
     ],
@@ -105,3 +109,9 @@ def test_undated_event_takes_the_publish_date(spark):
 
 def test_no_lines(spark):
     assert unwrap(spark.createDataFrame([], "value string"), INGEST_DATE).count() == 0
+
+
+@pytest.mark.parametrize("stated", ["0000-01-05T00:00:00Z", "12000-01-05T00:00:00Z"])
+def test_years_no_directory_can_hold_take_the_fallback(spark, stated):
+    row = open_one(spark, envelope(event(event_timestamp=stated)))
+    assert row.event_date == dt.date.fromisoformat(INGEST_DATE)

@@ -118,3 +118,11 @@ def test_transaction_rolls_back_on_failure():
 def test_no_dates_touch_no_database(spark):
     empty = gold_of(spark, event()).limit(0)
     assert serving.publish_jdbc(empty, "jdbc:none:", "t", "s") == []
+
+
+def test_only_the_given_dates_are_published(spark, tmp_path):
+    events = [event(event_id=f"e{k}", event_timestamp=f"2024-01-0{k}T00:00:00Z") for k in (5, 6, 7)]
+    gold = daily_user_metrics(screening.clean(events_df(spark, *events)))
+    target = str(tmp_path / "serving")
+    assert serving.publish_parquet(gold, target, [dt.date(2024, 1, 6)]) == [dt.date(2024, 1, 6)]
+    assert [r.event_date for r in spark.read.parquet(target).collect()] == [dt.date(2024, 1, 6)]

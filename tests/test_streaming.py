@@ -1,5 +1,8 @@
 """The stream gives what the batch gives."""
 
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,10 +147,10 @@ def test_stream_dedup_holds_across_runs(spark, tmp_path, spread):
         stream = (
             spark.readStream.schema("event_id string, event_date date")
             .parquet(source)
-            .select("*", "_metadata.file_name", "_metadata.file_modification_time")
+            .select("*", "_metadata.file_name")
         )
         (
-            dedup_stream(stream, "file_modification_time", "1 hour", spread)
+            dedup_stream(stream, "1 hour", spread)
             .select("event_id", "event_date")
             .writeStream.format("parquet")
             .option("path", out)
@@ -160,3 +163,16 @@ def test_stream_dedup_holds_across_runs(spark, tmp_path, spread):
 
     assert send("a", "a", "b", None, None) == ["-", "-", "a", "b"]
     assert send("a", "c", None) == ["-", "-", "-", "a", "b", "c"]
+
+
+@pytest.mark.parametrize("days", [10, 400])
+def test_a_file_of_any_age_is_read(spark, tmp_path, home, days):
+    landing, checkpoint = tmp_path / "landing", str(tmp_path / "cp")
+    write_lines(landing, "one", envelope(event(event_id="a")))
+    drain(spark, str(landing), home, checkpoint, INGEST_DATE)
+    write_lines(landing, "two", envelope(event(event_id="b")))
+    write_lines(landing, "three", envelope(event(event_id="c")))
+    old = time.time() - days * 86400
+    os.utime(landing / "two", (old, old))
+    drain(spark, str(landing), home, checkpoint, INGEST_DATE)
+    assert {r.event_id for r in lake.read_bronze(spark, home).collect()} == {"a", "b", "c"}
