@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.raw_events import INGEST_DATE, dated_events, envelope_lines, table
+from checks.raw_events import INGEST_DATE, conflicting_copies, dated_events, envelope_lines, table, unsound_gold
 from daymark.operators import contracts, quality, screening
 from daymark.operators.daily_metrics import daily_user_metrics
 from daymark.operators.dedup import dedup_events
@@ -47,6 +47,13 @@ def _rounded_gold(gold: DataFrame) -> DataFrame:
     return _rounded(gold, 2, "total_amount")
 
 
+def _both_golds(check: Callable[[DataFrame], DataFrame], sound: DataFrame) -> DataFrame:
+    """What a check says of gold, and of an unsound table made from it."""
+    parts = (("sound", sound), ("unsound", unsound_gold(sound)))
+    first, second = (check(gold).withColumn("gold_table", F.lit(name)) for name, gold in parts)
+    return first.unionByName(second)
+
+
 # --- bronze -----------------------------------------------------------------
 
 
@@ -107,6 +114,20 @@ def dedup(spark, sf_dir):
     return _numbers(dedup_events(dated_events(spark, sf_dir)))
 
 
+def _redelivered(spark, sf_dir):
+    return dated_events(spark, sf_dir).unionByName(conflicting_copies(spark, sf_dir))
+
+
+def dedup_conflicts(spark, sf_dir):
+    """Copies that differ: one of each id and date is left."""
+    return _numbers(dedup_events(_redelivered(spark, sf_dir)))
+
+
+def dedup_history(spark, sf_dir):
+    """Copies that differ, on any date: one of each id is left."""
+    return _numbers(dedup_events(_redelivered(spark, sf_dir), identity=("event_id",)))
+
+
 def silver_types(spark, sf_dir):
     typed = screening.enforce_types(dedup_events(dated_events(spark, sf_dir)))
     return typed.select(
@@ -172,21 +193,33 @@ def gold_rebuild(spark, sf_dir):
 
 
 def reconciliation(spark, sf_dir):
-    """Counts of the stored tables against each other."""
+    """Counts of the stored tables against each other, and with a gold that was appended twice."""
     home = _loaded_lake(spark, sf_dir)
     lake.refresh(spark, home)
-    read = (lake.read_bronze, lake.read_silver, lake.read_quarantine, lake.read_gold)
-    return contracts.reconciliation(*(r(spark, home) for r in read))
+    stored = [r(spark, home) for r in (lake.read_bronze, lake.read_silver, lake.read_quarantine)]
+    gold = lake.read_gold(spark, home)
+    once = contracts.reconciliation(*stored, gold).withColumn("gold_table", F.lit("sound"))
+    twice = contracts.reconciliation(*stored, gold.unionByName(gold))
+    return once.unionByName(twice.withColumn("gold_table", F.lit("appended twice")))
+
+
+def projected(spark, sf_dir):
+    """Gold with its columns turned round and others between them, as the serving table wants it."""
+    gold = _gold(spark, sf_dir)
+    turned = gold.select(F.lit("batch 1").alias("loaded_by"), *reversed(gold.columns), F.rand(1).alias("noise"))
+    return _rounded_gold(serving.serving_projection(turned))
 
 
 def publish_replace(spark, sf_dir):
-    """Publishes gold twice; the second publish replaces the dates of the first."""
+    """Publishes gold, then a corrected gold for some of its dates; the other dates stay."""
     home = _loaded_lake(spark, sf_dir)
     lake.refresh(spark, home)
     target = f"{home.root}/serving/daily_user_metrics"
     gold = lake.read_gold(spark, home)
     serving.publish_parquet(gold, target)
-    serving.publish_parquet(gold, target)
+    corrected = gold.withColumn("events_count", F.col("events_count") + 1000)
+    dates = [d for d in lake.table_dates(spark, home.gold) if d.day <= 15]
+    serving.publish_parquet(corrected, target, dates)
     return _rounded_gold(lake.read_table(spark, target, GOLD))
 
 
@@ -247,6 +280,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "event_date_derive": event_date_derive,
     "bronze_ingest": bronze_ingest,
     "dedup_events": dedup,
+    "dedup_conflicts": dedup_conflicts,
+    "dedup_history": dedup_history,
     "silver_types": silver_types,
     "silver_clean": _silver,
     "silver_enrich": silver_enrich,
@@ -256,14 +291,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_scan": silver_scan,
     "gold_daily_user_metrics": lambda s, d: _rounded_gold(_gold(s, d)),
     "gold_rebuild": gold_rebuild,
-    "gold_invariants": lambda s, d: contracts.metric_invariants(_gold(s, d)),
+    "gold_invariants": lambda s, d: _both_golds(contracts.metric_invariants, _gold(s, d)),
     "dq_reconciliation": reconciliation,
     "schema_contract": lambda s, d: contracts.column_profile(_gold(s, d), GOLD),
-    "serving_projection": lambda s, d: _rounded_gold(serving.serving_projection(_gold(s, d))),
+    "serving_projection": projected,
     "affected_dates": lambda s, d: serving.affected_dates(_gold(s, d)),
     "publish_replace": publish_replace,
-    "dq_not_null": lambda s, d: contracts.null_violations(_gold(s, d)),
-    "dq_unique_key": lambda s, d: contracts.key_summary(_gold(s, d)),
+    "dq_not_null": lambda s, d: _both_golds(contracts.null_violations, _gold(s, d)),
+    "dq_unique_key": lambda s, d: _both_golds(contracts.key_summary, _gold(s, d)),
     "dq_duplicate_events": lambda s, d: contracts.duplicate_keys(
         dated_events(s, d), ("event_id", "event_date")
     ),

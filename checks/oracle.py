@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 RAW_SQL = """
 keyed AS (
   SELECT *, event_id AS n, CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k,
@@ -76,6 +78,28 @@ gold AS (
 """
 
 
+_CONFLICTS = """
+redelivered AS (
+  SELECT * FROM dated UNION ALL
+  SELECT * REPLACE (CASE WHEN n % 30 = 7 THEN '/support' ELSE page END AS page,
+                    CASE WHEN n % 30 <> 13 THEN event_timestamp END AS event_timestamp,
+                    CASE WHEN n % 30 = 19 THEN CAST(event_date + 1 AS DATE) ELSE event_date END AS event_date)
+  FROM dated WHERE n % 30 IN (7, 13, 19))
+"""
+
+_UNSOUND = """
+unsound AS (
+  SELECT * FROM gold UNION ALL
+  SELECT * FROM gold WHERE user_id % 7 = 5 UNION ALL
+  SELECT * REPLACE (CASE WHEN user_id % 14 = 10 THEN 0 ELSE events_count + 1 END AS events_count,
+                    purchase_events + 1 AS purchase_events,
+                    CASE WHEN user_id % 3 = 0 THEN error_events + 1 END AS error_events,
+                    CASE WHEN user_id % 2 = 0 THEN last_event_ts + INTERVAL 1 HOUR END AS first_event_ts,
+                    CASE WHEN user_id % 14 <> 3 THEN user_id END AS user_id)
+  FROM gold WHERE user_id % 7 = 3)
+"""
+
+
 def _raw(select: str) -> str:
     return f"WITH {RAW_SQL} {select}"
 
@@ -88,6 +112,22 @@ def _gold(select: str) -> str:
     return f"WITH {RAW_SQL}, {_TYPED}, {_GOLD} {select}"
 
 
+def _both_golds(select: Callable[[str, str], str]) -> str:
+    """`select` of a table's name and the name it gets in the result, for sound and unsound gold."""
+    both = _union([select("gold", "'sound' AS gold_table"), select("unsound", "'unsound' AS gold_table")])
+    return f"WITH {RAW_SQL}, {_TYPED}, {_GOLD}, {_UNSOUND} {both}"
+
+
+def _one_of(identity: str) -> str:
+    """One row of each identity: the earliest timestamp text, absent ones last, then by the other columns."""
+    rest = "user_id, event_type, page, product_id, amount, error_code, source, event_date"
+    order = ", ".join(f"{c} NULLS LAST" for c in ["event_timestamp", *rest.split(", ")])
+    return (
+        f"WITH {RAW_SQL}, {_CONFLICTS} SELECT {_EVENT}, event_date FROM (SELECT *, row_number() OVER "
+        f"(PARTITION BY {identity} ORDER BY {order}) AS place FROM redelivered) WHERE place = 1"
+    )
+
+
 _EVENT = "event_id, user_id, event_type, event_timestamp, page, product_id, amount, error_code, source"
 _ALL_SILVER = _silver("SELECT * FROM silver")
 _ALL_GOLD = _gold("SELECT * FROM gold")
@@ -185,6 +225,8 @@ SQL: dict[str, str] = {
     "FROM lines GROUP BY event_date",
     # silver
     "dedup_events": _raw(f"SELECT DISTINCT {_EVENT}, event_date FROM dated"),
+    "dedup_conflicts": _one_of("event_id, event_date"),
+    "dedup_history": _one_of("event_id"),
     "silver_types": _silver(
         "SELECT event_id, user_id, product_id, amount, event_timestamp_ts, event_date FROM typed"
     ),
@@ -201,11 +243,11 @@ SQL: dict[str, str] = {
     # gold
     "gold_daily_user_metrics": _ALL_GOLD,
     "gold_rebuild": _ALL_GOLD,
-    "gold_invariants": _gold(
-        _union(
+    "gold_invariants": _both_golds(
+        lambda gold, label: _union(
             [
                 f"SELECT '{name}' AS invariant, count(*) FILTER ({rule}) AS violations, "
-                "count(*) AS gold_rows FROM gold"
+                f"count(*) AS gold_rows, {label} FROM {gold}"
                 for name, rule in _INVARIANTS.items()
             ]
         )
@@ -222,28 +264,37 @@ SQL: dict[str, str] = {
     # serving
     "serving_projection": _ALL_GOLD,
     "affected_dates": _gold("SELECT DISTINCT event_date FROM gold"),
-    "publish_replace": _ALL_GOLD,
-    "dq_not_null": _gold(
-        _union(
+    "publish_replace": _gold(
+        "SELECT * REPLACE (events_count + CASE WHEN day(event_date) <= 15 THEN 1000 ELSE 0 END AS events_count) FROM gold"
+    ),
+    "dq_not_null": _both_golds(
+        lambda gold, label: _union(
             [
-                f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS null_rows FROM gold"
+                f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS null_rows, {label} FROM {gold}"
                 for c in _NOT_NULL_COLUMNS
             ]
         )
     ),
-    "dq_unique_key": _gold(
-        "SELECT count(*) AS distinct_keys, count(*) FILTER (copies > 1) AS duplicate_keys "
-        "FROM (SELECT count(*) AS copies FROM gold GROUP BY event_date, user_id)"
+    "dq_unique_key": _both_golds(
+        lambda gold, label: f"SELECT count(*) AS distinct_keys, count(*) FILTER (copies > 1) AS duplicate_keys, {label} "
+        f"FROM (SELECT count(*) AS copies FROM {gold} GROUP BY event_date, user_id)"
     ),
     "dq_duplicate_events": _raw(
         "SELECT event_id, event_date, count(*) AS copies FROM dated "
         "GROUP BY event_id, event_date HAVING count(*) > 1"
     ),
     "dq_reconciliation": _gold(
-        "SELECT 'silver_and_quarantine_hold_every_event' AS \"check\", "
-        "(SELECT count(*) FROM typed) AS expected, (SELECT count(*) FROM judged) AS actual UNION ALL "
-        "SELECT 'gold_counts_every_silver_row', (SELECT count(*) FROM silver), "
-        "(SELECT CAST(sum(events_count) AS BIGINT) FROM gold)"
+        _union(
+            [
+                "SELECT 'silver_and_quarantine_hold_every_event' AS \"check\", "
+                "(SELECT count(*) FROM (SELECT DISTINCT event_id, event_date FROM dated)) AS expected, "
+                "(SELECT count(*) FROM silver) + (SELECT count(*) FROM judged WHERE reason IS NOT NULL) AS actual, "
+                f"'{label}' AS gold_table UNION ALL "
+                "SELECT 'gold_counts_every_silver_row', (SELECT count(*) FROM silver), "
+                f"{times} * (SELECT CAST(sum(events_count) AS BIGINT) FROM gold), '{label}'"
+                for label, times in (("sound", 1), ("appended twice", 2))
+            ]
+        )
     ),
     "dq_report": _raw(
         _union(

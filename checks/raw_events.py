@@ -62,6 +62,36 @@ def dated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def conflicting_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events delivered again with another page, without a timestamp, or a day later."""
+    n = F.col("event_id").cast("bigint") % 30
+    return (
+        dated_events(spark, sf_dir)
+        .where(n.isin(7, 13, 19))
+        .withColumns(
+            {
+                "page": F.when(n == 7, "/support").otherwise(F.col("page")),
+                "event_timestamp": F.when(n != 13, F.col("event_timestamp")),
+                "event_date": F.when(n == 19, F.date_add("event_date", 1)).otherwise(F.col("event_date")),
+            }
+        )
+    )
+
+
+def unsound_gold(gold: DataFrame) -> DataFrame:
+    """Gold with some rows appended twice and some appended with broken values."""
+    user = F.col("user_id")
+    damage = {
+        "events_count": F.when(user % 14 == 10, 0).otherwise(F.col("events_count") + 1),
+        "purchase_events": F.col("purchase_events") + 1,
+        "error_events": F.when(user % 3 == 0, F.col("error_events") + 1),
+        "first_event_ts": F.when(user % 2 == 0, F.col("last_event_ts") + F.expr("INTERVAL 1 HOUR")),
+        "user_id": F.when(user % 14 != 3, user),
+    }
+    again, broken = gold.where(user % 7 == 5), gold.where(user % 7 == 3)
+    return gold.unionByName(again).unionByName(broken.withColumns(damage))
+
+
 def envelope_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every raw event as an envelope line, and a broken line beside some of them."""
     raw = raw_events(spark, sf_dir)
