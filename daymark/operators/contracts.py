@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -69,11 +69,11 @@ def key_summary(df: DataFrame, key: Sequence[str] = GOLD_KEY) -> DataFrame:
     )
 
 
-def metric_invariants(gold: DataFrame) -> DataFrame:
-    """Gold rows that break each rule between the metrics: all zero if sound."""
+def _broken_rules() -> dict[str, Column]:
+    """Rule between the metrics -> condition under which a gold row breaks it."""
     c = F.col
     kinds = c("page_view_count") + c("login_count") + c("add_to_cart_count") + c("checkout_count") + c("error_count")
-    broken = {
+    return {
         "events_count_is_sum_of_types": c("events_count") != kinds,
         "purchase_events_is_checkout_count": c("purchase_events") != c("checkout_count"),
         "error_events_is_error_count": c("error_events") != c("error_count"),
@@ -82,6 +82,11 @@ def metric_invariants(gold: DataFrame) -> DataFrame:
         != c("last_event_ts").isNull(),
         "at_least_one_event": c("events_count") < 1,
     }
+
+
+def metric_invariants(gold: DataFrame) -> DataFrame:
+    """Gold rows that break each rule between the metrics: all zero if sound."""
+    broken = _broken_rules()
     counts = gold.agg(
         F.count("*").alias("gold_rows"),
         *[count_where(rule).alias(name) for name, rule in broken.items()],
@@ -89,16 +94,17 @@ def metric_invariants(gold: DataFrame) -> DataFrame:
     return counts.unpivot(["gold_rows"], list(broken), "invariant", "violations")
 
 
+def events_once(copies: DataFrame) -> DataFrame:
+    """One row: how many events are left of each identity's `copies`; those without an id all stay."""
+    once = F.when(F.col("event_id").isNull(), F.col("copies")).otherwise(1)
+    return copies.agg(F.coalesce(F.sum(once), F.lit(0)).alias("rows"))
+
+
 def reconciliation(
     bronze: DataFrame, silver: DataFrame, rejected: DataFrame, gold: DataFrame
 ) -> DataFrame:
     """Row counts that must agree between the stages: expected equals actual if sound."""
-    once = F.when(F.col("event_id").isNull(), F.col("copies")).otherwise(1)
-    events = (
-        bronze.groupBy(*IDENTITY)
-        .agg(F.count("*").alias("copies"))
-        .agg(F.coalesce(F.sum(once), F.lit(0)).alias("rows"))
-    )
+    events = events_once(bronze.groupBy(*IDENTITY).agg(F.count("*").alias("copies")))
     judged = silver.select("event_date").unionAll(rejected.select("event_date"))
     in_gold = gold.agg(F.coalesce(F.sum("events_count"), F.lit(0)).alias("rows"))
 
@@ -118,6 +124,36 @@ def reconciliation(
     )
 
 
+def table_checks(
+    copies: DataFrame, silver: DataFrame, rejected: DataFrame, gold: DataFrame
+) -> DataFrame:
+    """All of the above as rows (check, failing), from one row of totals.
+
+    `copies` has the bronze rows of each identity. Silver and quarantine are counted
+    once. Gold is read twice: all of it for the rules, and its key alone for the one
+    check that needs a shuffle, which stays as narrow as the key.
+    """
+    rules = {f"{c}_not_null": F.col(c).isNull() for c in GOLD_NOT_NULL} | _broken_rules()
+    in_gold = F.coalesce(F.sum("events_count"), F.lit(0)).alias("in_gold")
+    totals = gold.agg(*[count_where(rule).alias(name) for name, rule in rules.items()], in_gold)
+    for other in (
+        key_summary(gold).select(F.col("duplicate_keys").alias("gold_key_unique")),
+        silver.agg(F.count("*").alias("in_silver")),
+        rejected.agg(F.count("*").alias("in_quarantine")),
+        events_once(copies).withColumnRenamed("rows", "events"),
+    ):
+        totals = totals.unionByName(other, allowMissingColumns=True)
+    # One row each, so that the greatest is the only one.
+    row = totals.agg(*[F.max(c).alias(c) for c in totals.columns])
+    found = row.select(
+        *rules,
+        "gold_key_unique",
+        F.abs(F.expr("events - in_silver - in_quarantine")).alias("silver_and_quarantine_hold_every_event"),
+        F.abs(F.expr("in_silver - in_gold")).alias("gold_counts_every_silver_row"),
+    )
+    return found.unpivot([], found.columns, "check", "failing")
+
+
 def require_sound(gold: DataFrame) -> None:
     """Raise ValueError if the table breaks its NOT NULL or key constraints.
 

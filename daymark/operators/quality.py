@@ -37,33 +37,46 @@ def _row_rules() -> dict[str, Column]:
     }
 
 
-def dq_report(events: DataFrame) -> DataFrame:
-    """Failing and total rows per rule.
-
-    All row rules share one pass. The two identity rules need one aggregate by
-    event_id, whose buffers are fixed-width, so copies are merged in each task
-    before the shuffle.
-    """
+def row_report(events: DataFrame) -> DataFrame:
+    """Failing and total rows per rule on single rows, all in one pass."""
     require_utc(events.sparkSession)
     rules = _row_rules()
-    rows = events.agg(
-        F.count("*").alias("total"),
-        *[count_where(failing).alias(name) for name, failing in rules.items()],
-    ).unpivot(["total"], list(rules), "rule", "failing")
+    return (
+        events.agg(
+            F.count("*").alias("total"),
+            *[count_where(failing).alias(name) for name, failing in rules.items()],
+        )
+        .unpivot(["total"], list(rules), "rule", "failing")
+        .select("rule", "failing", "total")
+    )
+
 
-    ids = (
-        events.filter(F.col("event_id").isNotNull())
-        .groupBy("event_id")
+def identity_report(copies: DataFrame) -> DataFrame:
+    """Failing and total rows of the identity rules, from (event_id, event_date, copies).
+
+    One aggregate by event_id, whose buffers are fixed-width, so copies are merged in
+    each task before the shuffle. Rows without an id are left out at the end, not by a
+    filter, which Spark would move into the plan of `copies` and so keep it from being shared.
+    """
+    known = F.col("event_id").isNotNull()
+    return (
+        copies.groupBy("event_id")
         .agg(
-            F.count("*").alias("copies"),
+            F.sum("copies").alias("copies"),
             F.min("event_date").alias("first_date"),
             F.max("event_date").alias("last_date"),
         )
         .agg(
-            F.coalesce(F.sum("copies"), F.lit(0)).alias("total"),
-            F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("event_id_unique"),
-            count_where(F.col("first_date") < F.col("last_date")).alias("event_id_on_one_date"),
+            F.coalesce(F.sum(F.when(known, F.col("copies"))), F.lit(0)).alias("total"),
+            F.coalesce(F.sum(F.when(known, F.col("copies") - 1)), F.lit(0)).alias("event_id_unique"),
+            count_where(known & (F.col("first_date") < F.col("last_date"))).alias("event_id_on_one_date"),
         )
         .unpivot(["total"], ["event_id_unique", "event_id_on_one_date"], "rule", "failing")
+        .select("rule", "failing", "total")
     )
-    return rows.unionByName(ids).select("rule", "failing", "total")
+
+
+def dq_report(events: DataFrame) -> DataFrame:
+    """Failing and total rows per rule, on single rows and on identities."""
+    copies = events.select("event_id", "event_date", F.lit(1).cast("bigint").alias("copies"))
+    return row_report(events).unionByName(identity_report(copies))
