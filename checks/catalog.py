@@ -10,7 +10,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.raw_events import INGEST_DATE, conflicting_copies, dated_events, envelope_lines, table, unsound_gold
+from checks.raw_events import (
+    INGEST_DATE,
+    conflicting_copies,
+    dated_events,
+    envelope_lines,
+    make_old,
+    table,
+    unsound_gold,
+)
 from daymark.operators import contracts, quality, screening
 from daymark.operators.daily_metrics import daily_user_metrics
 from daymark.operators.dedup import dedup_events
@@ -107,6 +115,24 @@ def bronze_ingest(spark, sf_dir):
     )
 
 
+def bronze_backfill(spark, sf_dir):
+    """Streams half of the lines into bronze, then files with the other half, a year older."""
+    home, landing = lake.Lake(scratch_path(spark, "lake")), scratch_path(spark, "landing")
+    checkpoint, limit = scratch_path(spark, "checkpoint"), _some_files(spark)
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    for part, name in enumerate(("first", "backfill")):
+        lines = envelope_lines(spark, sf_dir).where(half == part)
+        lines.repartition(_cores(spark)).write.text(f"{landing}/{name}")
+        if name == "backfill":
+            make_old(spark, f"{landing}/{name}", 400)
+        start_ingest(spark, landing, home, checkpoint, INGEST_DATE, max_files=limit).awaitTermination()
+    return (
+        lake.read_bronze(spark, home)
+        .groupBy("event_date")
+        .agg(F.count("*").alias("messages"), F.count("ingest_fault").alias("faulty"))
+    )
+
+
 # --- silver -----------------------------------------------------------------
 
 
@@ -279,6 +305,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_quarantine": ingest_quarantine,
     "event_date_derive": event_date_derive,
     "bronze_ingest": bronze_ingest,
+    "bronze_backfill": bronze_backfill,
     "dedup_events": dedup,
     "dedup_conflicts": dedup_conflicts,
     "dedup_history": dedup_history,

@@ -209,6 +209,14 @@ def _union(parts: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
+_BRONZE_COUNTS = (
+    f"WITH {RAW_SQL}, {_BROKEN}, "
+    "lines AS (SELECT event_date, CAST(NULL AS VARCHAR) AS ingest_fault FROM dated "
+    "UNION ALL SELECT DATE '2024-02-01', ingest_fault FROM broken) "
+    "SELECT event_date, count(*) AS messages, count(ingest_fault) AS faulty "
+    "FROM lines GROUP BY event_date"
+)
+
 SQL: dict[str, str] = {
     # bronze
     "envelope_parse": f"WITH {RAW_SQL}, {_BROKEN} "
@@ -218,11 +226,8 @@ SQL: dict[str, str] = {
     "ingest_quarantine": f"WITH {RAW_SQL}, {_BROKEN} "
     "SELECT ingest_fault, count(*) AS lines FROM broken GROUP BY ingest_fault",
     "event_date_derive": _raw("SELECT event_id, event_timestamp, event_date FROM dated"),
-    "bronze_ingest": f"WITH {RAW_SQL}, {_BROKEN}, "
-    "lines AS (SELECT event_date, CAST(NULL AS VARCHAR) AS ingest_fault FROM dated "
-    "UNION ALL SELECT DATE '2024-02-01', ingest_fault FROM broken) "
-    "SELECT event_date, count(*) AS messages, count(ingest_fault) AS faulty "
-    "FROM lines GROUP BY event_date",
+    "bronze_ingest": _BRONZE_COUNTS,
+    "bronze_backfill": _BRONZE_COUNTS,
     # silver
     "dedup_events": _raw(f"SELECT DISTINCT {_EVENT}, event_date FROM dated"),
     "dedup_conflicts": _one_of("event_id, event_date"),

@@ -67,7 +67,7 @@ def test_golden_counts(spark):
 
 
 STORED = {
-    "bronze_ingest", "ingest_quarantine", "silver_rebuild", "silver_scan", "gold_rebuild",
+    "bronze_ingest", "bronze_backfill", "ingest_quarantine", "silver_rebuild", "silver_scan", "gold_rebuild",
     "publish_replace", "dq_reconciliation", "stream_equals_batch", "stream_dedup",
 }
 
