@@ -186,12 +186,13 @@ def write_archives(pages: DataFrame, path: str, chunk: int = CHUNK, least: int =
     Of pages with equal payloads of at least `least` bytes, that with the largest
     page_id is the response. A null html is an empty payload. Rows that share the
     largest page_id are all responses; a page without an id revisits one that has an id.
+    A row is a revisit by its own payload, whatever other rows of its page_id hold.
     """
-    revisits = plan_revisits(pages, least).select("page_id", "refers_to").distinct()
+    revisits = plan_revisits(pages, least).distinct().withColumnsRenamed({"page_id": "revisiting", "digest": "revisited"})
     payload = F.coalesce(F.col("html"), F.lit("")).alias("html")
-    joined = pages.select("page_id", "url", payload).join(
-        revisits.withColumnRenamed("page_id", "revisiting"), F.col("page_id").eqNullSafe(F.col("revisiting")), "left"
-    )
+    marked = pages.select("page_id", "url", payload).withColumn("digest", F.sha1(F.col("html").cast("binary")))
+    same = F.col("page_id").eqNullSafe(F.col("revisiting")) & (F.col("digest") == F.col("revisited"))
+    joined = marked.join(revisits, same, "left")
     rows = joined.select("page_id", "url", F.col("html").cast("binary"), "refers_to")
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

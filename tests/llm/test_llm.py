@@ -191,6 +191,23 @@ def test_archives_round_trip(spark, tmp_path):
     assert Counter((r.record_id, r.record_type, r.payload_bytes, r.payload_digest, r.refers_to) for r in got) == expected
 
 
+def test_rows_of_one_page_id_are_archived_by_their_own_payload(spark, tmp_path):
+    a, b, c, d = ("a" * 1500, "b" * 1600, "c" * 1700, "d" * 1800)
+    pages = [(5, a), (9, a), (5, b), (5, a), (7, d), (7, c), (None, a), (None, d), (None, c), (None, b + "x"), (None, "short"), (None, "short"), (None, None)]
+    df = spark.createDataFrame([(k, "u", t) for k, t in pages], "page_id long, url string, html string")
+    responses = {a: 9, d: 7, c: 7}
+    expected = Counter()
+    for page, html in pages:
+        refers = responses.get(html) if page is None or html == a and page == 5 else None
+        body = (html or "").encode()
+        expected[page, len(body), hashlib.sha1(body).hexdigest(), "revisit" if refers else "response", refers] += 1
+    for broadcast in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+        got = Counter(tuple(r) for r in warc.archive_report(df, str(tmp_path / broadcast)).collect())
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert got == expected
+
+
 def test_oversized_payloads_become_segments():
     records = list(warc.page_records(1, "u", ("é" * 1000).encode(), None, chunk=333))
     assert len(records) > 1 and b"WARC-Segment-Number: 2" in records[1]
