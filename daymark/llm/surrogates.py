@@ -14,8 +14,10 @@ lose get another try. Only these exceptions travel to the documents.
 from __future__ import annotations
 
 import hmac
+import ipaddress
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -38,7 +40,14 @@ class Entity(NamedTuple):
     canonical: str
 
 
-_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+# Scripts without spaces (Thai to Khmer, kana, Han): next to an address, their letters are not part of it.
+_SOLID = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_LABEL = "(?:[^\\W_]|-)+"
+_EMAIL = re.compile(
+    rf"[\w\u0300-\u036f.%+-]+@(?:[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?![^\W_{_SOLID}])|{_LABEL}(?:\.{_LABEL})+)"
+)
+_TO_SOLID = re.compile(rf".*[{_SOLID}](?=[^@])")
+_IPV6 = re.compile(r"(?<![\w:.])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,8}(?![\w:]|\.\d)")
 _SECRET = re.compile(
     r"""(?:[=:]\s*["']?|["'])([A-Za-z0-9_+/-]{16,}={0,2})(?![A-Za-z0-9_+/-])|\b((?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36})\b"""
 )
@@ -47,7 +56,9 @@ _NUMBER = re.compile(
     (?P<ip>\d{1,3}(?:\.\d{1,3}){3})(?!\w|\.\d)
     |(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])
     |(?P<card>\d(?:[ -]?\d){12,18})(?!\w)
-    |(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3,4}[ .-]\d{3,4}|\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,5})(?!\w)
+    |(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3,4}[ .-]\d{3,4}|\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,5}
+        |(?:\+\d{1,3}[ .-]?\(?\d\)?|0[1-9])(?:[ .-]\d\d){4}(?![ .-]?\d)|0[1-9]\d{1,3}[ /.-]\d\d(?:[ .-]\d\d){2,3}(?![ .-]?\d)
+        |(?:0[1-9]\d|[2-9]\d\d[2-9])\d{6,7}(?<=(?<!\d)\d{10})(?![.,]\d))(?!\w)
     )""",
     re.X,
 )
@@ -61,7 +72,10 @@ TITLES = {
     **dict.fromkeys(("Dr", "Prof"), "n"),
 }
 _UPPER = "A-ZÀ-ÖØ-ÞΑ-ΩА-Я"
-_TITLED = re.compile(rf"\b({'|'.join(TITLES)})\b\.? ([{_UPPER}][\w'’-]+)(?: ([{_UPPER}][\w'’-]+))?")
+_NAME = rf"((?!(?:Dr|Prof)\b)[{_UPPER}][\w'’-]+)"
+_TITLED = re.compile(rf"\b({'|'.join(TITLES)})\b\.?(?: (?:Dr|Prof)\b\.?)* {_NAME}(?: {_NAME})?")
+_LETTERS = {"CYRILLIC": "абвгдежзиклмнопрстуфхцчшщэюя", "GREEK": "αβγδεζηθικλμνξοπρστυφχψω"}
+_POSSESSIVE = re.compile(r"(?:['’]s)?['’-]*$")
 
 
 def luhn_sum(digits: str) -> int:
@@ -88,13 +102,50 @@ def _numbers(text: str) -> Iterator[Entity]:
             yield Entity(m.start() + code, m.end(), kind, re.sub(r"\D", "", found[code:]))
 
 
+def _emails(text: str) -> Iterator[Entity]:
+    for m in _EMAIL.finditer(text):
+        before = _TO_SOLID.match(m.group().partition("@")[0] + " ")
+        start = m.start() + (before.end() if before and before.end() < m.group().index("@") else 0)
+        yield Entity(start, m.end(), "email", text[start : m.end()].lower())
+
+
+def _ipv6(text: str) -> Iterator[Entity]:
+    """Addresses of three groups or a first one of four digits; `1::2` is rather a slice, `::1` nobody's."""
+    for m in _IPV6.finditer(text):
+        found = m.group()
+        if found.endswith(":") and not found.endswith("::"):
+            found = found[:-1]
+        groups = [g for g in found.split(":") if g]
+        if not any(c.isdigit() for c in found) or len(groups) < 3 and found.find(":") < 4:
+            continue
+        try:
+            canonical = ipaddress.IPv6Address(found).exploded
+        except ValueError:
+            continue
+        yield Entity(m.start(), m.start() + len(found), "ipv6", canonical)
+
+
 def _names(text: str) -> Iterator[Entity]:
+    """Names behind a form of address, then further mentions of these names in the text, capitalised."""
+    titled = []
     for m in _TITLED.finditer(text):
-        gender = TITLES[m[1]]
-        if m[3]:
-            yield Entity(*m.span(2), f"given-{gender}", m[2].lower())
-        last = 3 if m[3] else 2
-        yield Entity(*m.span(last), "surname", m[last].lower())
+        kinds = [f"given-{TITLES[m[1]]}", "surname"] if m[3] else ["surname"]
+        for k, kind in enumerate(kinds, 2):
+            name = _POSSESSIVE.sub("", m[k])
+            titled.append(Entity(m.start(k), m.start(k) + len(name), kind, name.lower()))
+    if not titled:
+        return
+    yield from titled
+    kinds = {}
+    for e in sorted(titled, key=lambda e: e.kind == "surname"):
+        kinds.setdefault(e.canonical, e.kind)
+    seen, lower = Counter(e.canonical for e in titled), text.lower()
+    again = [c for c in kinds if len(c) > 1 and lower.count(c) > seen[c]]
+    if again:
+        either = "|".join(map(re.escape, sorted(again, key=len, reverse=True)))
+        for m in re.finditer(rf"(?<!\w)(?:{either})(?!\w)", text, re.I):
+            if m.group()[0].isupper() and (kind := kinds.get(m.group().lower())):
+                yield Entity(*m.span(), kind, m.group().lower())
 
 
 def detect(text: str | None) -> list[Entity]:
@@ -103,12 +154,14 @@ def detect(text: str | None) -> list[Entity]:
         return []
     found: list[Entity] = []
     if "@" in text:
-        found += (Entity(*m.span(), "email", m.group().lower()) for m in _EMAIL.finditer(text))
+        found += _emails(text)
     for m in _SECRET.finditer(text):
         k = 1 if m[1] else 2
         if any(c.isdigit() for c in m[k]) and any(c.isalpha() for c in m[k]):
             found.append(Entity(*m.span(k), "secret", m[k]))
     found += _numbers(text)
+    if text.count(":") > 1:
+        found += _ipv6(text)
     for m in _IBAN.finditer(text):
         plain = m.group().replace(" ", "")
         if 15 <= len(plain) <= 34 and _mod97(plain) == 1:
@@ -149,6 +202,10 @@ class Surrogates:
             elif c.isalpha() and c.isascii():
                 letter = chr(97 + next(draw) % 26)
                 out.append(letter.upper() if c.isupper() else letter)
+            elif c.isalpha():
+                letters = _LETTERS.get(unicodedata.name(c, "").split(" ")[0], "abcdefghijklmnopqrstuvwxyz")
+                letter = letters[next(draw) % len(letters)]
+                out.append(letter.upper() if c.isupper() else letter)
             else:
                 out.append(c)
         return "".join(out)
@@ -180,6 +237,12 @@ class Surrogates:
                 if a not in (10, 127, 172, 192):
                     fixed = [a]
             return ".".join(map(str, [*fixed, *(next(draw) % 256 for _ in range(4 - len(fixed)))]))
+        if kind == "ipv6":
+            first, *rest = (int(g, 16) for g in canonical.split(":"))
+            # The kind of address is in the leading bits.
+            free = 0x1FFF if first >> 13 == 1 else 0x1FF if first >> 9 == 0xFC00 >> 9 else 0
+            drawn = [first & ~free | next(draw) & free, *(1 + next(draw) % 0xFFFF if g else 0 for g in rest[:-1]), 1 + next(draw) % 0xFFFF]
+            return ":".join(f"{g:04x}" for g in drawn)
         if kind == "card":
             body = canonical[0] + "".join(str(next(draw) % 10) for _ in canonical[2:])
             check = (10 - luhn_sum(body + "0")) % 10
@@ -215,6 +278,11 @@ def render(original: str, kind: str, surrogate: str) -> str:
     if kind in ("card", "phone", "ssn", "iban"):
         left = iter(surrogate)
         return "".join(next(left, "") if c.isalnum() else c for c in original)
+    if kind == "ipv6":
+        address = ipaddress.IPv6Address(surrogate)
+        plain = ":".join(f"{int(g, 16):x}" for g in surrogate.split(":"))
+        text = address.compressed if "::" in original else surrogate if len(original) == 39 else plain
+        return text.upper() if original.isupper() else text
     if kind == "email" and original.isupper():
         return surrogate.upper()
     if kind == "surname" or kind.startswith("given"):

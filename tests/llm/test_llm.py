@@ -305,6 +305,35 @@ def test_surrogates_that_meet_are_told_apart(spark, monkeypatch):
     assert len(odd) == 3 and all(r.attempt == 1 for r in odd)
 
 
+def test_untitled_mentions_get_the_surrogate_of_the_titled_name(spark):
+    text = "Mrs Anna Schmidt came. Schmidt said no; ANNA's bag. Schmidt-led, Annabel stays, Mr Schmidt's too. Herr Dr. Meyer: Meyer."
+    got = {r.doc_id: r for r in surrogates.surrogate_report(docs_of(spark, [(1, text), (2, "Schmidt and Anna, Dr No")])).collect()}
+    given, last, meyer = re.match(r"Mrs (\w+) (\w+) came.*Herr Dr. (\w+):", got[1].text).groups()
+    want = f"Mrs {given} {last} came. {last} said no; {given.upper()}'s bag. {last}-led, Annabel stays, Mr {last}'s too. Herr Dr. {meyer}: {meyer}."
+    assert got[1].text == want and got[1].n_entities == 8
+    assert not {given, last, meyer} & {"Anna", "Schmidt", "Meyer"} and got[2].text.startswith("Schmidt and Anna, Dr ")
+
+
+@pytest.mark.parametrize(
+    "kind, found, canonical",
+    [
+        ("email", "Ünal.Bob@x.com", "ünal.bob@x.com"),
+        ("email", "иван@почта.рф", "иван@почта.рф"),
+        ("phone", "4995556503", "4995556503"),
+        ("phone", "06 12 34 56 78", "0612345678"),
+        ("phone", "030 12 34 56 78", "03012345678"),
+        ("ipv6", "2001:db8::1", "2001:0db8:0000:0000:0000:0000:0000:0001"),
+        ("ipv6", "FE80:0:0:0:0:0:0:1", "fe80:0000:0000:0000:0000:0000:0000:0001"),
+    ],
+)
+def test_further_formats_are_found_and_kept(kind, found, canonical):
+    text = f"at {found}, x[1::2] 12:34:56 1700000000 v1.2"
+    assert surrogates.detect(text) == [(3, 3 + len(found), kind, canonical)]
+    new = surrogates.render(found, kind, surrogates.Surrogates(b"k").make(kind, canonical))
+    assert [e.kind for e in surrogates.detect(f"at {new}.")] in ([kind], []) and new.isupper() == found.isupper()
+    assert not set(re.findall(r"[^\W\d]{3,}", found.lower())) & set(re.findall(r"[^\W\d]{3,}", new.lower())) - {"com", "fe"}
+
+
 # --- 9: main text -----------------------------------------------------------
 
 
