@@ -8,7 +8,8 @@ script, a card's check digit, a title's gender, private or public addresses.
 
 Two entities might meet in one surrogate, or a surrogate be another entity of the
 corpus. The distinct entities are therefore checked against each other; those that
-lose get another try. Only these exceptions travel to the documents.
+lose get another try, from the third on in a larger space, so that tries end however
+many entities there are. Only these exceptions travel to the documents.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from daymark.llm.batches import extend
 from daymark.session import stage
 
 KEY = b"daymark test key"
+# Added to the attempt of an entity that would be its own surrogate.
+_REDRAWN = 1 << 20
 # Exceptions one broadcast may hold; more are applied in several passes.
 BLOCK = 100_000
 
@@ -216,19 +219,30 @@ class Surrogates:
             found = self._make(kind, canonical, attempt)
             if found != canonical:
                 return found
-            attempt += 1 << 20
+            attempt += _REDRAWN
 
     def _make(self, kind: str, canonical: str, attempt: int) -> str:
         draw = self._stream(kind, canonical, attempt)
+        # Letters, digits or syllables more than the original has.
+        more = max(0, attempt % _REDRAWN - 1)
         if kind == "email":
             local, _, domain = canonical.partition("@")
             host, _, top = domain.rpartition(".")
             # One domain stays one domain, whatever the address.
             own = self._stream("domain", domain, 0)
             name = "".join(chr(97 + next(own) % 26) for _ in range(8))
-            return f"{self._alike(local, draw)}@{name}.example.{top}" if host else f"{self._alike(local, draw)}@{name}.example"
+            local = self._alike(local + "x" * more, draw)
+            return f"{local}@{name}.example.{top}" if host else f"{local}@{name}.example"
         if kind == "ip":
             first, second, *_ = map(int, canonical.split("."))
+            private = first == 10 or (first, second) == (192, 168) or first == 172 and 16 <= second < 32
+            if more > 4:
+                # More addresses than there are: dotted numbers that are none.
+                return ".".join(str(256 + next(draw)) for _ in range(more - 1))
+            if more > 2 or more and not private:
+                first, second = 1, 1
+            elif more:
+                first, second = 10, 0
             fixed = [first, second] if (first, second) == (192, 168) else [first] if first in (0, 10, 127) or first >= 224 else []
             if first == 172 and 16 <= second < 32:
                 fixed = [172, 16 + next(draw) % 16]
@@ -242,31 +256,35 @@ class Surrogates:
             # The kind of address is in the leading bits.
             free = 0x1FFF if first >> 13 == 1 else 0x1FF if first >> 9 == 0xFC00 >> 9 else 0
             drawn = [first & ~free | next(draw) & free, *(1 + next(draw) % 0xFFFF if g else 0 for g in rest[:-1]), 1 + next(draw) % 0xFFFF]
+            if more:
+                drawn[1:] = [next(draw) for _ in rest]
+            # Beyond all addresses of the kind: any global one.
+            drawn[0] = 0x2000 | next(draw) & 0x1FFF if more > 2 else drawn[0]
             return ":".join(f"{g:04x}" for g in drawn)
         if kind == "card":
-            body = canonical[0] + "".join(str(next(draw) % 10) for _ in canonical[2:])
+            body = canonical[0] + "".join(str(next(draw) % 10) for _ in canonical[2:] + "0" * more)
             check = (10 - luhn_sum(body + "0")) % 10
             sound = luhn_sum(canonical) == 0
             return body + str(check if sound else (check + 1 + next(draw) % 9) % 10)
         if kind in ("phone", "ssn"):
             # No leading zero where there was none.
             first = canonical[0] if canonical[0] == "0" else str(1 + next(draw) % 9)
-            return first + "".join(str(next(draw) % 10) for _ in canonical[1:])
+            return first + "".join(str(next(draw) % 10) for _ in canonical[1:] + "0" * more)
         if kind == "iban":
-            body = self._alike(canonical[4:], draw)
+            body = self._alike(canonical[4:] + "0" * more, draw)
             return f"{canonical[:2]}{98 - _mod97(canonical[:2] + '00' + body):02d}{body}"
         if kind == "secret":
-            return self._alike(canonical, draw, hexed=not set(canonical) - set("0123456789abcdef"))
-        return self._name(kind, canonical, draw)
+            return self._alike(canonical + "0" * more, draw, hexed=not set(canonical) - set("0123456789abcdef"))
+        return self._name(kind, canonical, draw, more)
 
-    def _name(self, kind: str, canonical: str, draw: Iterator[int]) -> str:
+    def _name(self, kind: str, canonical: str, draw: Iterator[int], more: int) -> str:
         """A name of syllables in the script of the original, ending as its gender does."""
         script = unicodedata.name(canonical[0], "LATIN").split()[0]
         consonants, vowels, female, male = {
             "CYRILLIC": ("бвгдзклмнпрст", "аеиоу", "на", "н"),
             "GREEK": ("βγδκλμνπρστ", "αειου", "να", "νος"),
         }.get(script, ("bdfghklmnprstvz", "aeiou", "na", "n"))
-        syllables = 2 + len(canonical) // 6
+        syllables = 2 + len(canonical) // 6 + more
         name = "".join(
             consonants[next(draw) % len(consonants)] + vowels[next(draw) % len(vowels)] for _ in range(syllables)
         )
@@ -277,7 +295,7 @@ def render(original: str, kind: str, surrogate: str) -> str:
     """The surrogate written as the original was: its separators, its letter case."""
     if kind in ("card", "phone", "ssn", "iban"):
         left = iter(surrogate)
-        return "".join(next(left, "") if c.isalnum() else c for c in original)
+        return "".join(next(left, "") if c.isalnum() else c for c in original) + "".join(left)
     if kind == "ipv6":
         address = ipaddress.IPv6Address(surrogate)
         plain = ":".join(f"{int(g, 16):x}" for g in surrogate.split(":"))
@@ -307,7 +325,8 @@ def exceptions(found: DataFrame, key: bytes) -> DataFrame:
     """(kind, canonical, attempt) of the entities whose first surrogate is not theirs alone.
 
     Of entities that share a surrogate the smallest keeps it; one that is itself an entity of
-    the corpus nobody may have. The others try again until all are distinct.
+    the corpus nobody may have. The others try again until all are distinct; each space grows
+    with the attempts at least tenfold (addresses: by stages), so the rounds are as many as the logarithm of the entities.
     """
     tried = found.withColumn("attempt", F.lit(0))
     while True:

@@ -334,6 +334,23 @@ def test_further_formats_are_found_and_kept(kind, found, canonical):
     assert not set(re.findall(r"[^\W\d]{3,}", found.lower())) & set(re.findall(r"[^\W\d]{3,}", new.lower())) - {"com", "fe"}
 
 
+def test_more_entities_than_the_first_space_holds(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    found = [("given-f", a + b + c) for a in letters for b in letters for c in letters][:9000]
+    found += [("ip", f"192.168.{a}.{b}") for a in range(256) for b in range(256)]
+    found += [("email", f"{c}@b.org") for c in letters] + [("phone", f"{n}") for n in range(1000, 9999)]
+    odd = surrogates.exceptions(spark.createDataFrame(found, "kind string, canonical string"), b"k").collect()
+    attempts, make = {(r.kind, r.canonical): r.attempt for r in odd}, surrogates.Surrogates(b"k").make
+    given = {(k, make(k, c, attempts.get((k, c), 0))) for k, c in found}
+    assert len(given) == len(found) and given.isdisjoint(found)
+    assert 2 <= max(attempts.values()) <= 8
+    assert surrogates.render("(12) 34", "phone", "987651") == "(98) 7651"
+    assert all(s.startswith("10.") for k, s in given if k == "ip")
+    # Later attempts draw from large spaces, whatever the kind.
+    for kind, canonical in [("ip", "10.1.2.3"), ("ipv6", "fe80" + ":0000" * 7), ("secret", "-" * 14 + "a1"), ("card", "4111111111111111"), ("iban", "DE89370400440532013000"), ("email", "_@b.org")]:
+        assert len({make(kind, canonical, n) for n in range(2, 300)}) == 298
+
+
 # --- 9: main text -----------------------------------------------------------
 
 
