@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daymark.llm.batches import extend
-from daymark.llm.fuzzy import Lexicon, Term
+from daymark.llm.fuzzy import Lexicon, Term, edits_allowed
 from daymark.llm.learning import bounded, held_out
 from daymark.llm.words import plain_words
 from daymark.session import stage
@@ -158,19 +158,28 @@ def _evidence(a: int, b: int, toxic: int, clean: int) -> tuple[float, float]:
 
 
 def choose_terms(counts: dict[tuple[str, bool], tuple[int, int]], toxic: int, clean: int) -> list[Term]:
-    """Seeds and the terms with most evidence; a word is left out if a chosen stem covers it."""
+    """Seeds and the terms with most evidence.
+
+    Of words that a chosen stem covers, those that may be misspelled stay beside it, as a
+    short stem may not; they do not count against `MOST_TERMS`.
+    """
     ranked = []
     for (text, prefix), (a, b) in counts.items():
         odds, g = _evidence(a, b, toxic, clean)
         if odds >= LEAST_ODDS and g >= LEAST_EVIDENCE:
             ranked.append((-round(g, 1), prefix, -len(text), text))
-    chosen, stems, whole = [], set(), set()
+    chosen, beside, stems, whole = [], [], set(), set()
+    exact = lambda word: edits_allowed(Term(word, False)) == 0
     for _, prefix, _, text in sorted(ranked):
         covered = any(text[:n] in stems for n in range(3, len(text) + 1))
         if len(chosen) < MOST_TERMS and not covered and not (prefix and any(t.text.startswith(text) for t in chosen)):
             chosen.append(Term(text, prefix))
             (stems if prefix else whole).add(text)
-    return chosen + [Term(s, False) for s in SEEDS if s not in whole and not any(s[:n] in stems for n in range(3, len(s) + 1))]
+        elif covered and not prefix and not exact(text):
+            beside.append(Term(text, False))
+            whole.add(text)
+    seeds = [s for s in SEEDS if s not in whole and not (exact(s) and any(s[:n] in stems for n in range(3, len(s) + 1)))]
+    return chosen + beside + [Term(s, False) for s in seeds]
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:

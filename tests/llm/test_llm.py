@@ -257,6 +257,21 @@ def test_toxicity_scores(spark):
     assert len(none) == len(asked) and {r.doc_id: r.predicted for r in none}[1000] == 1
 
 
+def test_misspellings_are_found_beside_a_learned_stem(spark):
+    forms = ["idiot", "idiots", "idiott", "idiotic", "blarken", "blarkens", "blarkened"]
+    rows = [(k, f"{t} and more words here {forms[k // 4 % 7] + ' indeed' if k % 4 == 0 else ''}") for k, t in some_texts(560)]
+    labels = spark.createDataFrame([(k, 1, int(k % 4 == 0)) for k in range(560)], "doc_id long, quality int, toxic int")
+    model = toxicity.learn(docs_of(spark, rows), labels)
+    stems = [t.text for t in model.terms if t.prefix]
+    assert any("idiot".startswith(t) for t in stems) and any("blarken".startswith(t) for t in stems), stems
+    finder = toxicity.Finder(model.terms)
+    for word in ("idot", "idlot", "stupd", "idiot", "blorken", "blarkned"):
+        assert [m[1] for m in finder.hits(f"such {word} here")[1]] == [int(word != "idiot")], word
+    asked = [(1000, "you are an idot"), (1001, "w1 w2 w3")]
+    got = {r.doc_id: r for r in toxicity.toxicity_report(docs_of(spark, rows + asked), labels).collect()}
+    assert got[1000].predicted == 1 and got[1001].predicted == 0
+
+
 # --- 5: language ------------------------------------------------------------
 
 
