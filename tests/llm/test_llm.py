@@ -173,6 +173,24 @@ def test_top_k_equals_brute_force(spark):
     assert top_k.top_k(df.where("false"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_large_components_take_part_or_fail(spark):
+    vectors = [(k, [float(x) for x in np.random.default_rng(k).normal(0, 1, 4)]) for k in range(40)]
+    vectors += [(100, [2.0**21, -3.0, 1.0, 0.0]), (101, [-(2.0**30), 2.0**20, 0.5, 7.0]), (102, [1.0, 2.0**40, 0.0, 0.0])]
+    schema = "vec_id long, embedding array<float>"
+    whole = [(k, [int(np.floor(64 * float(np.float32(x)))) for x in v]) for k, v in vectors]
+    expected = set()
+    for q, a in whole:
+        if q % 20 == 0:
+            scored = sorted((-sum(x * y for x, y in zip(a, b)), k) for k, b in whole if k != q)[:20]
+            expected |= {(q, n, k, -s) for n, (s, k) in enumerate(scored, 1)}
+    got = top_k.top_k(spark.createDataFrame(vectors, schema), F.col("vec_id") % 20 == 0).collect()
+    assert {tuple(r) for r in got} == expected and len(got) == len(expected) and {100, 101, 102} <= {r.vec_id for r in got}
+    for large in (2.0**40, 2.0**60):
+        far = spark.createDataFrame([(0, [large]), (1, [large])], schema)
+        with pytest.raises(Exception, match="64 bits|beyond"):
+            top_k.top_k(far, F.col("vec_id") % 20 == 0).collect()
+
+
 # --- 4: WARC ----------------------------------------------------------------
 
 
