@@ -14,7 +14,15 @@ _SPACE = re.compile(r"[ \t\n\r\f\v   ]+")
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg".split())
+RAW = frozenset("script style textarea title iframe".split())
+# Elements with markup inside, left out as a whole.
+EXCLUDED = frozenset("noscript template svg".split())
+_CLOSE = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I | re.A) for tag in RAW}
+_EXCLUDING = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<({'|'.join(sorted(RAW))})(?=[\s/>]).*?(?:</\1(?=[\s/>])|\Z)"
+    rf"|<(/?)({'|'.join(sorted(EXCLUDED))})(?=[\s/>])((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>",
+    re.S | re.I | re.A,
+)
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr".split()
@@ -33,15 +41,32 @@ class Node:
     children: list[int] = field(default_factory=list)
 
 
+def _excluded_ends(text: str) -> dict[int, int]:
+    """Where each excluded element that is closed ends, by the place behind its opening tag."""
+    opened, ends = {tag: [] for tag in EXCLUDED}, {}
+    for m in _EXCLUDING.finditer(text):
+        if m[3] is None:
+            continue
+        own = opened[m[3].lower()]
+        if not m[2]:
+            if not m[4].endswith("/"):
+                own.append(m.end())
+        elif own:
+            ends[own.pop()] = m.end()
+    return ends
+
+
 def parse(text: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
     """Nodes in page order (the first is the root), and pieces (node, text) in page order.
 
     A piece without text marks where a block begins or ends. Text of scripts, styles and
-    other raw elements, comments and tags cut off by the end of the page are left out.
+    other raw elements, comments and tags cut off by the end of the page are left out, a raw
+    element that is not closed up to the end, as in HTML. An svg, template or noscript
+    is left out if it is closed; an unclosed one takes nothing with it.
     """
     nodes, pieces = [Node("#root", {}, -1, 0)], []
     stack, at = [0], 0
-    low = None
+    ends = None
     while True:
         m = _TOKEN.search(text, at)
         end = m.start() if m else len(text)
@@ -71,14 +96,17 @@ def parse(text: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
         nodes[parent].children.append(number)
         if tag == "br":
             pieces.append((parent, " "))
-        if tag in VOID or m[3].endswith("/") and tag in RAW:
+        if tag in VOID or m[3].endswith("/") and (tag in RAW or tag in EXCLUDED):
+            continue
+        if tag in EXCLUDED:
+            ends = _excluded_ends(text) if ends is None else ends
+            at = ends.get(at, at)
             continue
         if tag in RAW:
-            low = text.lower() if low is None else low
-            # Lower-casing may change lengths outside ASCII; then the end is looked for as it is written.
-            close = low.find(f"</{tag}", at) if len(low) == len(text) else text.find(f"</{m[2]}", at)
-            if close < 0:
+            closing = _CLOSE[tag].search(text, at)
+            if not closing:
                 return nodes, pieces
+            close = closing.start()
             gone = text.find(">", close)
             at = gone + 1 if gone >= 0 else len(text)
             continue

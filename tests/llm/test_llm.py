@@ -408,6 +408,15 @@ def test_main_text(html, text):
     assert main_text.extract(html, main_text.train(list(main_text.labelled_pages()))) == text
 
 
+@pytest.mark.parametrize("before", ["<svg>", "<template>", "<noscript>", "<div><SVG class=x></div>", "<svg><path d='m'/>", "İ<SCRIPT>var a;</script>"])
+def test_an_unclosed_element_takes_nothing_with_it(before):
+    from daymark.llm.dom import parse
+
+    article = "<article><p>Text one.</p><svg><text>in</text></svg><noscript><p>no</p></NoScript ><p>Text two.</p></article><svg/>"
+    _, pieces = parse(f"<body>{before}{article}<template><template>x</template>y</template></body>")
+    assert [t for _, t in pieces if t and t != "İ"] == ["Text one.", "Text two."]
+
+
 def test_messages_equal_the_sum_over_all_labellings():
     nodes, pieces = main_text.parse("<body><div><p>One. Two.</p><a>x</a></div></body>")
     potentials = main_text.train(list(main_text.labelled_pages())[:30])
