@@ -4,12 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 Compute = Callable[[pa.StructArray], Sequence[pa.Array]]
+# What one call of a compute function gets at most; a row that is larger comes alone.
+SLICE_ROWS, SLICE_BYTES = 512, 2**22
+
+
+def slices(rows: pa.StructArray) -> Iterator[pa.StructArray]:
+    """The rows of an Arrow batch in order, cut by number and by bytes of text."""
+    sizes = np.zeros(len(rows) + 1, np.int64)
+    for k, field in enumerate(rows.type):
+        if pa.types.is_string(field.type) or pa.types.is_binary(field.type):
+            sizes[1:] += np.asarray(pc.fill_null(pc.binary_length(rows.field(k)), 0))
+    ends, at = sizes.cumsum(), 0
+    while at < len(rows):
+        fits = int(np.searchsorted(ends, ends[at] + SLICE_BYTES, "right")) - 1
+        end = max(at + 1, min(at + SLICE_ROWS, fits))
+        yield rows.slice(at, end - at)
+        at = end
 
 
 def extend(
@@ -17,8 +35,8 @@ def extend(
 ) -> DataFrame:
     """Column `row`, a struct of the `keep` columns of `df` (default: all), and `fields`.
 
-    `start` is called once per task and returns the function that turns the rows
-    of a batch into one array per field. As the columns of `df` stay inside
+    `start` is called once per task and returns the function that turns some
+    rows into one array per field. As the columns of `df` stay inside
     `row`, their names cannot clash with `fields`.
     """
     names = list(df.columns)
@@ -30,9 +48,9 @@ def extend(
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = start()
         for part in parts:
-            rows = part.column(0)
-            old = pa.StructArray.from_arrays([rows.field(i) for i in places], names=kept)
-            yield pa.RecordBatch.from_arrays([old, *compute(rows)], ["row", *added.names])
+            for rows in slices(part.column(0)):
+                old = pa.StructArray.from_arrays([rows.field(i) for i in places], names=kept)
+                yield pa.RecordBatch.from_arrays([old, *compute(rows)], ["row", *added.names])
 
     packed = df.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"))
     return packed.mapInArrow(run, T.StructType([T.StructField("row", row, False), *added.fields]))

