@@ -17,6 +17,7 @@ from checks.raw_events import (
     envelope_lines,
     make_old,
     table,
+    undated_copies,
     unsound_gold,
 )
 from daymark.operators import contracts, quality, screening
@@ -208,6 +209,40 @@ def silver_scan(spark, sf_dir):
     return lake.read_silver(spark, home)
 
 
+def _load(spark: SparkSession, home: lake.Lake, events: DataFrame, load_id: str) -> None:
+    none = F.lit(None).cast("string")
+    lake.write_load(events.withColumns({"ingest_fault": none, "envelope": none}), home, load_id)
+
+
+def undated_redelivery(spark, sf_dir):
+    """Copies without a date before the events themselves and after them: each event is in the tables once."""
+    home = lake.Lake(scratch_path(spark, "lake"))
+    events, copies = dated_events(spark, sf_dir), undated_copies(spark, sf_dir)
+    loads = {
+        "early": copies.where("CAST(event_id AS BIGINT) % 3 = 0").withColumn("event_date", F.lit("2024-02-03").cast("date")),
+        "events": events,
+        "late": copies.where("CAST(event_id AS BIGINT) % 3 = 1").withColumn("event_date", F.lit("2024-01-31").cast("date")),
+    }
+    for load_id, rows in loads.items():
+        _load(spark, home, rows, load_id)
+        lake.refresh(spark, home)
+    accepted = lake.read_silver(spark, home).select("event_id", "event_date", F.lit(True).alias("accepted"))
+    rejected = lake.read_quarantine(spark, home).select("event_id", "event_date", F.lit(False).alias("accepted"))
+    return accepted.unionByName(rejected)
+
+
+def bronze_compacted(spark, sf_dir):
+    """Three loads merged into packs, one of them written again with fewer rows, and merged once more."""
+    home, events = lake.Lake(scratch_path(spark, "lake")), dated_events(spark, sf_dir)
+    part = F.col("event_id").cast("bigint") % 3
+    for k in range(3):
+        _load(spark, home, events.where(part == k), f"part-{k}")
+    lake.compact(spark, home)
+    _load(spark, home, events.where((part == 1) & (F.col("event_id").cast("bigint") % 2 == 0)), "part-1")
+    lake.compact(spark, home)
+    return lake.read_bronze(spark, home).groupBy("event_date", "load_id").agg(F.count("*").alias("messages"))
+
+
 # --- gold and serving -------------------------------------------------------
 
 
@@ -315,6 +350,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_quarantine": silver_quarantine,
     "quarantine_summary": quarantine_summary,
     "silver_rebuild": silver_rebuild,
+    "undated_redelivery": undated_redelivery,
+    "bronze_compacted": bronze_compacted,
     "silver_scan": silver_scan,
     "gold_daily_user_metrics": lambda s, d: _rounded_gold(_gold(s, d)),
     "gold_rebuild": gold_rebuild,

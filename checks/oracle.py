@@ -138,9 +138,9 @@ _QUARANTINE = _silver(
 
 _BROKEN = """
 broken AS (
-  SELECT event_date, CASE n % 97 WHEN 5 THEN 'bad_envelope' WHEN 11 THEN 'empty_message'
-    ELSE 'bad_message' END AS ingest_fault
-  FROM dated WHERE n % 97 IN (5, 11, 17))
+  SELECT event_date, CASE n % 97 WHEN 5 THEN 'bad_envelope' WHEN 29 THEN 'bad_envelope'
+    WHEN 11 THEN 'empty_message' ELSE 'bad_message' END AS ingest_fault
+  FROM dated WHERE n % 97 IN (5, 11, 17, 23, 29))
 """
 
 _NOT_NULL_COLUMNS = (
@@ -244,6 +244,14 @@ SQL: dict[str, str] = {
         "SELECT reason, count(*) AS rejected_rows FROM judged WHERE reason IS NOT NULL GROUP BY reason"
     ),
     "silver_rebuild": _ALL_SILVER,
+    "undated_redelivery": _silver(
+        "SELECT event_id, CASE WHEN try_cast(substr(event_timestamp, 1, 10) AS DATE) IS NULL AND n % 3 = 1 "
+        "THEN DATE '2024-01-31' ELSE event_date END AS event_date, reason IS NULL AS accepted FROM judged"
+    ),
+    "bronze_compacted": _raw(
+        "SELECT event_date, 'part-' || n % 3 AS load_id, count(*) AS messages FROM dated "
+        "WHERE n % 3 <> 1 OR n % 2 = 0 GROUP BY ALL"
+    ),
     "silver_scan": _ALL_SILVER,
     # gold
     "gold_daily_user_metrics": _ALL_GOLD,

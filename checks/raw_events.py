@@ -78,6 +78,12 @@ def conflicting_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def undated_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event delivered again without the date it stated."""
+    kept = F.col("event_id").cast("bigint") % 40 == 17
+    return raw_events(spark, sf_dir).withColumn("event_timestamp", F.when(kept, F.col("event_timestamp")))
+
+
 def unsound_gold(gold: DataFrame) -> DataFrame:
     """Gold with some rows appended twice and some appended with broken values."""
     user = F.col("user_id")
@@ -111,13 +117,16 @@ def envelope_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     empty = F.lit('{"Type":"Notification","Message":""}')
     half_message = F.substring(message, 1, 20)
     kind = F.col("event_id").cast("bigint") % 97
-    variants = F.when(kind.isin(5, 11, 17), F.array(F.lit(True), F.lit(False))).otherwise(
+    two_messages = F.to_json(F.struct(F.concat(message, F.lit("], ["), message).alias("Message")))
+    variants = F.when(kind.isin(5, 11, 17, 23, 29), F.array(F.lit(True), F.lit(False))).otherwise(
         F.array(F.lit(True))
     )
     line = (
         F.when(F.col("is_whole"), envelope)
         .when(kind == 5, F.substring(envelope, 1, 40))
         .when(kind == 11, empty)
+        .when(kind == 23, two_messages)
+        .when(kind == 29, F.concat(envelope, F.lit("], ["), envelope))
         .otherwise(F.to_json(F.struct(half_message.alias("Message"))))
     )
     return raw.select("*", F.explode(variants).alias("is_whole")).select(line.alias("value"))

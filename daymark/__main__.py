@@ -94,6 +94,7 @@ def parser() -> argparse.ArgumentParser:
         ("silver", "rebuild silver and quarantine from bronze"),
         ("gold", "rebuild daily user metrics from silver"),
         ("refresh", "rebuild silver and gold; without dates, those with new loads"),
+        ("compact", "merge the small loads of each date in bronze"),
         ("publish", "replace dates in the serving table"),
         ("audit", "report on the raw events and check the tables; fails if a table is wrong"),
     ):
@@ -132,6 +133,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[dt.date]:
             return dates
         case "refresh":
             return lake.refresh(spark, home, args.dates)
+        case "compact":
+            return lake.compact(spark, home, args.dates)
         case "publish":
             gold = lake.read_gold(spark, home, args.dates)
             if args.target:

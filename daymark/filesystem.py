@@ -54,6 +54,37 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    """Move a file or directory; the folder it goes to is made first."""
+    fs, hadoop_path = _open(spark, path)
+    _, to = _open(spark, target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(hadoop_path, to):
+        raise OSError(f"{path} could not be moved to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, in place of any there."""
+    fs, hadoop_path = _open(spark, path)
+    out = fs.create(hadoop_path, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if there is none."""
+    fs, hadoop_path = _open(spark, path)
+    if not fs.exists(hadoop_path):
+        return None
+    stream = fs.open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """Create an empty file."""
     fs, hadoop_path = _open(spark, path)

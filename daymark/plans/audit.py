@@ -19,14 +19,14 @@ def audit(spark: SparkSession, lake: Lake, dates: Iterable[dt.date] | None = Non
     """Rows (scope, check, failing), over the given dates or all.
 
     Scope `raw` reports on what senders sent; there a failure is news, not a
-    fault of the lake. Any failure in scope `table` means a table is wrong. Bronze and
+    fault of the lake; undated copies that count on another day are left out. Any failure in scope `table` means a table is wrong. Bronze and
     gold are read twice (whole rows, and their keys alone), the others once.
     """
     use_utc(spark)
     dates = None if dates is None else sorted(set(dates))
     bronze, silver, rejected, gold = (
         read(spark, lake, dates)
-        for read in (tables.read_bronze, tables.read_silver, tables.read_quarantine, tables.read_gold)
+        for read in (tables.read_events, tables.read_silver, tables.read_quarantine, tables.read_gold)
     )
     # Bronze rows that could not be opened have no event_id.
     copies = bronze.groupBy(*IDENTITY).agg(F.count("*").alias("copies"))

@@ -20,7 +20,9 @@ from pyspark.sql import types as T
 from daymark.operators.daily_metrics import daily_user_metrics
 from daymark.operators.dedup import dedup_events
 from daymark.operators.screening import ACCEPTED, REJECTED, screen
-from daymark.schemas import BRONZE, EVENT_COLUMNS, EVENT_TEXT, GOLD, QUARANTINE, SILVER
+from daymark.plans.identity import Identities
+from daymark.plans.loads import PACK, SMALL_BYTES, Loads
+from daymark.schemas import BRONZE, BRONZE_STORED, EVENT_COLUMNS, EVENT_TEXT, GOLD, QUARANTINE, SILVER
 from daymark.session import shuffles_for, use_utc
 from daymark import filesystem as files
 from daymark.sinks.tables import replace_partitions
@@ -33,9 +35,14 @@ GROUP_BYTES = 2**40
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the tables are."""
+    """Where the tables are.
+
+    `identity_buckets` is for a lake that has no identity table yet: a bucket's ids should be some
+    GB at most. It then stays as it is.
+    """
 
     root: str
+    identity_buckets: int = 8
 
     @property
     def bronze(self) -> str:
@@ -65,6 +72,10 @@ class Lake:
     def open_loads(self) -> str:
         return f"{self.root}/open_loads"
 
+    @property
+    def new_loads(self) -> str:
+        return f"{self.root}/new_loads"
+
 
 # --- bronze -----------------------------------------------------------------
 
@@ -73,26 +84,79 @@ def write_load(events: DataFrame, lake: Lake, load_id: str) -> list[dt.date]:
     """Write one load of unwrapped events to bronze; return the dates it touches.
 
     A load has its own directory within each date. Writing the same load again
-    replaces it. The dates are noted as pending before anything is removed and
-    after anything is added. Between, the load is noted as open, and `refresh` looks
-    up the dates of open loads, so a rebuild cannot miss one when a load fails.
+    replaces it, in packs too. The dates are noted as pending before anything is removed and
+    after anything is added. Between, the load is noted as open, and `refresh`
+    finishes the notes of open loads, so a rebuild cannot miss one when a load fails.
+    The calls to the file system follow the load's own dates, not those of the lake.
     """
-    if not re.fullmatch(r"[A-Za-z0-9_.-]+", load_id):
-        raise ValueError(f"load_id may hold letters, digits, '_', '.' and '-' only: {load_id!r}")
-    spark = events.sparkSession
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", load_id) or load_id.startswith(PACK):
+        raise ValueError(f"load_id may hold letters, digits, '_', '.' and '-' only, not start with {PACK}: {load_id!r}")
+    spark, loads = events.sparkSession, _loads(events.sparkSession, lake)
+    loads.adopt()
+    loads.recover()
+    was_open = files.exists(spark, f"{lake.open_loads}/{load_id}")
     files.touch(spark, f"{lake.open_loads}/{load_id}")
-    earlier = _load_dates(spark, lake, load_id)
+    earlier = loads.found(load_id) if was_open else loads.places(load_id)
     _note_pending(spark, lake, earlier)
-    replace_partitions(
+    loads.withdraw(load_id, {d: place for d, place in earlier.items() if place != load_id})
+    written = replace_partitions(
         events.withColumn("load_id", F.lit(load_id)),
         lake.bronze,
         ("event_date", "load_id"),
-        [f"event_date={d.isoformat()}/load_id={load_id}" for d in earlier],
+        [f"event_date={d.isoformat()}/load_id={load_id}" for d, place in earlier.items() if place == load_id],
     )
-    written = _load_dates(spark, lake, load_id)
-    _note_pending(spark, lake, written)
+    dates = [dt.date.fromisoformat(p.split("/")[0].split("=")[1]) for p in written]
+    _close(spark, lake, load_id, dates)
+    return sorted({*earlier, *dates})
+
+
+def _close(spark: SparkSession, lake: Lake, load_id: str, dates: list[dt.date]) -> None:
+    """Note where the rows of a load are, and what is to be done for it."""
+    _loads(spark, lake).note(load_id, dict.fromkeys(dates, load_id))
+    _note_pending(spark, lake, dates)
+    files.touch(spark, f"{lake.new_loads}/{load_id}")
     files.delete(spark, f"{lake.open_loads}/{load_id}")
-    return sorted(set(earlier) | set(written))
+
+
+def record_identities(spark: SparkSession, lake: Lake) -> None:
+    """Enter the ids of new loads into the identity table, all in one pass.
+
+    Where other loads have undated copies of the same events, what counts may change: their dates become
+    pending, for the ids a repeated load had before and for those it has now.
+    """
+    new = sorted(files.file_names(spark, lake.new_loads))
+    if not new:
+        return
+    identities = _identities(spark, lake)
+    _note_pending(spark, lake, identities.related_dates(new))
+    dates = {d for places in files.each(_loads(spark, lake).places, new) for d in places}
+    identities.record(read_bronze(spark, lake, dates).where(F.col("load_id").isin(new)), new)
+    _note_pending(spark, lake, identities.related_dates(new))
+    files.each(lambda load_id: files.delete(spark, f"{lake.new_loads}/{load_id}"), new)
+
+
+def _loads(spark: SparkSession, lake: Lake) -> Loads:
+    return Loads(spark, lake.root, lake.bronze)
+
+
+def _identities(spark: SparkSession, lake: Lake) -> Identities:
+    return Identities(spark, lake.root, lake.identity_buckets)
+
+
+def compact(
+    spark: SparkSession, lake: Lake, dates: Iterable[dt.date] | None = None, small: int = SMALL_BYTES
+) -> list[dt.date]:
+    """Merge the small loads of each date, or of the given ones, into one set of files; return the dates changed.
+
+    Loads that are still being written are left out. What bronze says does not change, and a
+    load can be written again as before. Nothing else may write to the lake meanwhile.
+    """
+    use_utc(spark)
+    loads = _loads(spark, lake)
+    loads.adopt()
+    loads.recover()
+    closed = files.file_names(spark, loads.manifests) - files.file_names(spark, lake.open_loads)
+    return loads.compact(table_dates(spark, lake.bronze) if dates is None else dates, closed, small)
 
 
 def ingest_batch(
@@ -111,15 +175,6 @@ def import_table(
     return write_load(as_text_events(spark.read.parquet(path), ingest_date), lake, load_id)
 
 
-def _load_dates(spark: SparkSession, lake: Lake, load_id: str) -> list[dt.date]:
-    dates = table_dates(spark, lake.bronze)
-    loaded = files.each(
-        lambda d: files.exists(spark, f"{lake.bronze}/event_date={d.isoformat()}/load_id={load_id}"),
-        dates,
-    )
-    return [d for d, is_loaded in zip(dates, loaded) if is_loaded]
-
-
 def _note_pending(spark: SparkSession, lake: Lake, dates: Iterable[dt.date]) -> None:
     notes = [f"{lake.pending}/event_date={d.isoformat()}/{uuid.uuid4().hex}" for d in dates]
     files.each(lambda note: files.touch(spark, note), notes)
@@ -129,7 +184,13 @@ def _note_pending(spark: SparkSession, lake: Lake, dates: Iterable[dt.date]) ->
 
 
 def read_bronze(spark: SparkSession, lake: Lake, dates: Iterable[dt.date] | None = None) -> DataFrame:
-    return read_table(spark, lake.bronze, BRONZE, dates)
+    stored = read_table(spark, lake.bronze, BRONZE_STORED, dates)
+    return stored.withColumn("load_id", F.coalesce("of_load", "load_id")).select(*BRONZE.fieldNames())
+
+
+def read_events(spark: SparkSession, lake: Lake, dates: Iterable[dt.date] | None = None) -> DataFrame:
+    """Bronze without the undated copies of events that count on another day."""
+    return _identities(spark, lake).without_redelivered(read_bronze(spark, lake, dates))
 
 
 def read_silver(spark: SparkSession, lake: Lake, dates: Iterable[dt.date] | None = None) -> DataFrame:
@@ -172,11 +233,12 @@ def create_views(spark: SparkSession, lake: Lake) -> None:
 def rebuild_silver(spark: SparkSession, lake: Lake, dates: Iterable[dt.date]) -> None:
     """Deduplicate and screen the given dates anew from bronze.
 
-    Silver and quarantine are the two halves of one table, written in one pass.
+    Copies with one id and date collapse; undated copies count once in the whole history. Silver and quarantine are the two halves of one table, written in one pass.
     """
     use_utc(spark)
+    record_identities(spark, lake)
     for group, size in _groups(spark, lake.bronze, dates):
-        events = read_bronze(spark, lake, group).drop("load_id")
+        events = read_events(spark, lake, group).drop("load_id")
         with shuffles_for(spark, size):
             replace_partitions(
                 screen(dedup_events(events)),
@@ -232,9 +294,12 @@ def refresh(
     pending, and so do the dates a failure leaves undone.
     """
     use_utc(spark)
+    _loads(spark, lake).recover()
     for load_id in sorted(files.file_names(spark, lake.open_loads)):
-        _note_pending(spark, lake, _load_dates(spark, lake, load_id))
-        files.delete(spark, f"{lake.open_loads}/{load_id}")
+        places = _loads(spark, lake).found(load_id)
+        _note_pending(spark, lake, places)
+        _close(spark, lake, load_id, [d for d, place in places.items() if place == load_id])
+    record_identities(spark, lake)
     notes = files.matching(spark, f"{lake.pending}/event_date=*/*")
     if dates is None:
         dates = {dt.date.fromisoformat(n.rsplit("event_date=", 1)[-1][:10]) for n in notes}

@@ -23,7 +23,7 @@ def _struct(*fields: tuple[str, T.DataType, bool]) -> T.StructType:
 _text, _long, _double = T.StringType(), T.LongType(), T.DoubleType()
 _int, _date, _ts = T.IntegerType(), T.DateType(), T.TimestampNTZType()
 
-# The message body. Everything is read as text, so one odd value never fails
+# The message body. Everything is read as text, so one odd value never fails
 # or re-types a whole batch; screening does the typing.
 EVENT_TEXT = _struct(
     ("event_id", _text, True),
@@ -50,6 +50,10 @@ BRONZE = T.StructType(
     ]
 )
 
+# As stored: where small loads have been merged, a row keeps the name of its own.
+BRONZE_STORED = T.StructType([*BRONZE.fields, T.StructField("of_load", _text, True)])
+
+# The silver contract.
 SILVER = _struct(
     ("event_id", _text, True),
     ("user_id", _long, True),
@@ -77,6 +81,7 @@ QUARANTINE = T.StructType(
     ]
 )
 
+# The gold contract.
 GOLD = _struct(
     ("event_date", _date, False),
     ("user_id", _long, False),
@@ -95,7 +100,7 @@ GOLD = _struct(
 GOLD_KEY = ("event_date", "user_id")
 GOLD_NOT_NULL = tuple(f.name for f in GOLD.fields if not f.nullable)
 
-# What the daily metrics need from silver.
+# What the daily metrics need from silver.
 GOLD_INPUT = T.StructType(
     [
         SILVER[name]

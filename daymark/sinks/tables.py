@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, Row
+from pyspark.sql import functions as F
 
 from daymark import filesystem as files
 
@@ -14,33 +17,48 @@ def replace_partitions(
     path: str,
     keys: Sequence[str],
     owned: Iterable[str],
+    gather: bool = True,
 ) -> list[str]:
     """Write `df`, replacing each partition it has rows for, and drop the rest of `owned`.
 
     `owned` names the partition directories (below `path`) this write stands
     for. Dynamic overwrite leaves a partition alone if the new data has no row
-    for it, so those of `owned` whose files are unchanged afterwards are
-    deleted. Running the same write twice leaves the same table. Returns what
-    was deleted.
+    for it, so those of `owned` that the rows themselves did not name are
+    deleted. Running the same write twice leaves the same table. Returns the
+    directories written.
 
-    The rows of a partition are brought together, so that the number of
+    With `gather` the rows of a partition are brought together, so that the number of
     files follows the data and not tasks x partitions; adaptive execution
-    splits a partition that is too large for one task.
+    splits a partition that is too large for one task. Without it the caller
+    has brought them together already.
     """
     spark, owned = df.sparkSession, list(owned)
-
-    def contents() -> list[frozenset[str]]:
-        return files.each(lambda p: files.file_names(spark, f"{path}/{p}"), owned)
-
-    before = contents()
+    seen = Observation()
+    # A set, so that a task that runs twice does no harm.
+    rows = df.observe(seen, F.collect_set(F.struct(*keys)).alias("partitions"))
     (
-        df.hint("rebalance", *keys)
+        (rows.hint("rebalance", *keys) if gather else rows)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .parquet(path)
     )
-    # Every write names its files anew, so an unchanged partition was not written.
-    stale = [p for p, old, new in zip(owned, before, contents()) if old and old == new]
+    written = sorted("/".join(f"{k}={_text(r[k])}" for k in keys) for r in _observed(seen, df))
+    stale = sorted(set(owned) - set(written))
     files.each(lambda p: files.delete(spark, f"{path}/{p}"), stale)
-    return stale
+    return written
+
+
+def _observed(seen: Observation, df: DataFrame) -> list[Row]:
+    """The partitions met while writing; none if Spark found out that there are no rows at all."""
+    try:
+        return seen.get["partitions"]
+    except Py4JJavaError:
+        # The observation goes with the plan's empty branch. Anything else must not delete data.
+        if not df.isEmpty():
+            raise
+        return []
+
+
+def _text(value: str | dt.date) -> str:
+    return value.isoformat() if isinstance(value, dt.date) else value

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymark.functions.events import event_date, stated_date
 from daymark.schemas import EVENT_COLUMNS, EVENT_TEXT
 
+_END = "_end"
 _ENVELOPE = T.StructType().add("Message", "string").add("Timestamp", "string")
 # By default a stream passes over files a week older than the newest, which is what a
 # backfill that keeps file times brings. The list of files seen grows instead; `archive`
@@ -18,14 +20,18 @@ _ENVELOPE = T.StructType().add("Message", "string").add("Timestamp", "string")
 _ANY_AGE = "36500d"
 
 
-def _only_object(text, kind: T.StructType):
+def _only_object(text: Column, kind: T.StructType, end: str) -> Column:
     """The one JSON object a text holds; null for anything else.
 
-    Read as an array of objects: `from_json` of a single one stops at its end, and
-    what follows would be lost without a trace.
+    `from_json` stops at the end of the first value and leaves what follows without a
+    trace. So the text is read as the first element of an array whose second carries
+    `end`: only if that is reached as the second element was the text one value to its last
+    character. `end` must be a word that no sender can know.
     """
-    parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(kind))
-    return F.when(F.size(parsed) == 1, F.get(parsed, F.lit(0)))
+    marked = T.StructType([*kind.fields, T.StructField(_END, T.StringType())])
+    parsed = F.from_json(F.concat(F.lit("["), text, F.lit(f',{{"{_END}":"{end}"}}]')), T.ArrayType(marked))
+    is_whole = (F.size(parsed) == 2) & (F.get(parsed, F.lit(1))[_END] == end)
+    return F.when(is_whole, F.get(parsed, F.lit(0)))
 
 
 # Without it, files in folders below the directory would be passed over in silence.
@@ -69,13 +75,14 @@ def unwrap(lines: DataFrame, ingest_date: dt.date | str) -> DataFrame:
     it the envelope's publish time counts, which a redelivery repeats, and then
     `ingest_date`. The wall clock is never read.
     """
-    opened = lines.select("value", _only_object(F.col("value"), _ENVELOPE).alias("outer"))
+    end = uuid.uuid4().hex
+    opened = lines.select("value", _only_object(F.col("value"), _ENVELOPE, end).alias("outer"))
     opened = opened.select(
         "value",
         F.col("outer.Message").alias("message"),
         F.col("outer.Timestamp").alias("published"),
         F.col("outer").isNull().alias("bad_outer"),
-        _only_object(F.col("outer.Message"), EVENT_TEXT).alias("event"),
+        _only_object(F.col("outer.Message"), EVENT_TEXT, end).alias("event"),
     )
     fault = (
         F.when(F.col("bad_outer"), "bad_envelope")

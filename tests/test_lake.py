@@ -251,6 +251,7 @@ def test_command_line(spark, tmp_path):
     write_lines(landing, "2.txt", envelope(event(event_id="e3")))
     assert go("drain", "--landing", str(landing), "--ingest-date", INGEST_DATE, "--checkpoint", str(tmp_path / "cp")) == days
     assert {r.events_count for r in lake.read_gold(spark, lake.Lake(home)).filter("event_date = '2024-01-05'").collect()} == {2}
+    assert go("compact", "--dates", "2024-01-05") == [D5]
 
 
 def test_kpi_stage(spark, tmp_path, home):

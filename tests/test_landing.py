@@ -42,7 +42,17 @@ def test_good_message(spark):
         ('{"Message":"{} trailing"}', "bad_message"),
         ('{"Message":"42"}', "bad_message"),
         ('{"Message":"[]"}', "bad_message"),
-        ('{"Message":"42"}', "bad_message"),
+        ('{"Message":"{}], [{}"}', "bad_message"),
+        ('{"Message":"{}] trailing"}', "bad_message"),
+        ('{"Message":"{} ]"}', "bad_message"),
+        ('{"Message":"{},{}], [{}"}', "bad_message"),
+        ('{"Message":"{},{\\"_end\\":\\"x\\"}], [{}"}', "bad_message"),
+        ('{"Message":"{},"}', "bad_message"),
+        ('{"Message":"],[{}"}', "bad_message"),
+        ('{"Message":"{}"}], [{"Message":"{}"}', "bad_envelope"),
+        ('{"Message":"{}"}] trailing', "bad_envelope"),
+        ('{"Message":"{}"} ]', "bad_envelope"),
+        ('{"Message":"{}"},{"_end":"x"}], [{"Message":"{}"}', "bad_envelope"),
     ],
 )
 def test_faulty_lines_are_kept_with_their_text(spark, line, fault):

@@ -61,7 +61,7 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path, home):
 def test_a_batch_repeated_on_another_day_leaves_no_copy(spark, tmp_path, home):
     """Undated events take the new ingest date; the first attempt's partition goes."""
     landing, cp = tmp_path / "landing", tmp_path / "cp"
-    write_lines(landing, "1.txt", envelope(event(event_timestamp=None)), *batch_of(2))
+    write_lines(landing, "1.txt", envelope(event(event_id="undated", event_timestamp=None)), *batch_of(2))
     drain(spark, str(landing), home, str(cp), "2024-02-01")
     (cp / "commits" / "0").unlink()
     (cp / "commits" / ".0.crc").unlink(missing_ok=True)
