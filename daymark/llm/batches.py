@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import Broadcast, cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +17,19 @@ Compute = Callable[[pa.StructArray], Sequence[pa.Array]]
 SLICE_ROWS, SLICE_BYTES = 512, 2**22
 
 
+def send(spark: SparkSession, value: object) -> Broadcast:
+    """A broadcast of an object with its class, for executors that do not have this package.
+
+    A plain broadcast names the classes of what it holds, which these could not import.
+    """
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(shared: Broadcast) -> object:
+    """In a task: what was sent."""
+    return cloudpickle.loads(shared.value)
+
+
 def slices(rows: pa.StructArray) -> Iterator[pa.StructArray]:
     """The rows of an Arrow batch in order, cut by number and by bytes of text."""
     sizes = np.zeros(len(rows) + 1, np.int64)

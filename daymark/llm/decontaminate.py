@@ -14,15 +14,17 @@ by one word less than a window.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daymark.llm.batches import extend
-from daymark.llm.words import plain_word_numbers, word_places
+from daymark.llm.words import plain_word_numbers, plain_words, word_places
+from daymark.session import stage
 
 WINDOW = 10
 SHARD_WORDS = 2**19
@@ -208,13 +210,39 @@ def without(text: bytes, spans: Iterable[tuple[int, int]]) -> bytes:
     return b"".join([*parts, text[at:]])
 
 
-def _blocks(benchmark: DataFrame, block_chars: int) -> list[list[tuple]]:
-    """The items in blocks of about `block_chars`; one scan each, one block normally."""
-    items = benchmark.select("item_id", F.col("text").cast("binary").alias("text"))
+def _pieces(benchmark: DataFrame, window: int, block_chars: int) -> DataFrame:
+    """The items, with one longer than a block cut into pieces that overlap by window - 1 words."""
+    kind = T.StructType([benchmark.schema["item_id"], T.StructField("text", T.BinaryType())])
+    size = max(2 * window, block_chars // 16)  # words
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, texts = [], []
+            for row, text in enumerate(batch.column(1)):
+                text = text.as_py()
+                if text is None or len(text) <= block_chars:
+                    found = [text]
+                else:
+                    words, step = plain_words(text), size - window + 1
+                    # Each piece has a whole window at least.
+                    found = [b" ".join(words[at : at + size]) for at in range(0, max(1, len(words) - window + 1), step)]
+                rows += [row] * len(found)
+                texts += found
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(texts, pa.binary())], kind.names)
+
+    return benchmark.select("item_id", F.col("text").cast("binary").alias("text")).mapInArrow(cut, kind)
+
+
+def _blocks(benchmark: DataFrame, window: int, block_chars: int) -> tuple[int, Iterator[list[tuple]]]:
+    """How many blocks of about `block_chars` the items make, and these one after the other.
+
+    One scan each, one block normally; the driver holds one at a time.
+    """
+    items = _pieces(benchmark, window, block_chars)
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-total // block_chars)
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, blocks)))
-    return [[tuple(r) for r in items.where(part == b).toLocalIterator()] for b in range(blocks)]
+    blocks = max(1, -(-total // block_chars))
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    return blocks, ([tuple(r) for r in items.where(part == b).toLocalIterator()] for b in range(blocks))
 
 
 def find_contamination(
@@ -233,7 +261,8 @@ def find_contamination(
     hits; further columns of docs stay inside `row`.
 
     Benchmarks larger than `block_chars` are searched block by block, each block
-    broadcast on its own and adding to the spans of those before it.
+    broadcast on its own and adding to the spans of those before it, which are written
+    before the next block is read.
     """
     kept = list(docs.columns if keep is None else keep)
     needed = list(dict.fromkeys([*kept, "text"]))
@@ -262,11 +291,11 @@ def find_contamination(
 
         return extend(df, start, fields, keep)
 
-    blocks = _blocks(benchmark, block_chars) or [[]]
-    found = search(docs.select(*needed), blocks[0], kept if len(blocks) == 1 else needed)
-    for k, block in enumerate(blocks[1:], 2):
-        packed = found.select("row.*", F.struct("spans", "items").alias("_found"))
-        found = search(packed, block, [*(kept if k == len(blocks) else needed), "_found"])
+    number, blocks = _blocks(benchmark, window, block_chars)
+    found = search(docs.select(*needed), next(blocks), kept if number == 1 else needed)
+    for k, block in enumerate(blocks, 2):
+        packed = stage(found, "blocks").select("row.*", F.struct("spans", "items").alias("_found"))
+        found = search(packed, block, [*(kept if k == number else needed), "_found"])
         found = found.select(
             found.row.dropFields("_found").alias("row"),
             "n_words",

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
+# What a tag holds: a quote opens a value only behind an equals sign and if it is closed; others are letters.
+_INSIDE = r"""(?:[^>=]|=\s*"[^"]*"|=\s*'[^']*'|=)*+"""
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.S
+    rf"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)({_INSIDE})(?:>|\Z)", re.S
 )
-_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_ATTRIBUTE = re.compile(r"""([^\s=/>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _SPACE = re.compile(r"[ \t\n\r\f\v   ]+")
 
 # Element kinds of HTML.
@@ -20,7 +23,7 @@ EXCLUDED = frozenset("noscript template svg".split())
 _CLOSE = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I | re.A) for tag in RAW}
 _EXCLUDING = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({'|'.join(sorted(RAW))})(?=[\s/>]).*?(?:</\1(?=[\s/>])|\Z)"
-    rf"|<(/?)({'|'.join(sorted(EXCLUDED))})(?=[\s/>])((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>",
+    rf"|<(/?)({'|'.join(sorted(EXCLUDED))})(?=[\s/>])({_INSIDE})>",
     re.S | re.I | re.A,
 )
 INLINE = frozenset(
@@ -65,7 +68,7 @@ def parse(text: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
     is left out if it is closed; an unclosed one takes nothing with it.
     """
     nodes, pieces = [Node("#root", {}, -1, 0)], []
-    stack, at = [0], 0
+    stack, at, open_tags = [0], 0, Counter()
     ends = None
     while True:
         m = _TOKEN.search(text, at)
@@ -79,15 +82,16 @@ def parse(text: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
             continue
         tag = m[2].lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
+            # Without an open element of this kind the end tag is stray.
+            for k in range(len(stack) - 1, 0, -1) if open_tags[tag] else ():
                 if nodes[stack[k]].tag == tag:
                     if tag not in INLINE or any(nodes[n].tag not in INLINE for n in stack[k:]):
                         pieces.append((stack[k], None))
-                    del stack[k:]
+                    _close_from(k, stack, nodes, open_tags)
                     break
             continue
         if tag not in INLINE:
-            _end_implied(tag, stack, nodes)
+            _end_implied(tag, stack, nodes, open_tags)
             pieces.append((stack[-1], None))
         attributes = {a[0].lower(): a[1].strip("\"'") for a in _ATTRIBUTE.findall(m[3])} if m[3] else {}
         parent = stack[-1]
@@ -111,14 +115,21 @@ def parse(text: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
             at = gone + 1 if gone >= 0 else len(text)
             continue
         stack.append(number)
+        open_tags[tag] += 1
 
 
-def _end_implied(tag: str, stack: list[int], nodes: list[Node]) -> None:
+def _close_from(k: int, stack: list[int], nodes: list[Node], open_tags: Counter) -> None:
+    """End the element at place k of the stack and all within it."""
+    open_tags.subtract(nodes[n].tag for n in stack[k:])
+    del stack[k:]
+
+
+def _end_implied(tag: str, stack: list[int], nodes: list[Node], open_tags: Counter) -> None:
     """A block ends an open paragraph; a list item, cell or row ends the one before."""
     for k in range(len(stack) - 1, 0, -1):
         name = nodes[stack[k]].tag
         if name == "p" or name in _ENDS.get(tag, ()):
-            del stack[k:]
+            _close_from(k, stack, nodes, open_tags)
             if name == "p" and tag in _ENDS:
                 continue
             return

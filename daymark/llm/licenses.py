@@ -15,6 +15,7 @@ task that reads it before anything is shuffled.
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -47,19 +48,25 @@ NOTICES = {
 COVERED = 0.7
 # How far apart two diagonals may be to belong to one span.
 NEIGHBOURS = 2
+# Word pairs in a part of a template, and pairs of all templates up to which they are broadcast.
+PART, MOST_SENT = 63, 50_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def _template_pairs(spark: SparkSession) -> DataFrame:
-    """One row per word pair of a template, and one row (no template) for a document's end."""
-    rows = [(None, None, None, None, None, None, "")]
-    for number, (phrase, label) in enumerate([*BASE.items(), *NOTICES.items()]):
-        words = re.findall(WORD, phrase)
+def _template_pairs(spark: SparkSession, templates: Mapping[str, str]) -> DataFrame:
+    """One row per word pair of a template, and one row (no template) for a document's end.
+
+    Votes are bits of a long, so a template of many pairs is cut into parts; a pair keeps its place in the whole.
+    """
+    rows = [(None, None, None, None, None, None, None, "")]
+    for number, (phrase, label) in enumerate([*BASE.items(), *templates.items()]):
+        words = re.findall(WORD, phrase.translate(str.maketrans(_UPPER, _LOWER)))
         for at, pair in enumerate(zip(words, words[1:])):
-            rows.append((number, label, number < len(BASE), at, 1 << at, len(words) - 1, " ".join(pair)))
-    kind = "template int, label string, base boolean, at int, vote long, pairs int, pair string"
-    return spark.createDataFrame(rows, kind).withColumn("hash", F.xxhash64("pair"))
+            rows.append((number, label, number < len(BASE), at // PART, at, 1 << at % PART, len(words) - 1, " ".join(pair)))
+    kind = "template int, label string, base boolean, part int, at int, vote long, pairs int, pair string"
+    pairs = spark.createDataFrame(rows, kind).withColumn("hash", F.xxhash64("pair"))
+    return F.broadcast(pairs) if len(rows) <= MOST_SENT else pairs
 
 
 def words_of(text: Column) -> Column:
@@ -67,8 +74,9 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(lowered, F.lit(f"({WORD})"), 1)
 
 
-def diagonals(docs: DataFrame) -> DataFrame:
-    """Votes per (doc_id, mark, template, diagonal); template null: the text's number of words.
+def diagonals(docs: DataFrame, templates: Mapping[str, str]) -> DataFrame:
+    """Votes per (doc_id, mark, template, part, diagonal); template null: the text's number of words,
+    and as `met` the number of equal rows.
 
     `mark` is the hash of the text, so that rows with one doc_id stay apart unless equal.
     """
@@ -80,46 +88,50 @@ def diagonals(docs: DataFrame) -> DataFrame:
     rolled = marked.select("doc_id", "mark", F.size("words").alias("n_words"), closed.alias("pairs"))
     places = rolled.select("doc_id", "mark", "n_words", F.posexplode_outer("pairs").alias("place", "pair"))
     hashed = places.withColumn("hash", F.xxhash64("pair"))
-    templates = F.broadcast(_template_pairs(docs.sparkSession))  # some 150 rows, fixed above
-    met = hashed.join(templates, ["hash", "pair"])
+    met = hashed.join(_template_pairs(docs.sparkSession, templates), ["hash", "pair"])
     offset = F.when(F.col("template").isNull(), F.col("n_words")).otherwise(F.col("place") - F.col("at"))
     return (
-        met.select("doc_id", "mark", "template", "label", "base", "pairs", offset.alias("diagonal"), "vote")
-        .groupBy("doc_id", "mark", "template", "label", "base", "pairs", "diagonal")
-        .agg(F.bit_or("vote").alias("votes"))
+        met.select("doc_id", "mark", "template", "label", "base", "pairs", "part", offset.alias("diagonal"), "vote")
+        .groupBy("doc_id", "mark", "template", "label", "base", "pairs", "part", "diagonal")
+        .agg(F.bit_or("vote").alias("votes"), F.count("*").alias("met"))
     )
 
 
 def spans(votes: DataFrame) -> DataFrame:
     """Neighbouring diagonals of one document and template merged; base phrases stay as they are."""
-    line = Window.partitionBy("doc_id", "mark", "template").orderBy("diagonal")
+    line = Window.partitionBy("doc_id", "mark", "template").orderBy("diagonal", "part")
     ends = F.coalesce(F.col("base"), F.lit(True))
     apart = ends | F.col("before").isNull() | (F.col("diagonal") - F.col("before") > NEIGHBOURS)
     chained = votes.withColumn("before", F.lag("diagonal").over(line)).withColumn(
         "span", F.sum(apart.cast("int")).over(line)
     )
-    return chained.groupBy("doc_id", "mark", "template", "label", "base", "pairs", "span").agg(
-        F.min("diagonal").alias("start"), F.bit_or("votes").alias("votes")
+    of_template = ["doc_id", "mark", "template", "label", "base", "pairs", "span"]
+    parts = chained.groupBy(*of_template, "part").agg(
+        F.min("diagonal").alias("start"), F.bit_count(F.bit_or("votes")).alias("covered"), F.max("met").alias("met")
+    )
+    return parts.groupBy(*of_template).agg(
+        F.min("start").alias("start"), F.sum("covered").alias("covered"), F.max("met").alias("met")
     )
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, templates: Mapping[str, str] = NOTICES) -> DataFrame:
     """License mentions of every document (doc_id, text).
 
     `n_base` counts the places of base phrases; `first_word` and `last_word` are the
     smallest and largest of their starts; `base_labels` and `labels` are distinct, sorted and
     joined by commas; `score` is the largest share of a template found. Null and empty
-    texts have no words and score 0. Repeated equal rows come out once; rows with one
-    doc_id and different texts come out each. Empty tables give no rows; further columns are ignored.
+    texts have no words and score 0. Every row comes out, repeated ones and those
+    without an id too. `templates` are texts of any length with their labels, beside the base phrases;
+    a word pair is looked for wherever it stands in them. Empty tables give no rows; further columns are ignored.
     """
-    share = F.bit_count("votes") / F.col("pairs")
+    share = F.col("covered") / F.col("pairs")
     found = F.when(F.col("template").isNull(), F.lit(False)).when(F.col("base"), share >= 1.0).otherwise(share >= COVERED)
     base = found & F.col("base")
     text = lambda condition: F.concat_ws(
         ",", F.array_sort(F.collect_set(F.when(condition, F.col("label"))))
     )
     return (
-        spans(diagonals(docs))
+        spans(diagonals(docs, templates))
         .groupBy("doc_id", "mark")
         .agg(
             F.max(F.when(F.col("template").isNull(), F.col("start"))).cast("long").alias("n_words"),
@@ -129,6 +141,8 @@ def scan(docs: DataFrame) -> DataFrame:
             text(base).alias("base_labels"),
             text(found).alias("labels"),
             F.coalesce(F.max(F.when(F.col("template").isNotNull(), F.least(share, F.lit(1.0)))), F.lit(0.0)).alias("score"),
+            F.max(F.when(F.col("template").isNull(), F.col("met"))).alias("rows"),
         )
-        .drop("mark")
+        .withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
+        .drop("mark", "rows", "row")
     )

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from daymark.llm.batches import extend
+from daymark.llm.batches import extend, received, send
 from daymark.llm.dom import INLINE, Node, blocks, parse
 
 _GROUPS = {
@@ -26,7 +26,8 @@ _GROUPS = {
     **dict.fromkeys(("header", "footer", "aside", "form", "body", "head", "section", "div", "p", "a", "li", "button", "address"), None),
     **dict.fromkeys(("h1", "h2", "h3", "h4", "h5", "h6"), "heading"),
     **dict.fromkeys(("ul", "ol", "dl"), "list"),
-    **dict.fromkeys(("table", "thead", "tbody", "tr", "td", "th", "caption"), "table"),
+    **dict.fromkeys(("table", "thead", "tbody", "tr", "caption"), "table"),
+    **dict.fromkeys(("td", "th"), "cell"),  # of a table, or of a page laid out as one
     **dict.fromkeys(("blockquote", "pre", "figure", "figcaption", "dd", "dt"), "quote"),
     **dict.fromkeys(("input", "select", "option", "fieldset", "legend", "textarea", "dialog"), "form"),
     **dict.fromkeys(("script", "style", "title", "link", "meta", "template", "noscript", "iframe", "svg"), "head"),
@@ -87,10 +88,11 @@ def describe(nodes: list[Node], pieces: list[tuple[int, str | None]]) -> list[li
             out.append(seen)
             continue
         density = linked[k] / size[k] if size[k] else 0.0
-        seen.append("no text" if not size[k] else f"links {min(3, int(4 * density))}")
-        if kind in ("div", "section"):
+        # A paragraph that is a link says little about the article around it.
+        about = "p links" if kind == "p" else "links"
+        seen.append("no text" if not size[k] else f"{about} {min(3, int(4 * density))}")
+        if kind in ("div", "section", "cell"):
             seen += [f"{kind} size {min(5, len(str(size[k])))}", f"{kind} stops {min(3, stops[k])}"]
-        if kind in ("div", "section"):
             seen.append(f"{kind} paragraphs {min(3, paragraphs[k])}")
         out.append(seen)
     return out
@@ -163,6 +165,9 @@ def train(pages: list[str], ridge: float = 0.5, pull: float = 2.0) -> Potentials
     return Potentials(dict(zip(names, beta.tolist())), edges)
 
 
+SOUP = 140
+
+
 @cache
 def labelled_pages() -> tuple[str, ...]:
     """Labelled pages made by rule: each way to mark up an article, among each kind of surroundings."""
@@ -225,6 +230,28 @@ def labelled_pages() -> tuple[str, ...]:
             )
         return "".join(parts)
 
+    def soup(k: int) -> str:
+        """An article of paragraphs that are links, of divs, of lines in one div, or under its own header."""
+        text = lambda: sentences(int(rng.integers(1, 6)))
+        several = range(int(rng.integers(2, 9)))
+        heading = f"<h1>{words(5)}</h1>"
+        return (
+            lambda: heading + "".join(f"<p>{text()}</p>" if rng.random() < 0.7 else f"<p><a href=/{words(1)}>{words(4)}</a></p>" for _ in several),
+            lambda: "".join(f"<div>{text()}</div>" for _ in several),
+            lambda: "".join(f"<div><div>{text()}</div><div>{text()}</div></div>" for _ in several),
+            lambda: "<br><br>".join(text() for _ in several),
+            lambda: f"<header>{heading}<p>{words(6)}</p></header>" + "".join(f"<p>{text()}</p>" for _ in several),
+        )[k % 5]()
+
+    def page(k: int) -> str:
+        inside, menu = soup(k), links(int(rng.integers(3, 7)))
+        edge = extras[int(rng.integers(0, len(extras)))]()
+        host = ("<div>{}</div>", "<div><div>{}</div></div>", "<article>{}</article>", '<div class="content">{}</div>', "<main>{}</main>")[k // 5 % 5]
+        body = f"<nav>{menu}</nav>" + host.replace(">", ' data-main="1">', 1).format(inside) + edge
+        if k % 7 == 6:  # laid out as a table
+            body = f'<table><tr><td data-main="0">{menu}</td><td data-main="1">{inside}</td></tr></table>'
+        return f"<html><body>{body}<footer>&copy; {words(3)}</footer></body></html>"
+
     pages = []
     for k in range(180):
         before, after = hosts[k % len(hosts)]
@@ -242,7 +269,7 @@ def labelled_pages() -> tuple[str, ...]:
             + "".join(around[:cut]) + host + inside + after + "".join(around[cut:])
             + f"<footer>&copy; {words(3)} <p>{sentences(2)}</p></footer></body></html>"
         )
-    return tuple(pages)
+    return (*pages, *(page(k) for k in range(SOUP)))
 
 
 def extract(html: str | None, potentials: Potentials) -> str:
@@ -265,10 +292,10 @@ def main_text(pages: DataFrame, labelled: tuple[str, ...] | None = None, keep: l
     give no rows. `labelled` are training pages as `train` takes them.
     """
     learned = train(list(labelled or labelled_pages()))
-    shared = pages.sparkSession.sparkContext.broadcast(learned)  # some hundred numbers
+    shared = send(pages.sparkSession, learned)  # some hundred numbers
 
     def start() -> Callable:
-        potentials = shared.value
+        potentials = received(shared)
 
         def compute(rows: pa.StructArray):
             return [pa.array([extract(h.as_py(), potentials) for h in rows.field("html")], pa.string())]

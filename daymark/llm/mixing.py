@@ -16,6 +16,7 @@ domains' totals, and only these totals reach the driver.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.batches import extend
+from daymark.llm.batches import extend, received, send
 from daymark.llm.learning import bounded, held_out
 from daymark.llm.words import plain_word_numbers
 from daymark.session import stage
@@ -114,8 +115,8 @@ def learn_domains(docs: DataFrame, labelled: DataFrame, domains: list[str], samp
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros((BINS + 1, len(domains)), np.int64)  # the last line counts documents
         for batch in batches:
-            for text, domain in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist()):
-                found[bins_of(plain_word_numbers(text)), place[domain]] += 1
+            for text, domain in zip(batch.column(0).cast(pa.binary()), batch.column(1).to_pylist()):
+                found[bins_of(plain_word_numbers(text.as_py())), place[domain]] += 1
                 found[BINS, place[domain]] += 1
         bins, kinds = np.nonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(bins), pa.array(kinds), pa.array(found[bins, kinds])], ["bin", "k", "n"])
@@ -127,7 +128,7 @@ def learn_domains(docs: DataFrame, labelled: DataFrame, domains: list[str], samp
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [look(t, column)[1].tobytes() for t in batch.column(0).cast(pa.binary()).to_pylist()]
+            rows = [look(t.as_py(), column)[1].tobytes() for t in batch.column(0).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.binary())], ["domain", "x"])
 
     rows = taught.mapInArrow(features, "domain string, x binary").collect()  # the bounded sample: 2 KB a row
@@ -171,8 +172,8 @@ def _posteriors(rows: pa.StructArray) -> np.ndarray:
 def fit_rates(memberships: DataFrame, targets: np.ndarray, rounds: int = ROUNDS) -> list[np.ndarray]:
     """What every round subtracts, from `memberships` (n, p) and the tokens each domain should have.
 
-    Stops when every domain is within CLOSE of its target, or after `rounds`: targets may
-    be out of reach for memberships that overlap.
+    Stops when every domain is within CLOSE of its target, or after `rounds`, with a warning that
+    names the shares reached: targets may be out of reach for memberships that overlap.
     """
 
     def totals(misses: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -199,9 +200,20 @@ def fit_rates(memberships: DataFrame, targets: np.ndarray, rounds: int = ROUNDS)
     while len(misses) < rounds and np.abs(at - targets).max() > CLOSE * max(targets.sum(), 1e-9):
         misses.append((ahead - targets) / scale)
         at, ahead = totals(misses)
+    if np.abs(at - targets).max() > CLOSE * max(targets.sum(), 1e-9):
+        got, wanted = ((x / max(x.sum(), 1e-9)).round(3).tolist() for x in (at, targets))
+        warnings.warn(f"mixing: after {len(misses)} rounds the shares are {got}, wanted {wanted}", stacklevel=2)
     return misses
 
 
+def reached(mixed: DataFrame, domains: list[str]) -> DataFrame:
+    """(domain, tokens, share): the expected tokens of each domain in what `mix` returned."""
+    names = sorted(domains)
+    sums = [F.coalesce(F.sum(F.col("n_tokens") * F.col("rate") * F.get("p", F.lit(k))), F.lit(0.0)).alias(d) for k, d in enumerate(names)]
+    tokens = mixed.agg(*sums).withColumn("_all", sum((F.col(f"`{d}`") for d in names), F.lit(0.0)))
+    return tokens.unpivot(["_all"], names, "domain", "tokens").select("domain", "tokens", F.try_divide("tokens", "_all").alias("share"))
+
+
 def mix(
     docs: DataFrame,
     labelled: DataFrame,
@@ -222,12 +234,12 @@ def mix(
     domains = sorted(shares or TARGETS)
     wanted = np.array([(shares or TARGETS)[d] for d in domains])
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(learn_domains(docs, labelled, domains, sample))
+    model = send(spark, learn_domains(docs, labelled, domains, sample))
     kept = list(docs.columns if keep is None else keep)
     needed = list(dict.fromkeys([*kept, *(c for c in ("doc_id", "text") if c in docs.columns)]))
 
     def start() -> Callable:
-        classifier = model.value
+        classifier = received(model)
 
         def compute(rows: pa.StructArray):
             texts = rows.field("text").cast(pa.binary()).to_pylist()

@@ -11,6 +11,7 @@ Only the training sample is brought together; documents are scored where they li
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.batches import extend
+from daymark.llm.batches import extend, received, send
 from daymark.llm.fuzzy import Lexicon, Term, edits_allowed
 from daymark.llm.learning import bounded, held_out
 from daymark.llm.words import plain_words
@@ -47,6 +48,9 @@ QUOTED, ADDRESSED = 0.1, 1.25
 _MARKS = {'"': '"', "“": "”", "«": "»", "„": "“", "‘": "’"}
 
 
+_WORD = re.compile("[0-9A-Za-z\u0080-\U0010ffff]+")  # the words of `plain_words`, in characters
+
+
 def lowered_words(text: str | None) -> list[str]:
     return [w.decode("utf-8", "replace").lower() for w in plain_words(text.encode("utf-8", "replace") if text else None)]
 
@@ -76,17 +80,15 @@ class Finder:
         near = {w: m for w in set(words) if (m := self.lexicon.find(w))}
         if not near:
             return len(words), []
-        found, at, lower = [], 0, text.lower()
+        found, places = [], [m.span() for m in _WORD.finditer(text)]
         for k, word in enumerate(words):
             if word not in near:
                 continue
-            spot = lower.find(word, at)
-            at = spot + len(word) if spot >= 0 else at
             around = {*words[max(0, k - WINDOW) : k], *words[k + 1 : k + 1 + WINDOW]}
             factor = 1.0
             if not around.isdisjoint(SECOND_PERSON):
                 factor = ADDRESSED
-            elif not around.isdisjoint(REPORTING) or spot >= 0 and in_quotes(lower, spot, at):
+            elif not around.isdisjoint(REPORTING) or in_quotes(text, *places[k]):
                 factor = QUOTED
             edits, term = near[word]
             found.append((term, edits, factor))
@@ -137,7 +139,7 @@ def _document_counts(sample: DataFrame, among: set | None) -> DataFrame:
             for text in batch.column(0):
                 terms = candidates(set(lowered_words(text.as_py())))
                 found.update(terms if among is None else (t for t in terms if t in among))
-                if len(found) > 300_000:
+                if len(found) > 50_000:
                     yield part()
                     found.clear()
         yield part()
@@ -247,10 +249,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, keep: list[str] | None =
     so; held-out labels, null labels and labels of unknown documents are not used. With no usable
     labels the seed words decide. Empty tables give no rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, sample))  # MOST_TERMS terms
+    shared = send(docs.sparkSession, learn(docs, labels, sample))  # MOST_TERMS terms
 
     def start() -> Callable:
-        model = shared.value
+        model = received(shared)
         finder = Finder(model.terms)
 
         def compute(rows: pa.StructArray):

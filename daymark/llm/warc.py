@@ -208,7 +208,8 @@ def write_archives(pages: DataFrame, path: str, chunk: int = CHUNK, least: int =
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()).cast(pa.string())], ["value"])
 
     archived = rows.mapInArrow(records, "value string")
-    archived.write.option("lineSep", _END.decode()).option("compression", "gzip").text(path)
+    # A record's continuations follow it in its file: a session's limit of rows in a file must not cut there.
+    archived.write.option("maxRecordsPerFile", 0).option("lineSep", _END.decode()).option("compression", "gzip").text(path)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
