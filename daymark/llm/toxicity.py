@@ -11,7 +11,6 @@ Only the training sample is brought together; documents are scored where they li
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -32,6 +31,7 @@ SAMPLE = 12_000
 MOST_TERMS, LEAST_DOCS, LEAST_EVIDENCE, LEAST_ODDS = 400, 3, 18.0, 2.0
 THRESHOLD = 0.3
 STEMS = range(4, 9)
+MOST_KNOWN = 200_000  # words whose hits a task remembers
 WINDOW = 6  # words on either side of a hit
 
 SEEDS = (
@@ -48,11 +48,19 @@ QUOTED, ADDRESSED = 0.1, 1.25
 _MARKS = {'"': '"', "“": "”", "«": "»", "„": "“", "‘": "’"}
 
 
-_WORD = re.compile("[0-9A-Za-z\u0080-\U0010ffff]+")  # the words of `plain_words`, in characters
+def lowered_words(text: str | None) -> list[str]:
+    words = plain_words(text.encode("utf-8", "replace") if text else None)
+    return b" ".join(words).decode("utf-8", "replace").lower().split(" ") if words else []
 
 
-def lowered_words(text: str | None) -> list[str]:
-    return [w.decode("utf-8", "replace").lower() for w in plain_words(text.encode("utf-8", "replace") if text else None)]
+def place_of(word: str, text: str, at: int) -> int:
+    """Where the word next stands as a whole one; -1 if the text lowers it otherwise, as some Greek."""
+    while (spot := text.find(word, at)) >= 0:
+        before, after = text[spot - 1 : spot], text[spot + len(word) : spot + len(word) + 1]
+        if not (before.isalnum() or before > "\x7f") and not (after.isalnum() or after > "\x7f"):
+            return spot
+        at = spot + 1
+    return -1
 
 
 def in_quotes(text: str, start: int, end: int, reach: int = 80) -> bool:
@@ -73,22 +81,34 @@ class Finder:
 
     def __init__(self, terms: list[Term]):
         self.lexicon = Lexicon(terms)
+        self.known: dict[str, tuple[int, int] | None] = {}
+
+    def _near(self, words: list[str]) -> dict[str, tuple[int, int]]:
+        """What the lexicon finds, remembered for the words seen of late."""
+        known, own = self.known, set(words)
+        if len(known) >= MOST_KNOWN:
+            known.clear()
+        for word in own.difference(known):
+            known[word] = self.lexicon.find(word)
+        return {w: met for w in own if (met := known[w])}
 
     def hits(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
         """Number of words and (term, edits, factor) of every hit."""
         words = lowered_words(text)
-        near = {w: m for w in set(words) if (m := self.lexicon.find(w))}
+        near = self._near(words)
         if not near:
             return len(words), []
-        found, places = [], [m.span() for m in _WORD.finditer(text)]
+        found, at, lower = [], 0, text.lower()
         for k, word in enumerate(words):
             if word not in near:
                 continue
+            spot = place_of(word, lower, at)
+            at = spot + len(word) if spot >= 0 else at
             around = {*words[max(0, k - WINDOW) : k], *words[k + 1 : k + 1 + WINDOW]}
             factor = 1.0
             if not around.isdisjoint(SECOND_PERSON):
                 factor = ADDRESSED
-            elif not around.isdisjoint(REPORTING) or in_quotes(text, *places[k]):
+            elif not around.isdisjoint(REPORTING) or spot >= 0 and in_quotes(lower, spot, at):
                 factor = QUOTED
             edits, term = near[word]
             found.append((term, edits, factor))
