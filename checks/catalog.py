@@ -328,6 +328,19 @@ def order_revenue(spark, sf_dir):
     return _rounded(_rounded(daily, 2, "gross_revenue"), 4, "net_revenue")
 
 
+def active_users(spark, sf_dir):
+    """Users of the last 7 and 28 days from stored daily sketches, beside the exact numbers."""
+    silver, stored = _silver(spark, sf_dir), scratch_path(spark, "sketches")
+    kpi.user_sketches(silver).write.parquet(stored)
+    merged = kpi.active_users(spark.read.parquet(stored)).withColumnRenamed("active_users", "estimate")
+    ends = silver.select(F.col("event_date").alias("as_of")).distinct()
+    seen = silver.select("event_date", "user_id").distinct().withColumn("days", F.explode(F.array(F.lit(7), F.lit(28))))
+    seen = seen.withColumn("as_of", F.explode(F.sequence("event_date", F.date_add("event_date", F.col("days") - 1))))
+    exact = seen.join(ends, "as_of", "left_semi").groupBy("as_of", "days").agg(F.countDistinct("user_id").alias("active_users"))
+    close = F.abs(F.col("estimate") - F.col("active_users")) <= 0.05 * F.col("active_users")
+    return exact.join(merged, ["as_of", "days"]).select("as_of", "days", "active_users", close.alias("within_5_percent"))
+
+
 def full_customer_view(spark, sf_dir):
     view = customer_view(
         table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders"), _gold(spark, sf_dir)
@@ -377,6 +390,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpi_churn_proxy": lambda s, d: kpi.churn_proxy(_gold(s, d), table(s, d, "customer"), "2024-01-20"),
     "kpi_rfm_segments": lambda s, d: kpi.rfm_segments(table(s, d, "orders")),
     "kpi_daily_summary": lambda s, d: _rounded(kpi.daily_summary(_silver(s, d)), 2, "revenue"),
+    "kpi_active_users": active_users,
+    "kpi_totals_by_grain": lambda s, d: _rounded(kpi.totals_by_grain(_silver(s, d)), 2, "revenue"),
     "customer_360": full_customer_view,
 }
 

@@ -359,6 +359,18 @@ FROM orders LEFT JOIN lines ON o_orderkey = l_orderkey GROUP BY 1
         "FROM lasts LEFT JOIN customer ON c_custkey = user_id"
     ),
     "kpi_rfm_segments": _RFM,
+    "kpi_active_users": _silver(
+        "SELECT e.event_date AS as_of, CAST(days AS INTEGER) AS days, count(DISTINCT user_id) AS active_users, "
+        "TRUE AS within_5_percent FROM (SELECT DISTINCT event_date FROM silver) e, (SELECT unnest([7, 28]) AS days), silver s "
+        "WHERE s.event_date <= e.event_date AND s.event_date > e.event_date - days GROUP BY 1, 2"
+    ),
+    "kpi_totals_by_grain": _silver(
+        "SELECT event_date, event_type, page, CASE grouping_id(event_date, event_type, page) WHEN 7 THEN 'total' "
+        "WHEN 3 THEN 'day' WHEN 1 THEN 'day and type' ELSE 'day and page' END AS grain, count(*) AS events_count, "
+        "CAST(sum(is_purchase_event) AS BIGINT) AS checkouts, CAST(sum(is_error_event) AS BIGINT) AS errors, "
+        "round(coalesce(sum(amount) FILTER (event_type = 'checkout'), 0), 2) AS revenue FROM silver "
+        "GROUP BY GROUPING SETS ((), (event_date), (event_date, event_type), (event_date, page))"
+    ),
     "kpi_daily_summary": _silver(
         "SELECT event_date, count(DISTINCT user_id) AS active_users, count(*) AS events_count, "
         "count(*) FILTER (event_type = 'add_to_cart') AS carts, "

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daymark.functions.events import count_where
+from daymark.functions.events import count_where, flag
 from daymark.operators.ranking import ntile_within
 
+SKETCH_PRECISION = 12  # 4096 registers of a few bits
+
 
 def event_revenue_daily(silver: DataFrame) -> DataFrame:
     """Revenue per day: checkouts only, unlike gold's total_amount."""
@@ -152,6 +155,59 @@ def daily_summary(silver: DataFrame) -> DataFrame:
     )
 
 
+def user_sketches(silver: DataFrame, precision: int = SKETCH_PRECISION) -> DataFrame:
+    """One row per day: the day's users as a sketch of bounded size, and their exact number.
+
+    Worth storing: sketches of any days can be merged later, exact numbers cannot.
+    """
+    return silver.groupBy("event_date").agg(
+        F.hll_sketch_agg("user_id", F.lit(precision)).alias("users"),
+        F.countDistinct("user_id").alias("active_users"),
+    )
+
+
+def active_users(sketches: DataFrame, days: Sequence[int] = (7, 28)) -> DataFrame:
+    """Users active in the `days` days up to each day that has a sketch, estimated by merging sketches.
+
+    No event is read again: every daily sketch goes to the days it counts for, at most the longest
+    span per day. The standard error is about 1.04 / sqrt(2 ** precision), 1.6 per cent at 12.
+    """
+    ends = sketches.select(F.col("event_date").alias("as_of"))
+    spans = F.explode(F.array(*[F.lit(n) for n in days])).alias("days")
+    reach = sketches.select("event_date", "users", spans)
+    last = F.date_add("event_date", F.col("days") - 1)
+    counted = reach.select("days", "users", F.explode(F.sequence("event_date", last)).alias("as_of"))
+    merged = counted.groupBy("as_of", "days").agg(F.hll_union_agg("users").alias("users"))
+    return merged.join(ends, "as_of", "left_semi").select(
+        "as_of", "days", F.hll_sketch_estimate("users").alias("active_users")
+    )
+
+
+def totals_by_grain(silver: DataFrame) -> DataFrame:
+    """Totals of everything, per day, per day and event type, and per day and page, from one scan and one shuffle.
+
+    `grain` names the set; columns that it does not group by are null. Other nulls cannot occur:
+    accepted rows have all three.
+    """
+    of = lambda kind: F.col("event_type") == kind
+    sets = [[], ["event_date"], ["event_date", "event_type"], ["event_date", "page"]]
+    # What is left out of a set, as bits: date 4, type 2, page 1.
+    grain = (
+        F.when(F.grouping_id() == 7, "total")
+        .when(F.grouping_id() == 3, "day")
+        .when(F.grouping_id() == 1, "day and type")
+        .otherwise("day and page")
+    )
+    measures = silver.select("*", *[flag(of(k)).alias(f"_{k}") for k in ("checkout", "error")])
+    return measures.groupingSets([[F.col(c) for c in s] for s in sets], "event_date", "event_type", "page").agg(
+        grain.alias("grain"),
+        F.count("*").alias("events_count"),
+        F.sum("_checkout").alias("checkouts"),
+        F.sum("_error").alias("errors"),
+        F.coalesce(F.sum(F.when(F.col("_checkout") == 1, F.col("amount"))), F.lit(0.0)).alias("revenue"),
+    )
+
+
 def support_metrics(tickets: DataFrame) -> DataFrame:
     """Tickets and mean satisfaction per user, from (user_id, csat) rows; csat may be null."""
     return tickets.groupBy("user_id").agg(

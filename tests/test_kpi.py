@@ -102,3 +102,30 @@ def test_ntile_equals_the_window_function(spark, n, buckets):
     expected = df.select("id", F.ntile(buckets).over(window).alias("q"))
     got = ntile_within(df.repartition(5), "g", ["v", "id"], buckets, "q").select("id", "q")
     assert rows(got) == rows(expected)
+
+
+def test_merged_sketches_count_each_user_once(spark):
+    """Against exact numbers, on days that share most of their users, with a gap between them."""
+    days = [d(n) for n in (1, 2, 3, 4, 12, 13, 20)]
+    rows_of = [(day, u * 7 + k * 900) for k, day in enumerate(days) for u in range(3000)]
+    silver = spark.createDataFrame(rows_of, "event_date date, user_id long")
+    sketches = kpi.user_sketches(silver)
+    assert {r.active_users for r in sketches.collect()} == {3000}
+    got = {(r.as_of, r.days): r.active_users for r in kpi.active_users(sketches).collect()}
+    assert set(got) == {(day, n) for day in days for n in (7, 28)}
+    for (as_of, n), estimate in got.items():
+        exact = len({u for day, u in rows_of if as_of - dt.timedelta(days=n) < day <= as_of})
+        assert abs(estimate - exact) <= 0.05 * exact
+    assert kpi.active_users(sketches.where("false")).count() == 0
+
+
+def test_totals_at_several_grains_take_one_scan_and_one_shuffle(spark, silver, tmp_path):
+    got = {(r.grain, r.event_date, r.event_type, r.page): (r.events_count, r.checkouts, r.errors, r.revenue) for r in kpi.totals_by_grain(silver).collect()}
+    assert got["total", None, None, None] == (6, 3, 1, 30.0)
+    assert got["day", d(1), None, None] == (3, 1, 0, 10.0)
+    assert got["day and type", d(3), "error", None] == (1, 0, 1, 0.0)
+    assert got["day and page", d(2), None, "/cart"] == (1, 1, 0, 10.0)
+    assert sum(n for (grain, *_), (n, *_) in got.items() if grain == "day and type") == 6
+    silver.write.parquet(str(tmp_path / "silver"))
+    plan = kpi.totals_by_grain(spark.read.parquet(str(tmp_path / "silver")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and plan.count("Exchange hashpartitioning") == 1
