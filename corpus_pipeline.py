@@ -61,7 +61,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("mixing", mix_domains),
 ]
 
-# Learned scores, automata and keyed surrogates are beyond SQL; tests hold the stages against brute force.
+# Learned scores, automata and keyed surrogates are beyond SQL; tests hold the operators against brute force
+# or planted cases, and the stages against their operators' promises.
 ORACLE_SQL: str | None = None
 
 

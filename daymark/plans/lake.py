@@ -97,7 +97,7 @@ def write_load(events: DataFrame, lake: Lake, load_id: str) -> list[dt.date]:
     was_open = files.exists(spark, f"{lake.open_loads}/{load_id}")
     files.touch(spark, f"{lake.open_loads}/{load_id}")
     earlier = loads.found(load_id) if was_open else loads.places(load_id)
-    _note_pending(spark, lake, earlier)
+    _note_pending(spark, lake, sorted(earlier))
     loads.withdraw(load_id, {d: place for d, place in earlier.items() if place != load_id})
     written = replace_partitions(
         events.withColumn("load_id", F.lit(load_id)),
