@@ -68,8 +68,10 @@ def test_golden_counts(spark):
 
 STORED = {
     "bronze_ingest", "bronze_backfill", "ingest_quarantine", "silver_rebuild", "silver_scan", "gold_rebuild",
-    "publish_replace", "dq_reconciliation", "stream_equals_batch", "stream_dedup",
+    "publish_replace", "dq_reconciliation", "stream_equals_batch", "stream_dedup", "undated_redelivery", "bronze_compacted",
 }
+# The buffer of a sketch is an object, of bounded size and with a partial step.
+SKETCHES = {"kpi_active_users"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - STORED))
@@ -83,7 +85,7 @@ def test_plan_shape(spark, name):
     finally:
         spark.conf.set(broadcast, before)
     for unwanted in ("CartesianProduct", "NestedLoop", "Python", "Pandas", "SortAggregate", "ObjectHash"):
-        assert unwanted not in plan
+        assert unwanted not in plan or unwanted == "ObjectHash" and name in SKETCHES
     if "SinglePartition" in plan:
         # Only for aggregates of everything, after a partial step.
         assert plan.count("SinglePartition") == plan.count("keys=[], functions=[partial") + plan.count("keys=[], functions=[merge")
