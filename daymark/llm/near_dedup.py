@@ -45,6 +45,8 @@ PREFIX = 12
 # What one task holds in memory while others stream past: texts, their shingles (in the last
 # round), signatures; and rows that stream past.
 _HELD_TEXTS, _HELD_SHINGLES, _HELD_SIGNS, _STREAMED = 1024, 2**22, 2048, 4096
+# A key with more than one in so many rows of all posting lists is long; so fewer keys than that are.
+_LONG = 1000
 
 _RANDOM = np.random.default_rng(7)
 _STEPS = _RANDOM.integers(1, 2**63, SHINGLE, np.uint64) | np.uint64(1)
@@ -204,6 +206,20 @@ def _confirmed(dealt: tuple[DataFrame, DataFrame], texts: DataFrame) -> DataFram
     return rows.mapInArrow(compare, "x long, y long")
 
 
+def _with_facts(lists: DataFrame, facts: DataFrame) -> DataFrame:
+    """Posting lists joined by key with `facts`: one row per key, with the length `ids` of its list.
+
+    A long list stays where its rows lie: the facts of the long ones, fewer than `_LONG` rows
+    at any size of the corpus, are sent to them. All other lists are shuffled by key.
+    """
+    facts = stage(facts, "facts")
+    rows = facts.agg(F.sum("ids")).first()[0] or 0
+    is_long = F.col("ids") * _LONG > rows
+    long = F.broadcast(facts.where(is_long))
+    short = lists.join(long.select("key"), "key", "left_anti").join(facts.where(~is_long), "key")
+    return lists.join(long, "key").unionByName(short)
+
+
 def _remaining(lists: DataFrame, signs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Candidates of different components, from posting lists (key, id, comp), dealt as by `_listed`.
 
@@ -218,7 +234,7 @@ def _remaining(lists: DataFrame, signs: DataFrame) -> tuple[DataFrame, DataFrame
         F.sum("ids").alias("ids"),
         (F.sum("ids") - F.max("ids")).alias("outside"),
     )
-    spread = lists.join(largest, "key").withColumns(
+    spread = _with_facts(lists, largest).withColumns(
         {
             "slices": F.ceil(F.col("outside") / _HELD_SIGNS),
             "parts": F.ceil(F.col("ids") / _STREAMED),
@@ -317,7 +333,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(value).alias("key"), "id"
     )
     crowds = posted.groupBy("key").agg(F.count("*").alias("ids"), F.min("id").alias("lead")).where("ids > 1")
-    lists = stage(posted.join(crowds, "key").select("key", "id", "lead"), "postings")
+    lists = stage(_with_facts(posted, crowds).select("key", "id", "lead"), "postings")
     crowd = lists.select("id").distinct()
     # The crowd grows with the corpus: a merge join at every size, never a broadcast of it.
     own = docs.select(F.col("doc_id").alias("id"), "text").join(crowd.hint("merge"), "id", "left_semi")
@@ -333,14 +349,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         """Posting lists that hold several components."""
         known = comps.select(F.col("node").alias("id"), F.col("component"))
         own = lists.select("key", "id").join(known, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
-        mixed = own.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key")
-        return stage(own.join(mixed, "key"), "lists")
+        mixed = own.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("ids"))
+        return stage(_with_facts(own, mixed.where("a <> b")).select("key", "id", "comp"), "lists")
 
     # 2: a random class of each list, where that is in another component.
     own = mixed_lists()
     mask = F.xxhash64("key")
-    picked = own.groupBy("key").agg(F.min(F.col("id").bitwiseXOR(mask)).alias("least")).select("key", F.col("least").bitwiseXOR(mask).alias("x"))
-    met = own.join(picked.join(own.select("key", F.col("id").alias("x"), F.col("comp").alias("other")), ["key", "x"]), "key")
+    picked = own.groupBy("key").agg(F.min(F.col("id").bitwiseXOR(mask)).alias("least"), F.count("*").alias("ids"))
+    picked = picked.select("key", F.col("least").bitwiseXOR(mask).alias("x"), "ids")
+    met = _with_facts(own, picked.join(own.select("key", F.col("id").alias("x"), F.col("comp").alias("other")), ["key", "x"]))
     met = met.where("comp <> other").select("x", F.col("id").alias("y"), F.least("comp", "other").alias("home"))
     met = met.groupBy("x", "y").agg(F.min("home").alias("home"))
     untried = met.join(tried.union(tried.select("y", "x")), ["x", "y"], "left_anti")
