@@ -243,6 +243,16 @@ def bronze_compacted(spark, sf_dir):
     return lake.read_bronze(spark, home).groupBy("event_date", "load_id").agg(F.count("*").alias("messages"))
 
 
+def load_drift(spark, sf_dir):
+    """Four loads, the third with a fault of its own, each judged beside the loads before it."""
+    home, events = lake.Lake(scratch_path(spark, "lake")), dated_events(spark, sf_dir)
+    n = F.col("event_id").cast("bigint")
+    damaged = events.withColumn("page", F.when(n % 12 == 2, "/admin").otherwise(F.col("page")))
+    for k in range(4):
+        _load(spark, home, damaged.where(n % 4 == k), f"part-{k}")
+    return lake.load_drift(spark, home).drop("recorded_at")
+
+
 # --- gold and serving -------------------------------------------------------
 
 
@@ -365,6 +375,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_rebuild": silver_rebuild,
     "undated_redelivery": undated_redelivery,
     "bronze_compacted": bronze_compacted,
+    "load_drift": load_drift,
     "silver_scan": silver_scan,
     "gold_daily_user_metrics": lambda s, d: _rounded_gold(_gold(s, d)),
     "gold_rebuild": gold_rebuild,

@@ -209,6 +209,29 @@ def _union(parts: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
+_LOAD_RULES = _union(
+    [
+        f"SELECT n % 4 AS step, '{name}' AS rule, count(*) FILTER ({rule}) AS failing, count(*) AS total FROM damaged GROUP BY 1"
+        for name, rule in {**_DQ_RULES, "message_opened": "FALSE"}.items()
+    ]
+)
+_DRIFT = f"""
+WITH {RAW_SQL}, damaged AS (
+  SELECT * REPLACE (CASE WHEN n % 12 = 2 THEN '/admin' ELSE page END AS page) FROM dated),
+beside AS (
+  SELECT *, CAST(coalesce(sum(failing) OVER earlier, 0) AS BIGINT) AS earlier_failing,
+    CAST(coalesce(sum(total) OVER earlier, 0) AS BIGINT) AS earlier_total
+  FROM ({_LOAD_RULES})
+  WINDOW earlier AS (PARTITION BY rule ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+shares AS (
+  SELECT *, abs(failing / total - earlier_failing / nullif(earlier_total, 0)) AS gap,
+    (failing + earlier_failing) / (total + earlier_total) AS pooled
+  FROM beside)
+SELECT 'part-' || step AS load_id, rule, failing, total, earlier_failing, earlier_total,
+  coalesce(gap > 0.01 AND gap > 4 * sqrt(pooled * (1 - pooled) * (1 / total + 1 / nullif(earlier_total, 0))), FALSE) AS drifted
+FROM shares
+"""
+
 _BRONZE_COUNTS = (
     f"WITH {RAW_SQL}, {_BROKEN}, "
     "lines AS (SELECT event_date, CAST(NULL AS VARCHAR) AS ingest_fault FROM dated "
@@ -252,6 +275,7 @@ SQL: dict[str, str] = {
         "SELECT event_date, 'part-' || n % 3 AS load_id, count(*) AS messages FROM dated "
         "WHERE n % 3 <> 1 OR n % 2 = 0 GROUP BY ALL"
     ),
+    "load_drift": _DRIFT,
     "silver_scan": _ALL_SILVER,
     # gold
     "gold_daily_user_metrics": _ALL_GOLD,

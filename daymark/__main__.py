@@ -90,6 +90,8 @@ def parser() -> argparse.ArgumentParser:
     for table in ("customers", "orders", "lineitem"):
         sub.add_argument(f"--{table}", help=f"Parquet folder of {table}, where the KPI needs it")
 
+    stage("drift", "report on loads that break a rule more or less often than the loads before them")
+
     for name, text in (
         ("silver", "rebuild silver and quarantine from bronze"),
         ("gold", "rebuild daily user metrics from silver"),
@@ -150,6 +152,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[dt.date]:
             with shuffles_for(spark, size):
                 KPIS[args.name](_Inputs(spark, home, args)).write.mode("overwrite").parquet(args.out)
             return []
+        case "drift":
+            # A row per load and rule at most.
+            found = lake.load_drift(spark, home).where("drifted").orderBy("recorded_at", "load_id", "rule").collect()
+            for row in found:
+                print(f"{row.load_id:40} {row.rule:35} {row.failing}/{row.total} before: {row.earlier_failing}/{row.earlier_total}")
+            return []
         case "audit":
             # A few dozen rows, one per check.
             with shuffles_for(spark, files.total_bytes(spark, home.bronze)):

@@ -20,12 +20,13 @@ from pyspark.sql import types as T
 from daymark.operators.daily_metrics import daily_user_metrics
 from daymark.operators.dedup import dedup_events
 from daymark.operators.screening import ACCEPTED, REJECTED, screen
+from daymark.plans import load_checks
 from daymark.plans.identity import Identities
 from daymark.plans.loads import PACK, SMALL_BYTES, Loads
 from daymark.schemas import BRONZE, BRONZE_STORED, EVENT_COLUMNS, EVENT_TEXT, GOLD, QUARANTINE, SILVER
 from daymark.session import shuffles_for, use_utc
 from daymark import filesystem as files
-from daymark.sinks.tables import replace_partitions
+from daymark.sinks.tables import replace_and_count, replace_partitions
 from daymark.sources.landing import read_landing, unwrap
 from daymark.sources.tables import as_text_events, read_table, table_dates
 
@@ -87,7 +88,8 @@ def write_load(events: DataFrame, lake: Lake, load_id: str) -> list[dt.date]:
     replaces it, in packs too. The dates are noted as pending before anything is removed and
     after anything is added. Between, the load is noted as open, and `refresh`
     finishes the notes of open loads, so a rebuild cannot miss one when a load fails.
-    The calls to the file system follow the load's own dates, not those of the lake.
+    The calls to the file system follow the load's own dates, not those of the lake. The write also
+    counts the rows that break each rule of the quality report, for the load's record.
     """
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", load_id) or load_id.startswith(PACK):
         raise ValueError(f"load_id may hold letters, digits, '_', '.' and '-' only, not start with {PACK}: {load_id!r}")
@@ -98,13 +100,17 @@ def write_load(events: DataFrame, lake: Lake, load_id: str) -> list[dt.date]:
     files.touch(spark, f"{lake.open_loads}/{load_id}")
     earlier = loads.found(load_id) if was_open else loads.places(load_id)
     _note_pending(spark, lake, sorted(earlier))
+    checks = load_checks.LoadChecks(spark, lake.root)
+    checks.remove(load_id)
     loads.withdraw(load_id, {d: place for d, place in earlier.items() if place != load_id})
-    written = replace_partitions(
+    written, counts = replace_and_count(
         events.withColumn("load_id", F.lit(load_id)),
         lake.bronze,
         ("event_date", "load_id"),
         [f"event_date={d.isoformat()}/load_id={load_id}" for d, place in earlier.items() if place == load_id],
+        load_checks.measures(),
     )
+    checks.note(load_id, counts)
     dates = [dt.date.fromisoformat(p.split("/")[0].split("=")[1]) for p in written]
     _close(spark, lake, load_id, dates)
     return sorted({*earlier, *dates})
@@ -135,6 +141,37 @@ def record_identities(spark: SparkSession, lake: Lake) -> None:
     files.each(lambda load_id: files.delete(spark, f"{lake.new_loads}/{load_id}"), new)
 
 
+def record_missing(spark: SparkSession, lake: Lake) -> None:
+    """Count the loads that have no record: of a lake made before there were any, or cut off before theirs was written.
+
+    Reads the rows of those loads only, once for all. Loads that are being written are left out.
+    """
+    loads, checks = _loads(spark, lake), load_checks.LoadChecks(spark, lake.root)
+    loads.adopt()
+    loads.recover()
+    known = files.file_names(spark, loads.manifests) - files.file_names(spark, lake.open_loads) - {"_complete"}
+    missing = sorted(known - checks.loads())
+    if not missing:
+        return
+    dates = {d for places in files.each(loads.places, missing) for d in places}
+    rows = read_bronze(spark, lake, dates).where(F.col("load_id").isin(missing))
+    counted = rows.groupBy("load_id").agg(*[c.alias(name) for name, c in load_checks.measures().items()])
+    found = {r.load_id: r.asDict() for r in counted.collect()}  # a row per load
+    files.each(lambda load_id: checks.note(load_id, found.get(load_id, {})), missing)
+
+
+def load_report(spark: SparkSession, lake: Lake) -> DataFrame:
+    """One row per closed load and rule: load_id, recorded_at, rule, failing, total. Reads records, no bronze rows."""
+    use_utc(spark)
+    record_missing(spark, lake)
+    return load_checks.LoadChecks(spark, lake.root).report()
+
+
+def load_drift(spark: SparkSession, lake: Lake, deviations: float = 4.0, least: float = 0.01) -> DataFrame:
+    """The load report beside what earlier loads were like; see `load_checks.drift`."""
+    return load_checks.drift(load_report(spark, lake), deviations, least)
+
+
 def _loads(spark: SparkSession, lake: Lake) -> Loads:
     return Loads(spark, lake.root, lake.bronze)
 

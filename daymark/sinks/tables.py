@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, Row
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from daymark import filesystem as files
@@ -32,32 +32,49 @@ def replace_partitions(
     splits a partition that is too large for one task. Without it the caller
     has brought them together already.
     """
+    return replace_and_count(df, path, keys, owned, {}, gather)[0]
+
+
+def replace_and_count(
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    owned: Iterable[str],
+    counts: Mapping[str, Column],
+    gather: bool = True,
+) -> tuple[list[str], dict[str, int]]:
+    """As `replace_partitions`, and aggregates of the rows written, from the write itself; none if there are no rows.
+
+    They are collected behind the shuffle that gathers the rows, in the last stage, where every
+    task counts once, however many executors are lost. In an earlier stage the rows of a task
+    that is run again would count again.
+    """
     spark, owned = df.sparkSession, list(owned)
     seen = Observation()
-    # A set, so that a task that runs twice does no harm.
-    rows = df.observe(seen, F.collect_set(F.struct(*keys)).alias("partitions"))
     (
-        (rows.hint("rebalance", *keys) if gather else rows)
+        (df.hint("rebalance", *keys) if gather else df)
+        .observe(seen, F.collect_set(F.struct(*keys)).alias("partitions"), *[c.alias(name) for name, c in counts.items()])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .parquet(path)
     )
-    written = sorted("/".join(f"{k}={_text(r[k])}" for k in keys) for r in _observed(seen, df))
+    found = _observed(seen, df)
+    written = sorted("/".join(f"{k}={_text(r[k])}" for k in keys) for r in found.pop("partitions", []))
     stale = sorted(set(owned) - set(written))
     files.each(lambda p: files.delete(spark, f"{path}/{p}"), stale)
-    return written
+    return written, found
 
 
-def _observed(seen: Observation, df: DataFrame) -> list[Row]:
-    """The partitions met while writing; none if Spark found out that there are no rows at all."""
+def _observed(seen: Observation, df: DataFrame) -> dict:
+    """What was observed while writing; nothing if Spark found out that there are no rows at all."""
     try:
-        return seen.get["partitions"]
+        return dict(seen.get)
     except Py4JJavaError:
         # The observation goes with the plan's empty branch. Anything else must not delete data.
         if not df.isEmpty():
             raise
-        return []
+        return {}
 
 
 def _text(value: str | dt.date) -> str:

@@ -69,6 +69,7 @@ def test_golden_counts(spark):
 STORED = {
     "bronze_ingest", "bronze_backfill", "ingest_quarantine", "silver_rebuild", "silver_scan", "gold_rebuild",
     "publish_replace", "dq_reconciliation", "stream_equals_batch", "stream_dedup", "undated_redelivery", "bronze_compacted",
+    "load_drift",
 }
 # The buffer of a sketch is an object, of bounded size and with a partial step.
 SKETCHES = {"kpi_active_users"}
