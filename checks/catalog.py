@@ -351,6 +351,24 @@ def active_users(spark, sf_dir):
     return exact.join(merged, ["as_of", "days"]).select("as_of", "days", "active_users", close.alias("within_5_percent"))
 
 
+def quintile_cuts(spark, sf_dir):
+    """How far the rank of each cut from a sketch is from the share it stands for, over all customers."""
+    measures, error = kpi.rfm_measures(table(spark, sf_dir, "orders")), 0.001
+    shares = [0.2, 0.4, 0.6, 0.8]
+    cut = F.posexplode(F.arrays_zip("cuts", F.array(*[F.lit(s) for s in shares]).alias("share")))
+    cuts = kpi.quantile_cuts(measures, shares, error).select("measure", cut.alias("place", "at"))
+    ranked = measures.join(cuts, "measure").groupBy("measure", F.col("at.share").alias("share")).agg(
+        F.count("*").alias("customers"),
+        F.count(F.when(F.col("value") < F.col("at.cuts"), 1)).alias("below"),
+        F.count(F.when(F.col("value") <= F.col("at.cuts"), 1)).alias("up_to"),
+    )
+    # A rank is a whole number, so it may be one off beside the error.
+    slack = error * F.col("customers") + 1
+    wanted = F.col("share") * F.col("customers")
+    close = (F.col("below") <= wanted + slack) & (F.col("up_to") >= wanted - slack)
+    return ranked.select("measure", "share", "customers", close.alias("within_bound"))
+
+
 def full_customer_view(spark, sf_dir):
     view = customer_view(
         table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders"), _gold(spark, sf_dir)
@@ -402,6 +420,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpi_rfm_segments": lambda s, d: kpi.rfm_segments(table(s, d, "orders")),
     "kpi_daily_summary": lambda s, d: _rounded(kpi.daily_summary(_silver(s, d)), 2, "revenue"),
     "kpi_active_users": active_users,
+    "kpi_quintile_cuts": quintile_cuts,
     "kpi_totals_by_grain": lambda s, d: _rounded(kpi.totals_by_grain(_silver(s, d)), 2, "revenue"),
     "customer_360": full_customer_view,
 }

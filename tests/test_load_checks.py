@@ -8,7 +8,7 @@ from daymark.operators import quality
 from daymark.plans import lake, load_checks
 from daymark.sinks import tables
 from daymark.sources.landing import unwrap
-from tests.helpers import INGEST_DATE, envelope, event, events_df, lines_df, rows
+from helpers import INGEST_DATE, envelope, event, events_df, lines_df, rows
 
 
 def load(spark, home, load_id, *events):
