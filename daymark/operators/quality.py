@@ -10,7 +10,7 @@ from daymark.schemas import AMOUNT_RANGE, ERROR_CODES, EVENT_TYPES, PAGES, PRODU
 from daymark.session import require_utc
 
 
-def row_counts() -> dict[str, Column]:
+def row_rules() -> dict[str, Column]:
     """Rule name -> condition under which a row fails it. Null counts as no failure."""
     c = F.col
     has_item = c("event_type").isin("add_to_cart", "checkout")
@@ -40,7 +40,7 @@ def row_counts() -> dict[str, Column]:
 def row_report(events: DataFrame) -> DataFrame:
     """Failing and total rows per rule on single rows, all in one pass."""
     require_utc(events.sparkSession)
-    rules = row_counts()
+    rules = row_rules()
     return (
         events.agg(
             F.count("*").alias("total"),

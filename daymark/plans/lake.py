@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daymark.functions.events import count_where
 from daymark.operators.daily_metrics import daily_user_metrics
 from daymark.operators.dedup import dedup_events
 from daymark.operators.screening import ACCEPTED, REJECTED, screen
@@ -108,7 +109,7 @@ def write_load(events: DataFrame, lake: Lake, load_id: str) -> list[dt.date]:
         lake.bronze,
         ("event_date", "load_id"),
         [f"event_date={d.isoformat()}/load_id={load_id}" for d, place in earlier.items() if place == load_id],
-        load_checks.measures(),
+        load_checks.conditions(),
     )
     checks.note(load_id, counts)
     dates = [dt.date.fromisoformat(p.split("/")[0].split("=")[1]) for p in written]
@@ -155,7 +156,7 @@ def record_missing(spark: SparkSession, lake: Lake) -> None:
         return
     dates = {d for places in files.each(loads.places, missing) for d in places}
     rows = read_bronze(spark, lake, dates).where(F.col("load_id").isin(missing))
-    counted = rows.groupBy("load_id").agg(*[c.alias(name) for name, c in load_checks.measures().items()])
+    counted = rows.groupBy("load_id").agg(*[count_where(c).alias(name) for name, c in load_checks.conditions().items()])
     found = {r.load_id: r.asDict() for r in counted.collect()}  # a row per load
     files.each(lambda load_id: checks.note(load_id, found.get(load_id, {})), missing)
 

@@ -14,22 +14,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daymark import filesystem as files
-from daymark.functions.events import count_where
-from daymark.operators.quality import row_counts
+from daymark.operators.quality import row_rules
 
 OPENED = "message_opened"
 _RECORD = "load_id string, opened long, unopened long, failing map<string, long>"
 _FILE = "load-"
 
 
-def measures() -> dict[str, Column]:
-    """Aggregates of bronze rows that make a record: fixed-width buffers, one pass.
-
-    As everywhere, the rules are for rows that could be opened.
-    """
+def conditions() -> dict[str, Column]:
+    """What is counted in bronze rows for a record. As everywhere, the rules are for rows that could be opened."""
     opened = F.col("ingest_fault").isNull()
-    counts = {rule: count_where(opened & failing) for rule, failing in row_counts().items()}
-    return {"opened": count_where(opened), "unopened": count_where(~opened), **counts}
+    return {"opened": opened, "unopened": ~opened, **{rule: opened & failing for rule, failing in row_rules().items()}}
 
 
 class LoadChecks:
@@ -45,8 +40,8 @@ class LoadChecks:
         files.delete(self.spark, f"{self.home}/{_FILE}{load_id}")
 
     def note(self, load_id: str, counts: Mapping[str, int]) -> None:
-        """Write a load's record from the values of `measures`; no counts stand for no rows."""
-        failing = {name: counts.get(name, 0) for name in measures()}
+        """Write a load's record: how many rows meet each of `conditions`; no counts stand for no rows."""
+        failing = {name: counts.get(name, 0) for name in conditions()}
         record = {"load_id": load_id, "opened": failing.pop("opened"), "unopened": failing.pop("unopened")}
         files.write_text(self.spark, f"{self.home}/{_FILE}{load_id}", json.dumps({**record, "failing": failing}))
 

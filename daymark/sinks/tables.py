@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from daymark import filesystem as files
+from daymark.functions.events import count_where
+
+_MET = "_conditions_met"
 
 
 def replace_partitions(
@@ -40,20 +44,25 @@ def replace_and_count(
     path: str,
     keys: Sequence[str],
     owned: Iterable[str],
-    counts: Mapping[str, Column],
+    conditions: Mapping[str, Column],
     gather: bool = True,
 ) -> tuple[list[str], dict[str, int]]:
-    """As `replace_partitions`, and aggregates of the rows written, from the write itself; none if there are no rows.
+    """As `replace_partitions`, and how many of the rows written meet each condition (63 at most); nothing if there are no rows.
 
-    They are collected behind the shuffle that gathers the rows, in the last stage, where every
-    task counts once, however many executors are lost. In an earlier stage the rows of a task
-    that is run again would count again.
+    The counts come from the write itself. They are collected behind the shuffle that gathers the
+    rows, in the last stage, where every task counts once, however many executors are lost. In an
+    earlier stage the rows of a task that is run again would count again. Metrics are not compiled, so the conditions are tested in a
+    projection before, which is, and only their bits are counted.
     """
     spark, owned = df.sparkSession, list(owned)
-    seen = Observation()
+    seen, bits = Observation(), [F.when(c, 1 << i).otherwise(0).cast("long") for i, c in enumerate(conditions.values())]
+    rows = df.hint("rebalance", *keys) if gather else df
+    if bits:
+        rows = rows.withColumn(_MET, reduce(Column.bitwiseOR, bits))
+    counts = [count_where(F.col(_MET).bitwiseAND(F.lit(1 << i)) != 0).alias(name) for i, name in enumerate(conditions)]
     (
-        (df.hint("rebalance", *keys) if gather else df)
-        .observe(seen, F.collect_set(F.struct(*keys)).alias("partitions"), *[c.alias(name) for name, c in counts.items()])
+        rows.observe(seen, F.collect_set(F.struct(*keys)).alias("partitions"), *counts)
+        .drop(_MET)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)

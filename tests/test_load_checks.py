@@ -83,13 +83,13 @@ def test_no_loads(spark, home):
 def test_counts_are_collected_in_the_last_stage(spark, tmp_path):
     """Behind the shuffle, so that a map task that runs again does not count again."""
     df = events_df(spark, *bad(2, 6)).withColumn("load_id", tables.F.lit("a"))
-    plan = df.hint("rebalance", "event_date").observe(tables.Observation(), load_checks.measures()["opened"].alias("n"))
+    plan = df.hint("rebalance", "event_date").observe(tables.Observation(), tables.F.count("*").alias("n"))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.index("CollectMetrics") < text.index("Exchange")
     path = str(tmp_path / "t")
-    written, counts = tables.replace_and_count(df, path, ("event_date",), [], load_checks.measures())
+    written, counts = tables.replace_and_count(df, path, ("event_date",), [], load_checks.conditions())
     assert written == ["event_date=2024-01-05"] and counts["opened"] == 6 and counts["page_accepted"] == 2
-    assert tables.replace_and_count(df.limit(0), path, ("event_date",), written, load_checks.measures())[0] == []
+    assert tables.replace_and_count(df.limit(0), path, ("event_date",), written, load_checks.conditions())[0] == []
 
 
 def test_drift(spark, home, capsys):
