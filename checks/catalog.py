@@ -6,6 +6,8 @@ Rounding is for the comparison only: double sums depend on the order of rows.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from statistics import median
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from checks.raw_events import (
     undated_copies,
     unsound_gold,
 )
+from daymark import filesystem as files
 from daymark.operators import contracts, quality, screening
 from daymark.operators.daily_metrics import daily_user_metrics
 from daymark.operators.dedup import dedup_events
@@ -202,6 +205,16 @@ def silver_rebuild(spark, sf_dir):
     return lake.read_silver(spark, home)
 
 
+def silver_large_dates(spark, sf_dir):
+    """Silver of a lake in which half of the dates count as large and have a shuffle of their own."""
+    home = _loaded_lake(spark, sf_dir)
+    dates = lake.table_dates(spark, home.bronze)
+    sizes = [files.total_bytes(spark, f"{home.bronze}/event_date={d.isoformat()}") for d in dates]
+    home = replace(home, large_date_bytes=int(median(sizes)))
+    lake.rebuild_silver(spark, home, dates)
+    return lake.read_silver(spark, home)
+
+
 def silver_scan(spark, sf_dir):
     """Reads the stored silver table through its contract."""
     home = _loaded_lake(spark, sf_dir)
@@ -311,14 +324,14 @@ def stream_dedup(spark, sf_dir):
     landing, out = scratch_path(spark, "landing"), scratch_path(spark, "stream")
     events = dated_events(spark, sf_dir)
     events.repartition(_cores(spark)).write.parquet(landing)
-    files = (
+    landed = (
         spark.readStream.schema(events.schema)
         .option("maxFilesPerTrigger", _some_files(spark))
         .parquet(landing)
         .select("*", "_metadata.file_name")
     )
     query = (
-        dedup_stream(files, "2 days", "file_name")
+        dedup_stream(landed, "2 days", "file_name")
         .drop("file_name")
         .writeStream.format("parquet")
         .option("path", out)
@@ -395,6 +408,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_compacted": bronze_compacted,
     "load_drift": load_drift,
     "silver_scan": silver_scan,
+    "silver_large_dates": silver_large_dates,
     "gold_daily_user_metrics": lambda s, d: _rounded_gold(_gold(s, d)),
     "gold_rebuild": gold_rebuild,
     "gold_invariants": lambda s, d: _both_golds(contracts.metric_invariants, _gold(s, d)),

@@ -277,6 +277,7 @@ SQL: dict[str, str] = {
     ),
     "load_drift": _DRIFT,
     "silver_scan": _ALL_SILVER,
+    "silver_large_dates": _ALL_SILVER,
     # gold
     "gold_daily_user_metrics": _ALL_GOLD,
     "gold_rebuild": _ALL_GOLD,

@@ -10,8 +10,9 @@ from __future__ import annotations
 import datetime as dt
 import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,8 @@ from daymark.sources.tables import as_text_events, read_table, table_dates
 
 # Parquet bytes rebuilt in one go.
 GROUP_BYTES = 2**40
+# Parquet bytes from which a date has a shuffle of its own in a rebuild: at most 32 of them are in one run.
+LARGE_DATE_BYTES = GROUP_BYTES // 32
 
 
 @dataclass(frozen=True)
@@ -40,11 +43,13 @@ class Lake:
     """Where the tables are.
 
     `identity_buckets` is for a lake that has no identity table yet: a bucket's ids should be some
-    GB at most. It then stays as it is.
+    GB at most. It then stays as it is. `large_date_bytes` says from which size on a date is rebuilt
+    with one shuffle; see `_replace_dates`.
     """
 
     root: str
     identity_buckets: int = 8
+    large_date_bytes: int = LARGE_DATE_BYTES
 
     @property
     def bronze(self) -> str:
@@ -275,34 +280,61 @@ def rebuild_silver(spark: SparkSession, lake: Lake, dates: Iterable[dt.date]) ->
     """
     use_utc(spark)
     record_identities(spark, lake)
-    for group, size in _groups(spark, lake.bronze, dates):
+    for group in _groups(spark, lake.bronze, dates):
         events = read_events(spark, lake, group).drop("load_id")
-        with shuffles_for(spark, size):
-            replace_partitions(
-                screen(dedup_events(events)),
-                lake.screened,
-                ("verdict", "event_date"),
-                [f"verdict={v}/event_date={d.isoformat()}" for v in (ACCEPTED, REJECTED) for d in group],
-            )
+        owned = [f"verdict={v}/event_date={d.isoformat()}" for v in (ACCEPTED, REJECTED) for d in group]
+        _replace_dates(
+            lake, group, events, lambda rows: screen(dedup_events(rows)), lake.screened, ("verdict", "event_date"), owned
+        )
 
 
 def rebuild_gold(spark: SparkSession, lake: Lake, dates: Iterable[dt.date]) -> None:
     """Aggregate the given dates anew from silver."""
     use_utc(spark)
-    for group, size in _groups(spark, lake.silver, dates):
-        with shuffles_for(spark, size):
-            replace_partitions(
-                daily_user_metrics(read_silver(spark, lake, group)),
-                lake.gold,
-                ("event_date",),
-                [f"event_date={d.isoformat()}" for d in group],
-            )
+    for group in _groups(spark, lake.silver, dates):
+        owned = [f"event_date={d.isoformat()}" for d in group]
+        _replace_dates(lake, group, read_silver(spark, lake, group), daily_user_metrics, lake.gold, ("event_date",), owned)
+
+
+def _replace_dates(
+    lake: Lake,
+    group: Mapping[dt.date, int],
+    rows: DataFrame,
+    make: Callable[[DataFrame], DataFrame],
+    path: str,
+    keys: Sequence[str],
+    owned: list[str],
+) -> None:
+    """Write what `make` makes of `rows` in place of `owned`; `group` has the dates' sizes."""
+    with shuffles_for(rows.sparkSession, sum(group.values())):
+        large = [d for d, size in group.items() if size >= lake.large_date_bytes]
+        made = _by_date(rows, large, len(large) < len(group), make, keys)
+        replace_partitions(made, path, keys, owned, gather=False)
+
+
+def _by_date(
+    rows: DataFrame, large: Sequence[dt.date], others: bool, make: Callable[[DataFrame], DataFrame], keys: Sequence[str]
+) -> DataFrame:
+    """`make` of the rows, dealt out for a write by `keys`; `others` tells if there are dates beside the large ones.
+
+    `make` shuffles by an id. Many dates in one such shuffle would leave a file per date in each
+    task, so the rows of small dates are gathered by date in a second one. A large date fills many
+    tasks alone: it gets a shuffle of its own, whose partitions are its files, and its rows move once.
+    All are parts of one write, so large dates run beside each other.
+    """
+    date = F.col("event_date")
+    # The date as a literal hides how the parts are distributed: a union must not deal equal ones out together.
+    parts = [make(rows.where(date == d)).withColumn("event_date", F.lit(d)) for d in large]
+    if others:
+        rest = rows.where(~date.isin(*large)) if large else rows
+        parts.append(make(rest).hint("rebalance", *keys))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _groups(
     spark: SparkSession, table: str, dates: Iterable[dt.date], most_bytes: int = GROUP_BYTES
-) -> list[tuple[list[dt.date], int]]:
-    """Dates in order, in runs of at most `most_bytes` of `table`, with each run's size.
+) -> list[dict[dt.date, int]]:
+    """Dates in order with their sizes, in runs of at most `most_bytes` of `table`.
 
     Dates do not depend on each other, so a long history is rebuilt run by run:
     the shuffle of one run at a time is on the cluster's disks, and a failure
@@ -312,13 +344,12 @@ def _groups(
     sizes = files.each(
         lambda d: files.total_bytes(spark, f"{table}/event_date={d.isoformat()}"), dates
     )
-    groups: list[tuple[list[dt.date], int]] = []
+    groups: list[dict[dt.date, int]] = []
     for date, size in zip(dates, sizes):
-        if groups and groups[-1][1] + size <= most_bytes:
-            group, total = groups.pop()
-            groups.append(([*group, date], total + size))
+        if groups and sum(groups[-1].values()) + size <= most_bytes:
+            groups[-1][date] = size
         else:
-            groups.append(([date], size))
+            groups.append({date: size})
     return groups
 
 
@@ -342,7 +373,7 @@ def refresh(
     if dates is None:
         dates = {dt.date.fromisoformat(n.rsplit("event_date=", 1)[-1][:10]) for n in notes}
     dates = sorted(set(dates))
-    for group, _ in _groups(spark, lake.bronze, dates):
+    for group in _groups(spark, lake.bronze, dates):
         rebuild_silver(spark, lake, group)
         rebuild_gold(spark, lake, group)
         done = {f"event_date={d.isoformat()}" for d in group}

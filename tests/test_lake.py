@@ -168,7 +168,7 @@ def test_a_long_history_is_rebuilt_in_runs(spark, home, monkeypatch):
     load(spark, home, "a", *[event(event_id=f"e{d}", event_timestamp=d) for d in days])
     one = lake.files.total_bytes(spark, f"{home.bronze}/event_date=2024-01-01")
     dates = table_dates(spark, home.bronze)
-    runs = lambda limit: [len(g) for g, _ in lake._groups(spark, home.bronze, dates, limit)]
+    runs = lambda limit: [len(g) for g in lake._groups(spark, home.bronze, dates, limit)]
     assert runs(10 * one) == [5]
     assert runs(2 * one + one // 2) == [2, 2, 1]
     assert runs(1) == [1] * 5
@@ -207,6 +207,60 @@ def test_one_file_per_partition_however_many_tasks(spark, home):
         assert len(files(table)) == 5
 
 
+def uneven_days():
+    """Five days, the first with most of the rows: copies, a hot id, no ids, no dates, rejected rows."""
+    for day, n in enumerate((400, 3, 3, 3, 3), 1):
+        at = f"2024-01-0{day}T08:00:00+00:00"
+        for i in range(n):
+            yield event(event_id=f"{day}-{i}", event_timestamp=at, user_id=str(i % 7), amount=f"{i}.25")
+            yield event(event_id="hot", event_timestamp=at, page=None if i % 2 else "/home")
+        yield event(event_id=f"{day}-0", event_timestamp=at, user_id="0", amount="0.25")
+        yield from [event(event_id=None, event_timestamp=at)] * 2
+        yield event(event_id=f"{day}-bad", event_timestamp=at, page="/admin")
+        yield event(event_id=f"{day}-1", event_timestamp=None)
+
+
+@pytest.mark.parametrize("large", ["all", "first"])
+def test_dates_with_a_shuffle_of_their_own_come_out_the_same(spark, tmp_path, large):
+    homes = [lake.Lake(str(tmp_path / "together"))]
+    load(spark, homes[0], "a", *uneven_days())
+    sizes = sorted(lake._groups(spark, homes[0].bronze, table_dates(spark, homes[0].bronze))[0].values())
+    homes.append(lake.Lake(str(tmp_path / "apart"), large_date_bytes=0 if large == "all" else sizes[-1]))
+    load(spark, homes[1], "a", *uneven_days())
+    for home in homes:
+        lake.refresh(spark, home)
+    for read in (lake.read_silver, lake.read_quarantine, lake.read_gold):
+        one, other = (rows(read(spark, home)) for home in homes)
+        assert one and one == other
+    # Adaptive execution has merged the small partitions of each part.
+    assert len(files(homes[1].silver)) == len(files(homes[0].silver)) == len(table_dates(spark, homes[0].silver))
+
+    load(spark, homes[1], "a", event(event_timestamp="2024-01-03T08:00:00Z"))
+    lake.refresh(spark, homes[1])
+    assert [r.event_date.day for r in lake.read_gold(spark, homes[1]).collect()] == [3]
+
+
+def test_rows_of_a_large_date_are_shuffled_once(spark, home):
+    load(spark, home, "a", *uneven_days())
+    dates = table_dates(spark, home.bronze)
+    bronze = lake.read_bronze(spark, home, dates).drop("load_id")
+    clean = lambda rows: screening.screen(dedup_events(rows))
+
+    def plan(large, others):
+        made = lake._by_date(bronze, large, others, clean, ("verdict", "event_date"))
+        return made._jdf.queryExecution().executedPlan().toString()
+
+    one = plan(dates[:1], False)
+    assert one.count("Exchange") == 1
+    # Copies go before the rows move, a hot id's too.
+    assert one.index("Final") < one.index("Exchange hashpartitioning") < one.index("Partial")
+    assert plan(dates[:2], False).count("Exchange") == 2
+    assert plan(dates[:2], True).count("Exchange") == 4
+    assert plan([], True).count("Exchange") == 2
+    gold = lake._by_date(screening.clean(bronze), dates[:1], False, daily_user_metrics, ("event_date",))
+    assert gold._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
 def test_audit_passes_a_sound_lake_and_finds_a_wrong_table(spark, home):
     load(spark, home, "a", event(), event(), event(event_id=None), event(event_id="e2", user_id="x"))
     lake.refresh(spark, home)
