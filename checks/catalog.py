@@ -5,6 +5,7 @@ Rounding is for the comparison only: double sums depend on the order of rows.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import replace
 from statistics import median
@@ -26,6 +27,7 @@ from daymark import filesystem as files
 from daymark.operators import contracts, quality, screening
 from daymark.operators.daily_metrics import daily_user_metrics
 from daymark.operators.dedup import dedup_events
+from daymark.operators.journeys import checkout_carts, conversion_daily, sessions
 from daymark.plans import kpi, lake
 from daymark.plans.customer_view import customer_view
 from daymark.schemas import EVENT_COLUMNS, GOLD
@@ -382,6 +384,10 @@ def quintile_cuts(spark, sf_dir):
     return ranked.select("measure", "share", "customers", close.alias("within_bound"))
 
 
+# The generated events of a user are days apart, not minutes.
+PAUSE = dt.timedelta(days=2)
+
+
 def full_customer_view(spark, sf_dir):
     view = customer_view(
         table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders"), _gold(spark, sf_dir)
@@ -436,6 +442,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpi_active_users": active_users,
     "kpi_quintile_cuts": quintile_cuts,
     "kpi_totals_by_grain": lambda s, d: _rounded(kpi.totals_by_grain(_silver(s, d)), 2, "revenue"),
+    "kpi_checkout_carts": lambda s, d: checkout_carts(_silver(s, d), PAUSE),
+    "kpi_sessions": lambda s, d: _rounded(sessions(_silver(s, d), PAUSE), 2, "revenue"),
+    "kpi_conversion_daily": lambda s, d: _rounded(conversion_daily(sessions(_silver(s, d), PAUSE)), 2, "revenue"),
     "customer_360": full_customer_view,
 }
 

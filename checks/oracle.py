@@ -128,6 +128,23 @@ def _one_of(identity: str) -> str:
     )
 
 
+_SESSIONS = """
+paused AS (
+  SELECT *, event_timestamp_ts - lag(event_timestamp_ts) OVER by_user <= INTERVAL 2 DAY AS goes_on FROM silver
+  WHERE event_timestamp_ts IS NOT NULL
+  WINDOW by_user AS (PARTITION BY user_id ORDER BY event_timestamp_ts, event_id, event_date)),
+numbered AS (
+  SELECT *, count(*) FILTER (goes_on IS NOT TRUE) OVER (
+    PARTITION BY user_id ORDER BY event_timestamp_ts, event_id, event_date ROWS UNBOUNDED PRECEDING) AS place
+  FROM paused),
+sessions AS (
+  SELECT user_id, min(event_timestamp_ts) AS session_start, max(event_timestamp_ts) AS session_end,
+    count(*) AS events_count, count(*) FILTER (event_type = 'add_to_cart') AS carts,
+    count(*) FILTER (event_type = 'checkout') AS checkouts,
+    round(coalesce(sum(amount) FILTER (event_type = 'checkout'), 0), 2) AS revenue
+  FROM numbered GROUP BY user_id, place)
+"""
+
 _EVENT = "event_id, user_id, event_type, event_timestamp, page, product_id, amount, error_code, source"
 _ALL_SILVER = _silver("SELECT * FROM silver")
 _ALL_GOLD = _gold("SELECT * FROM gold")
@@ -399,6 +416,27 @@ FROM orders LEFT JOIN lines ON o_orderkey = l_orderkey GROUP BY 1
         "round(coalesce(sum(amount) FILTER (event_type = 'checkout'), 0), 2) AS revenue FROM silver "
         "GROUP BY GROUPING SETS ((), (event_date), (event_date, event_type), (event_date, page))"
     ),
+    "kpi_checkout_carts": _silver(
+        """
+        SELECT c.event_id, c.event_date, c.user_id, c.event_timestamp_ts, c.amount, k.event_id AS cart_event_id,
+          k.event_timestamp_ts AS cart_ts,
+          CAST((epoch_us(c.event_timestamp_ts) - epoch_us(k.event_timestamp_ts)) // 1000000 AS BIGINT) AS seconds_since_cart
+        FROM (SELECT * FROM silver WHERE event_type = 'checkout') c
+        LEFT JOIN (SELECT * FROM silver WHERE event_type = 'add_to_cart') k
+          ON k.user_id = c.user_id AND k.event_timestamp_ts <= c.event_timestamp_ts
+            AND k.event_timestamp_ts >= c.event_timestamp_ts - INTERVAL 2 DAY
+        QUALIFY row_number() OVER (PARTITION BY c.event_id, c.event_date
+          ORDER BY k.event_timestamp_ts DESC NULLS LAST, k.event_id DESC) = 1
+        """
+    ),
+    "kpi_sessions": f"WITH {RAW_SQL}, {_TYPED}, {_SESSIONS} SELECT * FROM sessions",
+    "kpi_conversion_daily": f"""
+        WITH {RAW_SQL}, {_TYPED}, {_SESSIONS}
+        SELECT CAST(session_start AS DATE) AS event_date, count(*) AS sessions,
+          count(*) FILTER (carts > 0) AS with_cart, count(*) FILTER (carts > 0 AND checkouts > 0) AS converted,
+          round(sum(revenue), 2) AS revenue
+        FROM sessions GROUP BY 1
+    """,
     "kpi_daily_summary": _silver(
         "SELECT event_date, count(DISTINCT user_id) AS active_users, count(*) AS events_count, "
         "count(*) FILTER (event_type = 'add_to_cart') AS carts, "

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from daymark import filesystem as files
+from daymark.operators import journeys
 from daymark.plans import kpi, lake
 from daymark.plans.audit import audit
 from daymark.plans.customer_view import customer_view
@@ -48,6 +49,9 @@ KPIS: dict[str, Callable[[_Inputs], DataFrame]] = {
     "churn_proxy": lambda i: kpi.churn_proxy(i.gold, i.table("customers"), i.need("as_of")),
     "rfm_segments": lambda i: kpi.rfm_segments(i.table("orders")),
     "daily_summary": lambda i: kpi.daily_summary(i.silver),
+    "checkout_carts": lambda i: journeys.checkout_carts(i.silver),
+    "sessions": lambda i: journeys.sessions(i.silver),
+    "conversion_daily": lambda i: journeys.conversion_daily(journeys.sessions(i.silver)),
     "customer_view": lambda i: customer_view(i.table("customers"), i.table("orders"), i.gold),
 }
 
