@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from daymark import filesystem as files
 from daymark.functions.events import stated_date
-from daymark.session import stage
+from daymark.session import listings_shared, stage
 from daymark.sinks.tables import replace_partitions
 
 DATED, UNDATED = "dated", "undated"
@@ -63,7 +63,8 @@ class Identities:
     def _read(self, paths: list[str]) -> DataFrame:
         if not paths:
             return self.spark.createDataFrame([], _ENTRY)
-        return self.spark.read.schema(_ENTRY).parquet(*paths)
+        with listings_shared(self.spark):
+            return self.spark.read.schema(_ENTRY).parquet(*paths)
 
     def record(self, events: DataFrame, loads: Iterable[str]) -> None:
         """Replace what is known of these loads by the ids of their bronze rows, in one pass."""
@@ -76,9 +77,9 @@ class Identities:
         entries = rows.groupBy("kind", "bucket", "load_id", "event_id", day).agg(F.min("event_date").alias("event_date"))
         entries = entries.select("event_id", "event_date", "kind", "bucket", "load_id")
         keys = ("kind", "bucket", "load_id")
-        # Sorted, so that a look-up of a few ids can pass over most of a bucket.
+        # Sorted, so that a look-up of a few ids can pass over most of a bucket; a large bucket is split among tasks.
         replace_partitions(
-            entries.repartition(*keys).sortWithinPartitions(*keys, "event_id"),
+            entries.hint("rebalance", *keys).sortWithinPartitions(*keys, "event_id"),
             self.path,
             keys,
             [p for load_id in loads for p in self._directories(load_id)],
@@ -110,12 +111,14 @@ class Identities:
     def without_redelivered(self, events: DataFrame) -> DataFrame:
         """The events without undated copies that count elsewhere.
 
-        A scan of two columns finds the undated ids; without any, nothing else is done.
+        One scan of three columns finds the undated ids; without any, nothing else is done. Only undated rows are
+        then compared with what is known: the others, most of a history, stay where they are read.
         """
         if not self.has_undated():
             return events
-        undated = events.where(is_undated()).select("event_id", "event_date", self._bucket()).distinct()
-        touched = [r.bucket for r in undated.select("bucket").distinct().collect()]  # one number per bucket
+        # Three queries below ask for these ids: they are found once.
+        undated = stage(events.where(is_undated()).select("event_id", "event_date").distinct(), "undated")
+        touched = [r.bucket for r in undated.select(self._bucket()).distinct().collect()]  # one number per bucket
         if not touched:
             return events
         known = [self._read(self._paths(k, touched)).withColumn("kind", F.lit(k)) for k in (DATED, UNDATED)]
@@ -123,6 +126,6 @@ class Identities:
         day = {k: F.min(F.when(F.col("kind") == k, F.col("event_date"))).alias(k) for k in (DATED, UNDATED)}
         home = known[0].unionByName(known[1]).join(ids, "event_id", "left_semi").groupBy("event_id").agg(*day.values())
         gone = undated.join(home, "event_id").where(f"{DATED} IS NOT NULL OR event_date > {UNDATED}")
-        gone = stage(gone.select("event_id", "event_date", F.lit(True).alias("_undated")), "redelivered")
-        marked = events.withColumn("_undated", F.coalesce(is_undated(), F.lit(False)))
-        return marked.join(gone, ["event_id", "event_date", "_undated"], "left_anti").select(*events.columns)
+        gone = stage(gone.select("event_id", "event_date"), "redelivered")
+        kept = events.where(is_undated()).join(gone, ["event_id", "event_date"], "left_anti")
+        return events.where(~is_undated()).unionByName(kept.select(*events.columns))

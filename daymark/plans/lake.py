@@ -273,14 +273,15 @@ def create_views(spark: SparkSession, lake: Lake) -> None:
 # --- silver and gold --------------------------------------------------------
 
 
-def rebuild_silver(spark: SparkSession, lake: Lake, dates: Iterable[dt.date]) -> None:
-    """Deduplicate and screen the given dates anew from bronze.
+def rebuild_silver(spark: SparkSession, lake: Lake, dates: Iterable[dt.date] | Mapping[dt.date, int]) -> None:
+    """Deduplicate and screen the given dates anew from bronze; with their sizes, in one run.
 
     Copies with one id and date collapse; undated copies count once in the whole history. Silver and quarantine are the two halves of one table, written in one pass.
     """
     use_utc(spark)
     record_identities(spark, lake)
-    for group in _groups(spark, lake.bronze, dates):
+    # A run of dates that `refresh` has measured is not measured again.
+    for group in [dates] if isinstance(dates, Mapping) else _groups(spark, lake.bronze, dates):
         events = read_events(spark, lake, group).drop("load_id")
         owned = [f"verdict={v}/event_date={d.isoformat()}" for v in (ACCEPTED, REJECTED) for d in group]
         _replace_dates(

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from daymark import filesystem as files
 from daymark.functions.events import event_date, storable
 from daymark.schemas import EVENT_COLUMNS
+from daymark.session import listings_shared
 
 
 def read_table(
@@ -34,12 +35,9 @@ def read_table(
         paths = [p for p in found if p.rsplit("/", 1)[-1] in wanted]
     if not paths:
         return spark.createDataFrame([], contract)
-    return (
-        spark.read.schema(contract)
-        .option("basePath", path)
-        .parquet(*paths)
-        .select(*contract.fieldNames())
-    )
+    with listings_shared(spark):
+        rows = spark.read.schema(contract).option("basePath", path).parquet(*paths)
+    return rows.select(*contract.fieldNames())
 
 
 def as_text_events(events: DataFrame, ingest_date: dt.date | str) -> DataFrame:

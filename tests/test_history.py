@@ -89,6 +89,43 @@ def test_buckets_of_other_ids_are_not_read(spark, home, monkeypatch):
     assert paths == []
 
 
+def test_rows_with_a_date_are_not_joined_to_find_undated_copies(spark, home, monkeypatch):
+    load(spark, home, "a", D5, event(), event(event_id=None), event(event_id="e2", event_timestamp=None))
+    load(spark, home, "b", D6, UNDATED, event(event_id=None, event_timestamp=None))
+    lake.record_identities(spark, home)
+    staged, stage = [], identity.stage
+    monkeypatch.setattr(identity, "stage", lambda df, label: staged.append(label) or stage(df, label))
+    kept = lake.read_events(spark, home, [D5, D6])
+    assert sorted((r.event_id or "", r.event_date) for r in kept.collect()) == [("", D5), ("", D6), ("e1", D5), ("e2", D5)]
+    plan = kept._jdf.queryExecution().optimizedPlan()
+    parts = [plan.children().apply(i).toString() for i in range(plan.children().size())]
+    assert ["Join" in part for part in parts] == [False, True]
+    assert staged == ["undated", "redelivered"]
+
+
+def test_a_refresh_measures_the_dates_of_bronze_once(spark, home, monkeypatch):
+    load(spark, home, "a", D5, event(), event(event_id="e2", event_timestamp="2024-01-06T00:00:00Z"))
+    measured, total = [], files.total_bytes
+    monkeypatch.setattr(files, "total_bytes", lambda s, path: measured.append(path) or total(s, path))
+    lake.refresh(spark, home)
+    assert len([p for p in measured if p.startswith(home.bronze)]) == 2
+    assert gold_days(spark, home) == [(D5, 1), (D6, 1)]
+
+
+def test_many_dates_are_listed_in_few_tasks(spark, home):
+    days = [D5 + dt.timedelta(days=k) for k in range(60)]
+    load(spark, home, "a", D5, *[event(event_id=str(d), event_timestamp=f"{d}T00:00:00Z") for d in days])
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        found = lake.read_bronze(spark, home, days)
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+    assert stages and all(tracker.getStageInfo(s).numTasks <= 4 * spark.sparkContext.defaultParallelism for s in stages)
+    assert found.count() == 60
+
+
 def test_a_crash_while_identities_are_recorded_loses_nothing(spark, home, monkeypatch):
     load(spark, home, "a", D7, UNDATED)
     lake.refresh(spark, home)
