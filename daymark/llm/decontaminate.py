@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daymark.llm.batches import extend
+from daymark.llm.batches import extend, map_arrow
 from daymark.llm.words import plain_word_numbers, plain_words, word_places
 from daymark.session import stage
 
@@ -230,7 +230,7 @@ def _pieces(benchmark: DataFrame, window: int, block_chars: int) -> DataFrame:
                 texts += found
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(texts, pa.binary())], kind.names)
 
-    return benchmark.select("item_id", F.col("text").cast("binary").alias("text")).mapInArrow(cut, kind)
+    return map_arrow(benchmark.select("item_id", F.col("text").cast("binary").alias("text")), cut, kind)
 
 
 def _blocks(benchmark: DataFrame, window: int, block_chars: int) -> tuple[int, Iterator[list[tuple]]]:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.batches import extend
+from daymark.llm.batches import extend, map_arrow
 from daymark.llm.learning import held_out
 
 # Labelled training documents of one language, at most about so many, are learned from.
@@ -69,7 +69,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]
                 [pa.array([lang] * len(bins)), pa.array(bins), pa.array(own[bins])], ["lang", "bin", "n"]
             )
 
-    found = chosen.select("lang", "text").mapInArrow(count, "lang string, bin long, n double")
+    found = map_arrow(chosen.select("lang", "text"), count, "lang string, bin long, n double")
     table = np.full((len(names), BINS), 0.05)
     # At most BINS rows per language.
     for r in found.groupBy("lang", "bin").agg(F.sum("n").alias("n")).toLocalIterator():

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.batches import extend, received, send
+from daymark.llm.batches import extend, map_arrow, received, send
 from daymark.llm.learning import bounded, held_out
 from daymark.llm.words import plain_word_numbers
 from daymark.session import stage
@@ -122,7 +122,7 @@ def learn_domains(docs: DataFrame, labelled: DataFrame, domains: list[str], samp
         yield pa.RecordBatch.from_arrays([pa.array(bins), pa.array(kinds), pa.array(found[bins, kinds])], ["bin", "k", "n"])
 
     found = np.zeros((BINS + 1, len(domains)))
-    for r in taught.mapInArrow(count, "bin long, k long, n long").groupBy("bin", "k").agg(F.sum("n").alias("n")).toLocalIterator():
+    for r in map_arrow(taught, count, "bin long, k long, n long").groupBy("bin", "k").agg(F.sum("n").alias("n")).toLocalIterator():
         found[r.bin, r.k] = r.n
     column = choose_columns(found[:BINS], found[BINS])
 
@@ -131,7 +131,7 @@ def learn_domains(docs: DataFrame, labelled: DataFrame, domains: list[str], samp
             rows = [look(t.as_py(), column)[1].tobytes() for t in batch.column(0).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(rows, pa.binary())], ["domain", "x"])
 
-    rows = taught.mapInArrow(features, "domain string, x binary").collect()  # the bounded sample: 2 KB a row
+    rows = map_arrow(taught, features, "domain string, x binary").collect()  # the bounded sample: 2 KB a row
     weights = np.zeros((WIDTH, len(domains)))
     if rows:
         x = np.frombuffer(b"".join(r.x for r in rows), np.float32).reshape(-1, WIDTH)
@@ -187,7 +187,7 @@ def fit_rates(memberships: DataFrame, targets: np.ndarray, rounds: int = ROUNDS)
                 ahead += (next_look * n) @ p
             yield pa.RecordBatch.from_arrays([pa.array([*at, *ahead]), pa.array(np.arange(2 * len(targets)))], ["total", "k"])
 
-        rows = memberships.select(F.struct("n", "p")).mapInArrow(sums, "total double, k long")
+        rows = map_arrow(memberships.select(F.struct("n", "p")), sums, "total double, k long")
         found = np.zeros(2 * len(targets))
         for r in rows.groupBy("k").agg(F.sum("total").alias("total")).collect():
             found[r.k] = r.total

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.batches import extend
+from daymark.llm.batches import extend, map_arrow
 from daymark.llm.components import components
 from daymark.llm.words import spaced_word_numbers
 from daymark.session import stage
@@ -47,6 +47,8 @@ PREFIX = 12
 _HELD_TEXTS, _HELD_SHINGLES, _HELD_SIGNS, _STREAMED = 1024, 2**22, 2048, 4096
 # A key with more than one in so many rows of all posting lists is long; so fewer keys than that are.
 _LONG = 1000
+# Candidates a task gathers before it passes them on: one streamed row can have as many as are held.
+_FLUSH = 2**18
 
 _RANDOM = np.random.default_rng(7)
 _STEPS = _RANDOM.integers(1, 2**63, SHINGLE, np.uint64) | np.uint64(1)
@@ -141,7 +143,7 @@ def _matching(pairs: DataFrame, signs: DataFrame) -> DataFrame:
             enough = (_marks(batch.column("mx")) == _marks(batch.column("my"))).sum(axis=1) >= MATCHES
             yield batch.select(columns).filter(pa.array(enough))
 
-    return fits.select(*columns, "mx", "my").mapInArrow(count, ", ".join(f"{c} long" for c in columns))
+    return map_arrow(fits.select(*columns, "mx", "my"), count, ", ".join(f"{c} long" for c in columns))
 
 
 def _listed(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -203,7 +205,7 @@ def _confirmed(dealt: tuple[DataFrame, DataFrame], texts: DataFrame) -> DataFram
                         ys_found.append(ids[i])
             yield pa.RecordBatch.from_arrays([pa.array(xs_found, pa.int64()), pa.array(ys_found, pa.int64())], ["x", "y"])
 
-    return rows.mapInArrow(compare, "x long, y long")
+    return map_arrow(rows, compare, "x long, y long")
 
 
 def _with_facts(lists: DataFrame, facts: DataFrame) -> DataFrame:
@@ -258,7 +260,7 @@ def _remaining(lists: DataFrame, signs: DataFrame) -> tuple[DataFrame, DataFrame
     rows = rows.repartition(tasks, "key", "slice", "part").sortWithinPartitions("key", "slice", "part", "kind")
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, block, used, found = None, [], None, None, []
+        at, held, block, used, found, waiting = None, [], None, None, [], 0
 
         def part() -> pa.RecordBatch:
             columns = [[f[k] for f in found] for k in range(3)]
@@ -294,12 +296,18 @@ def _remaining(lists: DataFrame, signs: DataFrame) -> tuple[DataFrame, DataFrame
                 used[fits] = True
                 for b in np.unique(block[3][fits]).tolist():
                     found.append((ids[i], b, block[0][fits[block[3][fits] == b]]))
+                waiting += len(fits)
+                if waiting > _FLUSH:
+                    yield part()
+                    found.clear()
+                    waiting = 0
             yield part()
             found.clear()
+            waiting = 0
         close()
         yield part()
 
-    found = stage(rows.mapInArrow(candidates, "id long, block long, xs array<long>"), "candidates")
+    found = stage(map_arrow(rows, candidates, "id long, block long, xs array<long>"), "candidates")
     xs = found.where("xs IS NULL").select("block", "id").distinct()
     ys = found.where("xs IS NOT NULL").groupBy(F.col("id").alias("y"), "block")
     return xs, ys.agg(F.flatten(F.collect_list("xs")).alias("xs"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.batches import extend
+from daymark.llm.batches import extend, map_arrow
 from daymark.session import stage
 
 KEY = b"daymark test key"
@@ -318,7 +318,7 @@ def entities(docs: DataFrame) -> DataFrame:
                 [pa.array([k for k, _ in found], pa.string()), pa.array([c for _, c in found], pa.string())], ["kind", "canonical"]
             )
 
-    return docs.select("text").mapInArrow(find, "kind string, canonical string").distinct()
+    return map_arrow(docs.select("text"), find, "kind string, canonical string").distinct()
 
 
 def exceptions(found: DataFrame, key: bytes) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.batches import extend, received, send
+from daymark.llm.batches import extend, map_arrow, received, send
 from daymark.llm.fuzzy import Lexicon, Term, edits_allowed
 from daymark.llm.learning import bounded, held_out
 from daymark.llm.words import plain_words
@@ -164,7 +164,7 @@ def _document_counts(sample: DataFrame, among: set | None) -> DataFrame:
                     found.clear()
         yield part()
 
-    rows = sample.select("text").mapInArrow(count, "text string, prefix boolean, n long")
+    rows = map_arrow(sample.select("text"), count, "text string, prefix boolean, n long")
     return rows.groupBy("text", "prefix").agg(F.sum("n").alias("n"))
 
 
@@ -231,7 +231,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             )
 
     # One row per document of the bounded sample.
-    seen = taught.mapInArrow(find, "toxic int, size long, hits array<struct<term:int,edits:int,factor:double>>").collect() if toxic and clean else []
+    seen = map_arrow(taught, find, "toxic int, size long, hits array<struct<term:int,edits:int,factor:double>>").collect() if toxic and clean else []
     documents = [(r.toxic > 0, r.size, [tuple(h) for h in r.hits]) for r in seen]
     having = {True: Counter(), False: Counter()}
     for label, _, hits in documents:

@@ -481,6 +481,27 @@ def test_slices_are_bounded_by_rows_and_bytes(monkeypatch):
     assert [s.field("k").to_pylist() for s in batches.slices(rows.slice(4, 2))] == [[4], [5]]
 
 
+def test_python_gets_long_texts_in_small_batches(spark):
+    """One partition of 24 MB of text: Spark's own batch of it would be held whole by executor and worker."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    texts = lambda session: session.range(0, 240, 1, 1).select("id", F.repeat(F.lit("abcdefghij"), 10_000).alias("text"))
+
+    def start():
+        # A slice shares the buffers of the whole batch that it was cut from.
+        return lambda rows: [pa.array([rows.field("text").buffers()[2].size] * len(rows), pa.int64())]
+
+    own = spark.newSession()
+    seen = batches.extend(texts(own), start, "size long", ["id"]).agg(F.count("*"), F.max("size")).first()
+    assert seen[0] == 240
+    assert seen[1] < 3 * batches.SLICE_BYTES
+
+    given = spark.newSession()
+    given.conf.set(setting, "1m")
+    batches.extend(texts(given), start, "size long", ["id"])
+    assert given.conf.get(setting) == "1m"
+
+
+
 def test_operators_run_on_executors_without_the_package(tmp_path):
     """The workers' own path does not hold the package: all they know comes with the tasks."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
