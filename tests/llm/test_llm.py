@@ -209,6 +209,50 @@ def test_large_components_take_part_or_fail(spark):
             top_k.top_k(far, F.col("vec_id") % 20 == 0).collect()
 
 
+def test_top_k_of_small_blocks_equals_brute_force(spark, monkeypatch):
+    for name, value in {"INDEX_ROWS": 40, "INDEX_VALUES": 120, "QUERY_ROWS": 6, "TILE_QUERIES": 4, "TILE_ROWS": 9}.items():
+        monkeypatch.setattr(top_k, name, value)
+    rng = np.random.default_rng(5)
+    vectors = []
+    for _ in range(300):  # plain numbers, some whole, some too large for single floats, some for double ones
+        x = rng.normal(0, 0.3, int(rng.choice([1, 2, 7]))) * rng.choice([1, 1, 1, 2.0**14, 2.0**23])
+        vectors.append((int(rng.integers(-200, 200)), [float(np.float32(v)) for v in (np.round(x) if rng.random() < 0.4 else x)]))
+    vectors += [vectors[3]] * 25 + [(40, [0.0] * 7)] * 2 + [(k, vectors[9][1]) for k in range(500, 540)]
+    sound = [(k, [int(np.floor(64 * x)) for x in v]) for k, v in vectors]
+    expected = []
+    for q in {q for q, _ in sound if q % 20 == 0}:
+        pairs = [(-sum(map(int.__mul__, a, b)), k) for i, a in sound if i == q for k, b in sound if k != q and len(a) == len(b)]
+        expected += [(q, n, k, -s) for n, (s, k) in enumerate(sorted(pairs)[:20], 1)]
+    got = top_k.top_k(spark.createDataFrame(vectors, "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0).collect()
+    assert sorted(tuple(r) for r in got) == sorted(expected)
+
+
+def test_top_k_neither_shuffles_nor_sorts_pairs_of_blocks(spark):
+    vectors = [(k, [float(k % 7), 1.0]) for k in range(50)]
+    broadcast = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(broadcast)
+    spark.conf.set(broadcast, "-1")
+    try:
+        df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+        plan = top_k.top_k(df, F.col("vec_id") % 20 == 0)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(broadcast, before)
+    # A row of a whole block must not be held, sorted or copied once for each block that it meets.
+    assert "collect_list" not in plan and "SortMergeJoin" not in plan
+    assert re.search(r"MapInArrow best\(.*\n[ :+-]*CartesianProduct", plan)
+
+
+def test_blocks_of_the_index_are_bounded_by_their_numbers_too(spark):
+    wide = spark.range(2000).select(
+        F.col("id").alias("vec_id"), F.expr("transform(sequence(1, 3000), x -> float((id * 31 + x * 17) % 64) / 64)").alias("embedding")
+    )
+    rows = top_k.map_arrow(top_k.quantised(wide), top_k._shortened, "vec_id long, v binary, dims int").withColumn("copies", F.lit(1).cast("long"))
+    blocks, number = top_k._blocks(rows, top_k.INDEX_ROWS, top_k.INDEX_VALUES)
+    sizes = blocks.select(F.length("ids") / 8, F.length("bits"), "low", "most").collect()
+    assert len(sizes) == number == 6 and sum(r[0] for r in sizes) == 2000
+    assert all(r[1] < 2**20 and r[2:] == (0, 63) for r in sizes)  # some 350 rows of 3,000 numbers of six bits
+
+
 # --- 4: WARC ----------------------------------------------------------------
 
 
